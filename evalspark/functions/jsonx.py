@@ -31,6 +31,10 @@ _TOKEN = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"|[{}\[\],:]|[^\s{}\[\],:"]++'
 _PARSE = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "true"}
 _END = "--end of text--"
 
+# Type names of VARIANT values and their value classes; all others are decimals.
+_CLASSES = """map('OBJECT', 'dict', 'ARRAY', 'list', 'STRING', 'str',
+    'BOOLEAN', 'bool', 'VOID', 'null', 'BIGINT', 'int')"""
+
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """Evaluate ``value`` once and use it several times in ``body``."""
@@ -207,14 +211,10 @@ def value_class(v: Column) -> Column:
     """
     return let(
         F.schema_of_variant(v),
-        lambda s: F.when(s.startswith("OBJECT"), "dict")
-        .when(s.startswith("ARRAY"), "list")
-        .when(s == "STRING", "str")
-        .when(s == "BOOLEAN", "bool")
-        .when(s == "VOID", "null")
-        .when(s == "BIGINT", "int")
-        .when(s.rlike(r"^DECIMAL\((?:19|[23]\d),0\)$"), "int")
-        .when(s.isNotNull(), "float"),
+        lambda s: F.coalesce(
+            F.try_element_at(F.expr(_CLASSES), F.substring_index(s, "<", 1)),
+            F.when(s.rlike(r"^DECIMAL\((?:19|[23]\d),0\)$"), "int").when(s.isNotNull(), "float"),
+        ),
     )
 
 

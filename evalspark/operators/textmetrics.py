@@ -112,14 +112,16 @@ _BEST = T.StructType(
 def _best_matches(candidate: pa.Array, reference: pa.Array) -> pa.Array:
     """Per token, the best cosine with any token of the other block."""
 
-    def unit(vectors: list[list[float]]) -> np.ndarray:
-        m = np.asarray(vectors, dtype=np.float64)
+    def unit(vectors: pa.ListScalar) -> np.ndarray:
+        rows = vectors.values
+        m = rows.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+        m = m.reshape(len(rows), -1)
         norm = np.linalg.norm(m, axis=1, keepdims=True)
         return m / np.where(norm == 0.0, 1.0, norm)
 
     cand_best, ref_best = [], []
     for c, r in zip(candidate, reference):
-        cosines = unit(c.as_py()) @ unit(r.as_py()).T
+        cosines = unit(c) @ unit(r).T
         cand_best.append(cosines.max(axis=1).tolist())
         ref_best.append(cosines.max(axis=0).tolist())
     lists = pa.list_(pa.float64())

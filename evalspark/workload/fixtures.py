@@ -56,7 +56,7 @@ def _text(*parts) -> Column:
 
 def turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """User turns with the assistant turn that answers them: idx, instruction, reference."""
-    c = table(spark, sf_dir, "conversations")
+    c = spread_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
     asked = c.filter(F.col("role") == "user").select(
         "conv_id", "turn", F.col("text").alias("instruction")
     )

@@ -549,8 +549,8 @@ ORACLE: dict[str, str] = {
           1.0::DOUBLE AS location, 1.0::DOUBLE AS date FROM outcome WHERE f1 IS NOT NULL""",
     ),
     "json_equality": """SELECT event_id,
-        event_id % 5 IN (0, 2, 4) OR (event_id % 5 = 1 AND user_id = 2) AS equal,
-        event_id % 5 IN (0, 4) OR (event_id % 5 = 1 AND user_id = 2) AS strictly_equal FROM events""",
+        event_id % 5 IN (0, 2, 4) OR (event_id % 5 = 1 AND user_id = 1) AS equal,
+        event_id % 5 IN (0, 4) OR (event_id % 5 = 1 AND user_id = 1) AS strictly_equal FROM events""",
     "json_type_compatibility": """WITH c AS (
         SELECT event_id,
           (['int', 'float', 'float', 'str', 'bool', 'null', 'list', 'dict'])[event_id % 8 + 1] AS class_a,

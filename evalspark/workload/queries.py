@@ -228,7 +228,7 @@ def field_f1(spark, sf_dir):
 @query
 def json_equality(spark, sf_dir):
     """Deep equality, with booleans apart from numbers or not."""
-    n = F.col("user_id").cast("string")
+    n = (F.col("user_id") + 1).cast("string")
     left, right = F.col("a"), F.col("b")
     pairs = F.element_at(
         F.array(
