@@ -7,6 +7,13 @@
 ``workload``   the registered queries over the driver's tables and their SQL twins
 """
 
+import sys
+
+from pyspark import cloudpickle
+
 from evalspark.session import prepare
 
+# Task functions travel with the query, so workers need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 __all__ = ["prepare"]

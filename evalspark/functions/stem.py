@@ -6,7 +6,6 @@ Only the distinct words of a batch come here; see ``functions.tokens``.
 from __future__ import annotations
 
 import re
-from functools import lru_cache
 
 # --- fixed values ---------------------------------------------------------
 # Suffix and replacement per step; the first suffix that fits a word is tried.
@@ -176,7 +175,6 @@ def _final_e_and_ll(word: str) -> str:
     return word[:-1] if word.endswith("ll") and _measure(word[:-1]) > 1 else word
 
 
-@lru_cache(maxsize=1 << 18)
 def porter_stem(word: str) -> str:
     """Stem of a lower-case word."""
     if word in IRREGULAR:

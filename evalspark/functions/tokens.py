@@ -25,23 +25,14 @@ def _stem(word: str) -> str:
     return porter_stem(word) if len(word) > LONGEST_UNSTEMMED else word
 
 
-def _coded(tokens: pa.Array, stemmed: bool) -> tuple[pa.Array, pa.Array]:
-    """Codes of a batch's flat tokens and the words they stand for, each stemmed once."""
-    encoded = tokens.flatten().dictionary_encode()
-    words = encoded.dictionary
-    if stemmed:
-        words = pa.array([_stem(w) for w in words.to_pylist()], pa.string())
-    return encoded.indices, words
-
-
 @F.arrow_udf(T.ArrayType(T.StringType()))
 def stem_tokens(tokens: pa.Array) -> pa.Array:
     """Stems of token lists; the work per batch is one stem per distinct token."""
-    codes, stems = _coded(tokens, stemmed=True)
+    encoded = tokens.flatten().dictionary_encode()
+    stems = pa.array([_stem(w) for w in encoded.dictionary.to_pylist()], pa.string())
     # Offsets of a sliced batch do not start at 0, those of its flat values do.
-    offsets = tokens.offsets
-    starts = pc.subtract(offsets, offsets[0])
-    return pa.ListArray.from_arrays(starts, stems.take(codes))
+    starts = pc.subtract(tokens.offsets, tokens.offsets[0])
+    return pa.ListArray.from_arrays(starts, stems.take(encoded.indices))
 
 
 def _lcs(candidate: list[int], reference: list[int]) -> int:
@@ -60,30 +51,18 @@ def _lcs(candidate: list[int], reference: list[int]) -> int:
     return len(reference) - row.bit_count()
 
 
-def _lcs_column(candidate: pa.Array, reference: pa.Array, stemmed: bool) -> pa.Array:
-    codes: dict[str, int] = {}
-
-    def lists(tokens: pa.Array) -> list[list[int]]:
-        indices, words = _coded(tokens, stemmed)
-        shared = [codes.setdefault(w, len(codes)) for w in words.to_pylist()]
-        flat = pa.array(shared, pa.int64()).take(indices).to_pylist()
-        ends = tokens.offsets.to_pylist()
-        return [flat[a - ends[0] : b - ends[0]] for a, b in zip(ends, ends[1:])]
-
-    pairs = zip(lists(candidate), lists(reference))
-    return pa.array([_lcs(c, r) for c, r in pairs], pa.int64())
-
-
 @F.arrow_udf(T.LongType())
 def lcs_length(candidate: pa.Array, reference: pa.Array) -> pa.Array:
     """Longest common subsequence of two token lists."""
-    return _lcs_column(candidate, reference, stemmed=False)
+    both = pa.concat_arrays([candidate.flatten(), reference.flatten()]).dictionary_encode()
+    codes = both.indices.to_pylist()
 
+    def lists(tokens: pa.Array, shift: int) -> list[list[int]]:
+        ends = pc.add(pc.subtract(tokens.offsets, tokens.offsets[0]), shift).to_pylist()
+        return [codes[a:b] for a, b in zip(ends, ends[1:])]
 
-@F.arrow_udf(T.LongType())
-def stemmed_lcs_length(candidate: pa.Array, reference: pa.Array) -> pa.Array:
-    """Longest common subsequence of two token lists after stemming."""
-    return _lcs_column(candidate, reference, stemmed=True)
+    pairs = zip(lists(candidate, 0), lists(reference, len(candidate.flatten())))
+    return pa.array([_lcs(c, r) for c, r in pairs], pa.int64())
 
 
 def ngrams(tokens: Column, n: int) -> Column:

@@ -18,68 +18,62 @@ def _f1(overlap: Column, candidate: Column, reference: Column) -> Column:
     return rate(2 * overlap, F.when(overlap > 0, candidate + reference))
 
 
-def _tokenised(preds: DataFrame) -> DataFrame:
-    return preds.withColumns(
+def _stemmed(preds: DataFrame, use_stemmer: bool) -> DataFrame:
+    """Both texts as token lists ``cand`` and ``ref``, stemmed or not."""
+    tokenised = preds.withColumns(
         {
-            "cand_tokens": tok.word_tokens(F.col("prediction")),
-            "ref_tokens": tok.word_tokens(F.col("reference")),
+            "cand": tok.word_tokens(F.col("prediction")),
+            "ref": tok.word_tokens(F.col("reference")),
         }
     )
-
-
-def _stemmed(df: DataFrame, use_stemmer: bool) -> DataFrame:
     if not use_stemmer:
-        return df.withColumns(
-            {"cand_stems": F.col("cand_tokens"), "ref_stems": F.col("ref_tokens")}
-        )
-    return df.withColumns(
-        {
-            "cand_stems": tok.stem_tokens(F.col("cand_tokens")),
-            "ref_stems": tok.stem_tokens(F.col("ref_tokens")),
-        }
+        return tokenised
+    return tokenised.withColumns(
+        {"cand": tok.stem_tokens(F.col("cand")), "ref": tok.stem_tokens(F.col("ref"))}
     )
 
 
+def _overlap(n: int) -> Column:
+    return tok.clipped_overlap(tok.ngrams(F.col("cand"), n), tok.ngrams(F.col("ref"), n))
+
+
 def _rouge_n(n: int) -> Column:
-    def grams(column: str) -> Column:
-        return tok.ngrams(F.col(column), n)
+    """F-measure of the n-gram overlap in column ``overlap{n}``."""
 
     def count(column: str) -> Column:
         return F.greatest(F.size(column) - (n - 1), F.lit(0))
 
-    overlap = tok.clipped_overlap(grams("cand_stems"), grams("ref_stems"))
-    return _f1(overlap, count("cand_stems"), count("ref_stems"))
+    return _f1(F.col(f"overlap{n}"), count("cand"), count("ref"))
 
 
-def rouge_n(preds: DataFrame, n: int, use_stemmer: bool = True) -> DataFrame:
-    """Add ``rouge{n}_f1``: clipped n-gram overlap as an F-measure, row by row."""
-    scored = _stemmed(_tokenised(preds), use_stemmer)
-    return scored.select(*preds.columns, _rouge_n(n).alias(f"rouge{n}_f1"))
+def _rouge_l() -> Column:
+    return _f1(F.col("lcs"), F.size("cand"), F.size("ref"))
 
 
-def _lcs(use_stemmer: bool) -> Column:
-    length = tok.stemmed_lcs_length if use_stemmer else tok.lcs_length
-    return length(F.col("cand_tokens"), F.col("ref_tokens"))
+def rouge_n(preds: DataFrame, n: int, use_stemmer: bool = True) -> DataFrame:
+    """Add ``rouge{n}_f1``: clipped n-gram overlap as an F-measure, row by row."""
+    counted = _stemmed(preds, use_stemmer).withColumn(f"overlap{n}", _overlap(n))
+    return counted.select(*preds.columns, _rouge_n(n).alias(f"rouge{n}_f1"))
 
 
 def rouge_l(preds: DataFrame, use_stemmer: bool = True) -> DataFrame:
     """Add ``rougeL_f1``: longest common subsequence as an F-measure, row by row."""
-    scored = _tokenised(preds).withColumn("lcs", _lcs(use_stemmer))
-    return scored.select(
-        *preds.columns,
-        _f1(F.col("lcs"), F.size("cand_tokens"), F.size("ref_tokens")).alias("rougeL_f1"),
-    )
+    lcs = tok.lcs_length(F.col("cand"), F.col("ref"))
+    counted = _stemmed(preds, use_stemmer).withColumn("lcs", lcs)
+    return counted.select(*preds.columns, _rouge_l().alias("rougeL_f1"))
 
 
 def rouge(preds: DataFrame, use_stemmer: bool = True) -> DataFrame:
-    """All three ROUGE scores of each row, with one trip to Python for both texts."""
-    scored = _tokenised(preds).withColumn("lcs", _lcs(use_stemmer))
-    scored = _stemmed(scored, use_stemmer)
-    return scored.select(
+    """All three ROUGE scores of each row, from one tokenisation of both texts."""
+    lcs = tok.lcs_length(F.col("cand"), F.col("ref"))
+    counted = _stemmed(preds, use_stemmer).withColumns(
+        {"overlap1": _overlap(1), "overlap2": _overlap(2), "lcs": lcs}
+    )
+    return counted.select(
         *preds.columns,
         _rouge_n(1).alias("rouge1_f1"),
         _rouge_n(2).alias("rouge2_f1"),
-        _f1(F.col("lcs"), F.size("cand_tokens"), F.size("ref_tokens")).alias("rougeL_f1"),
+        _rouge_l().alias("rougeL_f1"),
     )
 
 

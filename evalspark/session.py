@@ -12,6 +12,9 @@ def prepare(spark: SparkSession) -> SparkSession:
     # A repeated key in an object keeps its last value instead of failing to parse.
     spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    # Parsing and aligning texts costs far more per byte than starting a task does,
+    # so small shuffles keep their cores busy instead of merging into one task.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
     return spark
 
 

@@ -201,7 +201,7 @@ def json_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pair_judgements(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One judgement per event and pair of checkpoints."""
-    e = table(spark, sf_dir, "events").select("event_id")
+    e = spread_table(spark, sf_dir, "events", "event_id")
     plan = F.array(
         *(
             F.struct(
