@@ -64,7 +64,8 @@ def write_report(df: DataFrame, path: str, columns: Sequence[str], run_tag: str
     """
     target = tagged(path, run_tag)
     report = df.select(*columns).coalesce(1)
-    report.write.mode("overwrite").option("header", "true").option("emptyValue", "").csv(target)
+    writer = report.write.mode("overwrite").option("header", "true").option("emptyValue", "")
+    writer.option("escape", '"').csv(target)  # quotes in a value are doubled
     return target
 
 
@@ -73,7 +74,7 @@ def write_key_value(df: DataFrame, path: str, run_tag: str = "") -> str:
     target = tagged(path, run_tag)
     record = df.limit(1)
     if record.isEmpty():
-        note = df.sparkSession.range(1).select(F.lit(NO_SUMMARY).alias("value"))
+        note = df.sparkSession.range(0, 1, 1, 1).select(F.lit(NO_SUMMARY).alias("value"))
         note.write.mode("overwrite").text(target)
         return target
     return write_report(to_key_value(record), target, ("key", "value"))
