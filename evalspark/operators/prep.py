@@ -244,11 +244,15 @@ def with_batch_id(df: DataFrame, batch_size: int = 16, order_by: str = "idx") ->
 # --- splits --------------------------------------------------------------------
 
 
-def _thresholds(keys: DataFrame, bounds: Mapping[str, Callable[[Column], Column]]) -> DataFrame:
-    """The rank key at each bound, as rows of (bound, rank key).
+def _with_bounds(
+    keyed: DataFrame, keys: DataFrame, bounds: Mapping[str, Callable[[Column], Column]]
+) -> DataFrame:
+    """Add flags: is a row's ``_rank_key`` among the first rows up to each bound?
 
-    A bound is a number of rows computed from the total. Only the one bucket
-    that holds a bound is sorted; all other rows are merely counted.
+    A bound is a number of ``keys`` computed from their total. Keys are counted
+    per bucket, and only the buckets that hold a bound are sorted. The keys found
+    there make one record, and rows compare their own key with it: no row of
+    ``keyed`` is shuffled.
     """
     offsets = _bucket_offsets(keys)
     wanted = F.array(
@@ -269,17 +273,18 @@ def _thresholds(keys: DataFrame, bounds: Mapping[str, Callable[[Column], Column]
         F.broadcast(holding), "_bucket"  # one row per bound
     )
     rank = F.row_number().over(W.partitionBy("_bound").orderBy("_rank_key"))
-    return (
-        inside.withColumn("_rank", rank)
-        .filter(F.col("_rank") == F.col("_nth"))
-        .select("_bound", "_rank_key")
+    found = inside.withColumn("_rank", rank).filter(F.col("_rank") == F.col("_nth"))
+    record = found.agg(
+        *(F.max(F.when(F.col("_bound") == name, F.col("_rank_key"))).alias(name) for name in bounds)
     )
-
-
-def _up_to(thresholds: DataFrame, bound: str) -> Column:
-    """Rows at or before a bound; false for all when the bound is 0."""
-    at = thresholds.filter(F.col("_bound") == bound).select(F.max("_rank_key")).scalar()
-    return F.coalesce(F.col("_rank_key") <= at, F.lit(False))
+    at = record.select(F.struct(*bounds)).scalar()
+    # A bound of 0 has no key, and no row is among the first 0.
+    return keyed.withColumn("_at", at).withColumns(
+        {
+            name: F.coalesce(F.col("_rank_key") <= F.col("_at")[name], F.lit(False))
+            for name in bounds
+        }
+    ).drop("_at")
 
 
 def split_fraction(
@@ -293,14 +298,14 @@ def split_fraction(
     """
     keyed = df.withColumn("_rank_key", _rank_key(F.col(key), seed))
     if exact:
-        at = _thresholds(
-            keyed.select("_rank_key"), {"train": lambda n: F.floor(n * F.lit(float(fraction)))}
-        )
-        in_train = _up_to(at, "train")
+        keys = keyed.select("_rank_key")
+        bounds = {"_train": lambda n: F.floor(n * F.lit(float(fraction)))}
+        flagged = _with_bounds(keyed, keys, bounds)
     else:
         draw = F.conv(F.substring("_rank_key", 1, 8), 16, 10).cast("double")
-        in_train = draw < F.lit(fraction * 2**32)
-    return keyed.withColumn("split", F.when(in_train, "train").otherwise("eval")).drop("_rank_key")
+        flagged = keyed.withColumn("_train", draw < F.lit(fraction * 2**32))
+    side = F.when(F.col("_train"), "train").otherwise("eval")
+    return flagged.withColumn("split", side).drop("_rank_key", "_train")
 
 
 def content_key(*columns: str) -> Column:
@@ -339,9 +344,9 @@ def split_capped(
     def all_rows(n: Column) -> Column:
         return F.least(eval_rows(n) + max(0, train_cap), n)
 
-    at = _thresholds(keys, {"eval": eval_rows, "train": all_rows})
-    side = F.when(_up_to(at, "eval"), "eval").when(_up_to(at, "train"), "train")
-    return keyed.withColumn("split", side).drop("_rank_key").filter(F.col("split").isNotNull())
+    flagged = _with_bounds(keyed, keys, {"_eval": eval_rows, "_kept": all_rows})
+    side = F.when(F.col("_eval"), "eval").otherwise("train")
+    return flagged.filter("_kept").withColumn("split", side).drop("_rank_key", "_eval", "_kept")
 
 
 def split_overlap(df: DataFrame, *columns: str) -> DataFrame:

@@ -115,6 +115,10 @@ def _best_matches(candidate: pa.Array, reference: pa.Array) -> pa.Array:
 
     cand_best, ref_best = [], []
     for c, r in zip(candidate, reference):
+        if not (c.is_valid and r.is_valid):
+            cand_best.append([])
+            ref_best.append([])
+            continue
         cosines = unit(c) @ unit(r).T
         cand_best.append(cosines.max(axis=1).tolist())
         ref_best.append(cosines.max(axis=0).tolist())
@@ -143,10 +147,11 @@ def embedding_f1(token_embeddings: DataFrame, block: int = EMBEDDING_BLOCK) -> D
     """
     cand = _blocks(token_embeddings, "candidate", "cand", block)
     ref = _blocks(token_embeddings, "reference", "ref", block)
-    met = cand.join(ref, ["checkpoint", "row_id"]).withColumn(
+    row = ["checkpoint", "row_id"]
+    # A row with one empty side stays, without any match.
+    met = cand.join(ref, row, "full").withColumn(
         "best", _best_matches(F.col("cand"), F.col("ref"))
     )
-    row = ["checkpoint", "row_id"]
     # A block meets every block of the other side: take the best over them first.
     per_token = (
         met.select(
@@ -166,31 +171,20 @@ def embedding_f1(token_embeddings: DataFrame, block: int = EMBEDDING_BLOCK) -> D
                 )
             ),
         )
-        .select(*row, "side", "block_no", F.posexplode("values").alias("place", "best"))
+        .select(*row, "side", "block_no", F.posexplode_outer("values").alias("place", "best"))
         .groupBy(*row, "side", "block_no", "place")
         .agg(F.max("best").alias("best"))
     )
 
     def mean(side: str) -> Column:
-        return F.avg(F.when(F.col("side") == side, F.col("best")))
+        return F.coalesce(F.avg(F.when(F.col("side") == side, F.col("best"))), F.lit(0.0))
 
-    scored = per_token.groupBy(*row).agg(
-        mean("candidate").alias("precision"), mean("reference").alias("recall")
-    )
     p, r = F.col("precision"), F.col("recall")
-    scored = scored.withColumn("f1", rate(2 * p * r, F.when(p + r != 0, p + r)))
-    one_sided = (
-        token_embeddings.groupBy(*row)
-        .agg(F.count_distinct("side").alias("sides"))
-        .filter(F.col("sides") == 1)
-        .select(
-            *row,
-            F.lit(0.0).alias("precision"),
-            F.lit(0.0).alias("recall"),
-            F.lit(0.0).alias("f1"),
-        )
+    return (
+        per_token.groupBy(*row)
+        .agg(mean("candidate").alias("precision"), mean("reference").alias("recall"))
+        .withColumn("f1", rate(2 * p * r, F.when(p + r != 0, p + r)))
     )
-    return scored.unionByName(one_sided)
 
 
 def embedding_f1_means(scored: DataFrame) -> DataFrame:
