@@ -31,14 +31,66 @@ _TOKEN = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"|[{}\[\],:]|[^\s{}\[\],:"]++'
 _PARSE = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "true"}
 _END = "--end of text--"
 
-# Type names of VARIANT values and their value classes; all others are decimals.
-_CLASSES = """map('OBJECT', 'dict', 'ARRAY', 'list', 'STRING', 'str',
-    'BOOLEAN', 'bool', 'VOID', 'null', 'BIGINT', 'int')"""
-
-
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Evaluate ``value`` once and use it several times in ``body``."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+# The value in front of the end marker, when the marker is in second place.
+_WHOLE = f"""d -> CASE WHEN try_variant_get(d, '$[1]', 'string') = '{_END}'
+    THEN coalesce(try_variant_get(d, '$[0]', 'variant'), parse_json('null')) END"""
+
+# Type names of VARIANT values as value classes; all others are decimals.
+_CLASS = r"""s -> coalesce(
+    try_element_at(map('OBJECT', 'dict', 'ARRAY', 'list', 'STRING', 'str',
+                       'BOOLEAN', 'bool', 'VOID', 'null', 'BIGINT', 'int'),
+                   substring_index(s, '<', 1)),
+    CASE WHEN s RLIKE r'^DECIMAL\((?:19|[23]\d),0\)$' THEN 'int'
+         WHEN s IS NOT NULL THEN 'float' END)"""
+
+# Fold over the pieces of a text cut after each brace: a piece that opens at depth 0
+# starts a span, one that closes back to depth 0 ends it.
+_SPANS = """t -> CASE WHEN contains(t, '{') AND contains(t, '}') THEN aggregate(
+    split(t, r'(?<=[{}])', -1),
+    named_struct('offset', 0, 'depth', 0, 'start', 0, 'spans', cast(array() AS array<string>)),
+    (s, p) -> named_struct(
+        'offset', s.offset + length(p),
+        'depth', CASE WHEN endswith(p, '{') THEN s.depth + 1
+                      WHEN endswith(p, '}') AND s.depth > 0 THEN s.depth - 1
+                      ELSE s.depth END,
+        'start', CASE WHEN endswith(p, '{') AND s.depth = 0 THEN s.offset + length(p)
+                      ELSE s.start END,
+        'spans', CASE WHEN endswith(p, '}') AND s.depth = 1
+                      THEN concat(s.spans,
+                                  array(substr(t, s.start, s.offset + length(p) - s.start + 1)))
+                      ELSE s.spans END)).spans
+    ELSE cast(array() AS array<string>) END"""
+
+
+def _canonical_text(python_equality: bool) -> str:
+    """SQL lambda over JSON text: numbers, and maybe booleans, in one form each.
+
+    Texts without a fraction, an exponent or a boolean are in that form already.
+    """
+    booleans = "WHEN 'true' THEN '1' WHEN 'false' THEN '0'" if python_equality else ""
+    has_booleans = "OR contains(j, 'true') OR contains(j, 'false')" if python_equality else ""
+    return rf"""j -> CASE WHEN j RLIKE r'\d[.eE]' {has_booleans} THEN array_join(transform(
+        regexp_extract_all(j, r'{_TOKEN}', 0),
+        t -> CASE
+            WHEN t RLIKE r'^-?\d+$' OR NOT t RLIKE r'^-?\d' OR try_cast(t AS double) IS NULL
+                THEN CASE t {booleans} WHEN '-0' THEN '0' ELSE t END
+            WHEN cast(t AS double) = floor(cast(t AS double)) AND abs(cast(t AS double)) < 1e22
+                THEN cast(cast(cast(t AS double) AS decimal(38, 0)) AS string)
+            ELSE cast(cast(t AS double) AS string) END), '')
+        ELSE j END"""
+
+
+def let(value: Column, body: Callable[[Column], Column] | str) -> Column:
+    """Evaluate ``value`` once and use it several times in ``body``.
+
+    ``body`` is a Python function of the Column or a SQL lambda such as ``x -> x + x``,
+    which is built in one call however long it is.
+    """
+    if isinstance(body, str):
+        results = F.call_function("transform", F.array(value), F.expr(body))
+    else:
+        results = F.transform(F.array(value), body)
+    return F.get(results, F.lit(0))
 
 
 # --- text to JSON text ----------------------------------------------------
@@ -82,34 +134,7 @@ def object_spans(c: Column) -> Column:
     not one per character.
     """
 
-    def step(state: Column, piece: Column) -> Column:
-        opens = piece.endswith("{")
-        closes = piece.endswith("}") & (state["depth"] > 0)
-        end = state["offset"] + F.length(piece)
-        depth = (
-            F.when(opens, state["depth"] + 1)
-            .when(closes, state["depth"] - 1)
-            .otherwise(state["depth"])
-        )
-        span = F.substr(c, state["start"], end - state["start"] + 1)
-        return F.struct(
-            end.alias("offset"),
-            depth.alias("depth"),
-            F.when(opens & (state["depth"] == 0), end).otherwise(state["start"]).alias("start"),
-            F.when(closes & (state["depth"] == 1), F.concat(state["spans"], F.array(span)))
-            .otherwise(state["spans"])
-            .alias("spans"),
-        )
-
-    no_spans = F.array().cast("array<string>")
-    start = F.struct(
-        F.lit(0).alias("offset"),
-        F.lit(0).alias("depth"),
-        F.lit(0).alias("start"),
-        no_spans.alias("spans"),
-    )
-    spans = F.aggregate(F.split(c, r"(?<=[{}])", -1), start, step)["spans"]
-    return F.when(c.contains("{") & c.contains("}"), spans).otherwise(no_spans)
+    return let(c, _SPANS)
 
 
 def parse_strict(c: Column) -> Column:
@@ -120,14 +145,7 @@ def parse_strict(c: Column) -> Column:
     value reached the end of the text. NaN and Infinity count as numbers.
     """
     document = F.from_json(F.concat(F.lit("["), c, F.lit(f',"{_END}"]')), "variant", _PARSE)
-
-    def whole(d: Column) -> Column:
-        value = F.coalesce(
-            F.try_variant_get(d, "$[0]", "variant"), F.parse_json(F.lit("null"))
-        )
-        return F.when(F.try_variant_get(d, "$[1]", "string") == _END, value)
-
-    return let(document, whole)
+    return let(document, _WHOLE)
 
 
 def last_object(c: Column) -> Column:
@@ -209,13 +227,7 @@ def value_class(v: Column) -> Column:
 
     Whole decimals of 19 digits and more are integers too wide for BIGINT.
     """
-    return let(
-        F.schema_of_variant(v),
-        lambda s: F.coalesce(
-            F.try_element_at(F.expr(_CLASSES), F.substring_index(s, "<", 1)),
-            F.when(s.rlike(r"^DECIMAL\((?:19|[23]\d),0\)$"), "int").when(s.isNotNull(), "float"),
-        ),
-    )
+    return let(F.schema_of_variant(v), _CLASS)
 
 
 def is_object(v: Column) -> Column:
@@ -312,30 +324,7 @@ def canonical(v: Column, python_equality: bool = True) -> Column:
     ``python_equality`` true and false also equal 1 and 0.
     """
 
-    def number(t: Column) -> Column:
-        d = t.try_cast("double")
-        whole = (d == F.floor(d)) & (F.abs(d) < 1e22)
-        return (
-            F.when(t.rlike(r"^-?\d+$"), t)
-            .when(d.isNull(), t)
-            .when(whole, d.cast("decimal(38,0)").cast("string"))
-            .otherwise(d.cast("string"))
-        )
-
-    def token(t: Column) -> Column:
-        folded = F.when(t.rlike(r"^-?\d"), number(t))
-        if python_equality:
-            folded = folded.when(t == "true", "1").when(t == "false", "0")
-        return folded.otherwise(t)
-
-    def normalise(text: Column) -> Column:
-        found = F.regexp_extract_all(text, F.lit(_TOKEN), F.lit(0))
-        special = text.rlike(r"\d[.eE]")
-        if python_equality:
-            special = special | text.contains("true") | text.contains("false")
-        return F.when(special, F.array_join(F.transform(found, token), "")).otherwise(text)
-
-    return let(F.to_json(v), normalise)
+    return let(F.to_json(v), _canonical_text(python_equality))
 
 
 def json_equal(a: Column, b: Column, python_equality: bool = True) -> Column:

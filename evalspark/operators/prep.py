@@ -197,7 +197,9 @@ def _rank_key(key: Column, seed: int) -> Column:
 
 
 def _bucket(rank_key: Column) -> Column:
-    return F.conv(F.substring(rank_key, 1, _BUCKET_DIGITS), 16, 10).cast("int")
+    number = F.conv(F.substring(rank_key, 1, _BUCKET_DIGITS), 16, 10).cast("int")
+    # Never null, so joins add no null filter and both uses of the keys share one scan.
+    return F.coalesce(number, F.lit(0))
 
 
 def _bucket_offsets(keys: DataFrame) -> DataFrame:
