@@ -33,7 +33,7 @@ _END = "--end of text--"
 
 # The value in front of the end marker, when the marker is in second place.
 _WHOLE = f"""d -> CASE WHEN try_variant_get(d, '$[1]', 'string') = '{_END}'
-    THEN coalesce(try_variant_get(d, '$[0]', 'variant'), parse_json('null')) END"""
+    THEN try_variant_get(d, '$[0]', 'variant') END"""
 
 # Type names of VARIANT values as value classes; all others are decimals.
 _CLASS = r"""s -> coalesce(
@@ -43,9 +43,15 @@ _CLASS = r"""s -> coalesce(
     CASE WHEN s RLIKE r'^DECIMAL\((?:19|[23]\d),0\)$' THEN 'int'
          WHEN s IS NOT NULL THEN 'float' END)"""
 
-# Fold over the pieces of a text cut after each brace: a piece that opens at depth 0
+# A text with one opening brace has its span end at the next closing one. Otherwise a
+# fold over the pieces of the text cut after each brace: a piece that opens at depth 0
 # starts a span, one that closes back to depth 0 ends it.
-_SPANS = """t -> CASE WHEN contains(t, '{') AND contains(t, '}') THEN aggregate(
+_SPANS = """t -> CASE
+    WHEN locate('}', t, instr(t, '{') + 1) = 0 OR NOT contains(t, '{')
+        THEN cast(array() AS array<string>)
+    WHEN locate('{', t, instr(t, '{') + 1) = 0
+        THEN array(substr(t, instr(t, '{'), locate('}', t, instr(t, '{')) - instr(t, '{') + 1))
+    ELSE aggregate(
     split(t, r'(?<=[{}])', -1),
     named_struct('offset', 0, 'depth', 0, 'start', 0, 'spans', cast(array() AS array<string>)),
     (s, p) -> named_struct(
@@ -58,8 +64,7 @@ _SPANS = """t -> CASE WHEN contains(t, '{') AND contains(t, '}') THEN aggregate(
         'spans', CASE WHEN endswith(p, '}') AND s.depth = 1
                       THEN concat(s.spans,
                                   array(substr(t, s.start, s.offset + length(p) - s.start + 1)))
-                      ELSE s.spans END)).spans
-    ELSE cast(array() AS array<string>) END"""
+                      ELSE s.spans END)).spans END"""
 
 
 def _canonical_text(python_equality: bool) -> str:
@@ -324,7 +329,12 @@ def canonical(v: Column, python_equality: bool = True) -> Column:
     ``python_equality`` true and false also equal 1 and 0.
     """
 
-    return let(F.to_json(v), _canonical_text(python_equality))
+    return canonical_text(F.to_json(v), python_equality)
+
+
+def canonical_text(text: Column, python_equality: bool = True) -> Column:
+    """The same from a value's ``to_json`` text."""
+    return let(text, _canonical_text(python_equality))
 
 
 def json_equal(a: Column, b: Column, python_equality: bool = True) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, functions as F, types as T
@@ -54,14 +56,14 @@ def _lcs(candidate: list[int], reference: list[int]) -> int:
 @F.arrow_udf(T.LongType())
 def lcs_length(candidate: pa.Array, reference: pa.Array) -> pa.Array:
     """Longest common subsequence of two token lists."""
-    both = pa.concat_arrays([candidate.flatten(), reference.flatten()]).dictionary_encode()
-    codes = both.indices.to_pylist()
+    left, right = candidate.flatten(), reference.flatten()
+    codes = pa.concat_arrays([left, right]).dictionary_encode().indices
 
-    def lists(tokens: pa.Array, shift: int) -> list[list[int]]:
+    def lists(tokens: pa.Array, shift: int) -> Iterator[list[int]]:
         ends = pc.add(pc.subtract(tokens.offsets, tokens.offsets[0]), shift).to_pylist()
-        return [codes[a:b] for a, b in zip(ends, ends[1:])]
+        return (codes.slice(a, b - a).to_pylist() for a, b in zip(ends, ends[1:]))
 
-    pairs = zip(lists(candidate, 0), lists(reference, len(candidate.flatten())))
+    pairs = zip(lists(candidate, 0), lists(reference, len(left)))
     return pa.array([_lcs(c, r) for c, r in pairs], pa.int64())
 
 

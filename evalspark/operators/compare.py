@@ -23,13 +23,11 @@ NO_SUMMARY = "no forgetting summary found"
 def join_metrics(labels: DataFrame, *metrics: DataFrame) -> DataFrame:
     """Metrics next to each label, blank where a checkpoint has none.
 
-    Metrics tables hold one row per checkpoint. They are cut down to the labels
-    asked for before the join, which bounds the side that is broadcast.
+    Metrics tables hold one row per checkpoint; Spark picks the join by their size.
     """
     joined = labels
     for table in metrics:
-        wanted = table.join(F.broadcast(labels.select("checkpoint")), "checkpoint", "left_semi")
-        joined = joined.join(F.broadcast(wanted), "checkpoint", "left")
+        joined = joined.join(table, "checkpoint", "left")
     return joined
 
 

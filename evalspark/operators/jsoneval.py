@@ -70,11 +70,14 @@ def score_json(preds: DataFrame, python_equality: bool = True) -> DataFrame:
     # The checks past parsing only run on rows that reach them.
     scorable = cand.isNotNull() & ref.isNotNull() & jsonx.is_object(cand)
     gated = parsed.withColumns(
-        {"scorable": scorable, "same_text": F.to_json(cand) == F.to_json(ref)}
+        {"scorable": scorable, "cand_text": F.to_json(cand), "ref_text": F.to_json(ref)}
+    )
+    cand_text, ref_text = F.col("cand_text"), F.col("ref_text")
+    # Equal texts make equal values of equal classes; only NaN is written like a string.
+    same = (cand_text == ref_text) & ~ref_text.contains("NaN")
+    equal = jsonx.canonical_text(cand_text, python_equality) == jsonx.canonical_text(
+        ref_text, python_equality
     )
-    # Equal texts make equal values; NaN is the one value that never equals itself.
-    same = F.col("same_text") & ~F.to_json(ref).contains("NaN")
-    equal = jsonx.json_equal(cand, ref, python_equality)
     checked = gated.withColumns(
         {
             "schema": F.when(F.col("scorable") & same, jsonx.full_compliance()).when(

@@ -15,6 +15,8 @@ def prepare(spark: SparkSession) -> SparkSession:
     # Parsing and aligning texts costs far more per byte than starting a task does,
     # so small shuffles keep their cores busy instead of merging into one task.
     spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
+    # Texts and vectors differ in size by orders of magnitude: bound batches by bytes.
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "64m")
     return spark
 
 
