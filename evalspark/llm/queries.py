@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from evalspark.llm import decontaminate, exact_dedup, simhash, url_filter
+from evalspark.llm import decontaminate, exact_dedup, packing, simhash, url_filter
 from evalspark.llm.common import ready, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,3 +50,9 @@ ORACLE["op4_exact_dedup"] = exact_dedup.EXACT_SQL
 def op6_url_filter(spark, sf_dir):
     """The verdict on every page's URL."""
     return url_filter.judge_urls(table(spark, sf_dir, "pages"))
+
+
+@query
+def op7_packing(spark, sf_dir):
+    """Every piece of every document with its place in the packed sequences."""
+    return packing.pack(table(spark, sf_dir, "documents"))
