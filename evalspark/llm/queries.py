@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from evalspark.llm import decontaminate, exact_dedup, packing, simhash, url_filter
+from evalspark.llm import decontaminate, exact_dedup, packing, simhash, toxicity, url_filter
 from evalspark.llm.common import ready, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,12 @@ def query(build: Query) -> Query:
     return run
 
 
+@query
+def op1_toxicity(spark, sf_dir):
+    """Toxicity of every document, by a classifier trained on ``labels``."""
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op2_decontamination(spark, sf_dir):
     """Documents that hold a passage of ``benchmark``, with the item."""
