@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from evalspark.llm import decontaminate, exact_dedup, packing, simhash, toxicity, url_filter
+from evalspark.llm import decontaminate, exact_dedup, language_model, packing, simhash, toxicity, url_filter
 from evalspark.llm.common import ready, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,3 +62,9 @@ def op6_url_filter(spark, sf_dir):
 def op7_packing(spark, sf_dir):
     """Every piece of every document with its place in the packed sequences."""
     return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_language_model(spark, sf_dir):
+    """Base score and language-model score of every document."""
+    return language_model.score_documents(table(spark, sf_dir, "documents"))
