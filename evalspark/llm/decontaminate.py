@@ -42,9 +42,9 @@ def _around(words: Column, at: Column) -> Column:
 
 def _seeds(df: DataFrame, key: str) -> DataFrame:
     """(key, _words, _at, _seed): each position's seeds, one per mask."""
-    each = df.filter(F.size("_words") >= SPAN).select(
-        key, "_words", F.explode(F.sequence(F.lit(0), F.size("_words") - SPAN)).alias("_at")
-    )
+    # The outer form keeps Spark from adding a filter that would hash all words twice.
+    spots = F.when(F.size("_words") >= SPAN, F.sequence(F.lit(0), F.size("_words") - SPAN))
+    each = df.select(key, "_words", F.explode_outer(spots).alias("_at")).filter("_at IS NOT NULL")
     hashed = [
         F.xxhash64(F.lit(i), *(F.col("_words")[F.col("_at") + o] for o in mask))
         for i, mask in enumerate(MASKS)
@@ -88,13 +88,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         hits = found.join(words, "doc_id")
     width = F.least(F.lit(WINDOW), F.col("_item._length"))
     need = F.ceil(width * F.lit(MIN_SHARE)).cast("int")
-    seen = hits.select(
-        "doc_id", "_at", "_item", "_theirs", _around(F.col("_words"), F.col("_at")).alias("_ours")
-    )
-    good = seen.filter(_agreeing(F.col("_ours"), F.col("_theirs"), need, width))
+    agrees = _agreeing(_around(F.col("_words"), F.col("_at")), F.col("_theirs"), need, width)
+    # Verified in the aggregate, not by a filter: a filter would become part of the join's
+    # condition, take the join out of generated code and build every unrolled row in full.
     return (
-        good.groupBy("doc_id", F.col("_item.item_id").alias("item_id"))
-        .agg(F.max("_item.n_items").alias("n_items"), F.count("*").alias("hits"))
+        hits.groupBy("doc_id", F.col("_item.item_id").alias("item_id"))
+        .agg(F.max("_item.n_items").alias("n_items"), F.sum(agrees.cast("long")).alias("hits"))
+        .filter("hits > 0")
     )
 
 
