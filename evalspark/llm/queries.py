@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from evalspark.llm import decontaminate, exact_dedup, language_model, packing, simhash, toxicity, url_filter
+from evalspark.llm import decontaminate, exact_dedup, language_model, packing, simhash, substring_dedup, toxicity, url_filter
 from evalspark.llm.common import ready, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,6 +52,12 @@ def op4_exact_dedup(spark, sf_dir):
 ORACLE["op4_exact_dedup"] = exact_dedup.EXACT_SQL
 
 
+@query
+def op5_suffix_dedup(spark, sf_dir):
+    """Bytes of every document that repeat an earlier 100-byte string, removed."""
+    return substring_dedup.dedup_substrings(table(spark, sf_dir, "documents"))
+
+
 @query
 def op6_url_filter(spark, sf_dir):
     """The verdict on every page's URL."""
