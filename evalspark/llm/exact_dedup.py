@@ -19,7 +19,7 @@ from evalspark.llm.common import materialise, text_or_empty
 RUNS, FAN_IN = 64, 8
 SPACES = r"[\x20\x09-\x0D]+"
 IDENTITY = ("_digest", "_length", "_check")
-_LAST = F.lit(2**63 - 1)
+_LAST = 2**63 - 1
 
 
 def normalised(text: Column) -> Column:
@@ -74,7 +74,7 @@ def exact_groups(docs: DataFrame) -> DataFrame:
         rows.select(
             "_run",
             *IDENTITY,
-            F.coalesce(F.col("doc_id").cast("long"), _LAST).alias("_id"),
+            F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("_id"),
             F.col("_row").alias("_keeper"),
             F.lit(1).cast("long").alias("_n"),
         )
