@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from evalspark.llm import decontaminate, exact_dedup, language_model, packing, simhash, substring_dedup, toxicity, url_filter
+from evalspark.llm import (
+    decontaminate,
+    exact_dedup,
+    language_model,
+    packing,
+    simhash,
+    substring_dedup,
+    token_counts,
+    toxicity,
+    training_order,
+    url_filter,
+)
 from evalspark.llm.common import ready, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,6 +81,18 @@ def op7_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+@query
+def op8_training_order(spark, sf_dir):
+    """Slot, shard and byte offset of every sequence of the documents, shards written."""
+    return training_order.training_order(table(spark, sf_dir, "documents"))[0]
+
+
+@query
+def op9_token_counts(spark, sf_dir):
+    """Tokens of every document, counted in flat files by their separators."""
+    return token_counts.document_tokens(table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_language_model(spark, sf_dir):
     """Base score and language-model score of every document."""

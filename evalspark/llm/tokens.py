@@ -64,8 +64,8 @@ class WordEncoder:
         self.sizes = np.concatenate((self.sizes, np.array(sizes, np.int64)))
         self.flat = np.concatenate((self.flat, np.array(flat, np.uint32)))
 
-    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of the texts in order, and where each text's ids begin and end."""
+    def _lookup(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Each word's place in the cache, and the number of words per text."""
         words, counts = split_words(texts)
         coded = words.dictionary_encode()
         known = coded.dictionary.to_pylist()
@@ -74,8 +74,18 @@ class WordEncoder:
         if new := [w for w in known if w not in self.place]:
             self._learn(new)
         place = np.fromiter((self.place[w] for w in known), np.int64, len(known))
+        return place[coded.indices.to_numpy()] if len(words) else np.zeros(0, np.int64), counts
+
+    def count(self, texts: pa.Array) -> np.ndarray:
+        """The number of ids of each text."""
+        which, counts = self._lookup(texts)
+        total = np.concatenate(([0], np.cumsum(self.sizes[which])))
+        return np.diff(total[np.concatenate(([0], np.cumsum(counts)))])
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts in order, and where each text's ids begin and end."""
+        which, counts = self._lookup(texts)
         begins = np.concatenate(([0], np.cumsum(self.sizes)))
-        which = place[coded.indices.to_numpy()] if len(words) else np.zeros(0, np.int64)
         sizes = self.sizes[which]
         ends = np.cumsum(sizes)
         total = int(ends[-1]) if len(ends) else 0
