@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from evalspark.llm.common import materialise, text_or_empty
-from evalspark.llm.tokens import WordEncoder, default_path
+from evalspark.llm.tokens import default_path, encoder
 
 WINDOW, END_ID = 2048, 1
 #: Triples tried at most, those of the most frequent lengths first; a bound on the
@@ -119,12 +119,12 @@ def token_pieces(docs: DataFrame, window: int, path: str) -> DataFrame:
     sizes = [1 << k for k in range(window.bit_length() - 2, -1, -1)]
 
     def scan(batches):
-        encoder = WordEncoder(path)
+        words = encoder(path)
         part = TaskContext.get().partitionId()
         seen, full_seen = np.zeros(window, np.int64), 0
         end = np.array([END_ID], "<u4").tobytes()
         for batch in batches:
-            ids, bounds = encoder.encode(batch.column(1))
+            ids, bounds = words.encode(batch.column(1))
             raw = memoryview(ids.astype("<u4", copy=False)).cast("B")
             out = {k: [] for k in ("n", "full", "rest", "rest_crc", "bits", "rank", "full_rank")}
             for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):

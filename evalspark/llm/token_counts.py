@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from evalspark.llm.common import materialise, scratch, text_or_empty
 from evalspark.llm.files import read_range, sizes, write_file
-from evalspark.llm.tokens import END_OF_TEXT, WordEncoder, default_path
+from evalspark.llm.tokens import END_OF_TEXT, default_path, encoder
 
 BLOCK_BYTES = 1 << 20
 ID_BYTES = 2
@@ -31,13 +31,13 @@ def write_flat(docs: DataFrame, uri: str, path: str | None = None) -> DataFrame:
     path = path or default_path()
 
     def scan(batches):
-        encoder = WordEncoder(path, plain_specials=True)
+        words = encoder(path, plain_specials=True)
         file = f"{uri}/part-{TaskContext.get().partitionId():06d}.bin"
         owners: list[pa.Array] = []
 
         def chunks():
             for batch in batches:
-                ids, bounds = encoder.encode(batch.column(1))
+                ids, bounds = words.encode(batch.column(1))
                 yield np.insert(ids, bounds[1:], END_OF_TEXT).astype("<u2").tobytes()
                 owners.append(batch.column(0))
 

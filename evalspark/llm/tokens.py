@@ -2,12 +2,14 @@
 
 Texts are cut at ASCII white space, each distinct word of a batch is encoded once, and
 ids are gathered by numpy. The tokenizer drops white space and never joins across it, so
-words encode alone as they do in their text; a bounded cache keeps them for later batches.
+words encode alone as they do in their text; a bounded cache keeps them for later batches
+and tasks of the same worker.
 """
 
 from __future__ import annotations
 
 import os
+import sys
 
 import numpy as np
 import public_tokenizers
@@ -17,7 +19,7 @@ import pyarrow.compute as pc
 #: The file name of the default vocabulary; any tokenizer whose words end at white space fits.
 VOCABULARY = "word_bpe_49k.json"
 END_OF_TEXT = 49407
-CACHED_WORDS = 600_000
+CACHED_WORDS = 1_200_000
 #: Distinct words are encoded this many at a time as one text.
 TOGETHER = 256
 #: Words of printable ASCII and Latin letters, whose parts PARTS finds just as the tokenizer does.
@@ -57,7 +59,7 @@ class WordEncoder:
         self._clear()
 
     def _clear(self) -> None:
-        self.place: dict[str, int] = {}
+        self.known = pa.array([], pa.large_string())
         self.sizes = np.zeros(0, np.int64)
         self.flat = np.zeros(0, np.uint32)
 
@@ -82,32 +84,35 @@ class WordEncoder:
             sizes.append(size)
         return np.concatenate(flat), np.concatenate(sizes)
 
-    def _learn(self, words: list[str]) -> None:
-        texts = pa.array(words, pa.string())
-        simple = pc.and_(pc.match_substring_regex(texts, SIMPLE), pc.invert(pc.match_substring(texts, "<|")))
-        simple = simple.to_numpy(zero_copy_only=False) if self.ends.any() else np.zeros(len(words), bool)
-        parts = pc.count_substring_regex(pc.utf8_lower(texts), PARTS).to_numpy()
-        plain = texts.filter(pa.array(simple)).to_pylist()
-        alone = texts.filter(pa.array(~simple)).to_pylist()
-        for some, encode in ((alone, self._encode_words), (plain, lambda w: self._encode_together(w, parts[simple]))):
-            if some:
-                flat, sizes = encode(some)
-                base = len(self.place)
-                self.place.update(zip(some, range(base, base + len(some))))
+    def _learn(self, words: pa.Array) -> None:
+        simple = pc.and_(pc.match_substring_regex(words, SIMPLE), pc.invert(pc.match_substring(words, "<|")))
+        if not self.ends.any():
+            simple = pa.array(np.zeros(len(words), bool))
+        plain, alone = words.filter(simple), words.filter(pc.invert(simple))
+        parts = pc.count_substring_regex(pc.utf8_lower(plain), PARTS).to_numpy()
+        together = lambda some: self._encode_together(some, parts)
+        for some, encode in ((alone, self._encode_words), (plain, together)):
+            if len(some):
+                flat, sizes = encode(some.to_pylist())
+                self.known = pa.concat_arrays([self.known, some])
                 self.sizes = np.concatenate((self.sizes, sizes))
                 self.flat = np.concatenate((self.flat, flat))
 
     def _lookup(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Each word's place in the cache, and the number of words per text."""
         words, counts = split_words(texts)
+        if not len(words):
+            return np.zeros(0, np.int64), counts
         coded = words.dictionary_encode()
-        known = coded.dictionary.to_pylist()
-        if len(self.place) + len(known) > CACHED_WORDS:
-            self._clear()
-        if new := [w for w in known if w not in self.place]:
-            self._learn(new)
-        place = np.fromiter((self.place[w] for w in known), np.int64, len(known))
-        return place[coded.indices.to_numpy()] if len(words) else np.zeros(0, np.int64), counts
+        place = pc.index_in(coded.dictionary, self.known)
+        if place.null_count:
+            if len(self.known) + place.null_count > CACHED_WORDS:
+                self._clear()
+                self._learn(coded.dictionary)
+            else:
+                self._learn(coded.dictionary.filter(pc.is_null(place)))
+            place = pc.index_in(coded.dictionary, self.known)
+        return place.to_numpy().astype(np.int64)[coded.indices.to_numpy()], counts
 
     def count(self, texts: pa.Array) -> np.ndarray:
         """The number of ids of each text."""
@@ -125,3 +130,14 @@ class WordEncoder:
         at = np.repeat(begins[which] - (ends - sizes), sizes) + np.arange(total)
         bounds = np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(counts)))]
         return self.flat[at], bounds
+
+
+def encoder(path: str, plain_specials: bool = False) -> WordEncoder:
+    """This worker's encoder; tasks of one worker share its cache.
+
+    Task functions travel by value, so what outlives a task hangs on the interpreter itself.
+    """
+    kept = sys.modules.setdefault("_word_encoders", {})  # type: ignore[arg-type]
+    if (path, plain_specials) not in kept:
+        kept[path, plain_specials] = WordEncoder(path, plain_specials)
+    return kept[path, plain_specials]

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from evalspark.llm.common import materialise, scratch, text_or_empty
 from evalspark.llm.files import read_range, write_file
-from evalspark.llm.tokens import END_OF_TEXT, WordEncoder, default_path
+from evalspark.llm.tokens import END_OF_TEXT, default_path, encoder
 
 STRIDE, PER_SHARD, KEY, ROUNDS = 512, 8192, 20_240_601, 6
 ID_BYTES = 2  # the vocabulary has fewer than 65,536 ids
@@ -83,10 +83,10 @@ def shard_uri(uri: str, shard: int) -> str:
 
 def _counted(texts: DataFrame, path: str, stride: int) -> DataFrame:
     def scan(batches):
-        encoder = WordEncoder(path, plain_specials=True)
+        words = encoder(path, plain_specials=True)
         n = 0
         for batch in batches:
-            n += int((-(-(encoder.count(batch.column(1)) + 1) // stride)).sum())
+            n += int((-(-(words.count(batch.column(1)) + 1) // stride)).sum())
         part = TaskContext.get().partitionId()
         yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([n], pa.int64())], ["part", "n"])
 
@@ -122,11 +122,11 @@ def training_order(
     names = ["slot", "doc_id", "start", "n_tokens", "ids"]
 
     def cut(batches):
-        encoder = WordEncoder(path, plain_specials=True)
+        words = encoder(path, plain_specials=True)
         base, expected = first.value.get(TaskContext.get().partitionId(), (0, 0))
         seen = 0
         for batch in batches:
-            ids, bounds = encoder.encode(batch.column(1))
+            ids, bounds = words.encode(batch.column(1))
             ids = ids.astype("<u2")
             lengths = np.diff(bounds) + 1
             each = -(-lengths // stride)
