@@ -83,9 +83,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     if seeds.count() <= BROADCAST_SEEDS:
         hits = mine.join(F.broadcast(seeds), "_seed")
     else:
-        found = mine.select("doc_id", "_at", "_seed").join(seeds, "_seed").drop("_seed")
-        words = docs.select("doc_id", word_hashes(text_or_empty()).alias("_words"))
-        hits = found.join(words, "doc_id")
+        # Hits of rows that are alike are found for each of them: keep one set, then join all.
+        row = F.struct("doc_id", F.xxhash64("text").alias("text")).alias("_row")
+        words = docs.select(row, word_hashes(text_or_empty()).alias("_words"))
+        found = _seeds(words, "_row").drop("_words").join(seeds, "_seed")
+        found = found.dropDuplicates(["_row", "_at", "_seed", "_item"]).withColumnRenamed("_row", "_hit")
+        same = F.col("_hit").eqNullSafe(F.col("_row"))
+        hits = found.join(words, same).select(F.col("_row.doc_id").alias("doc_id"), "_words", "_at", "_item", "_theirs")
     width = F.least(F.lit(WINDOW), F.col("_item._length"))
     need = F.ceil(width * F.lit(MIN_SHARE)).cast("int")
     agrees = _agreeing(_around(F.col("_words"), F.col("_at")), F.col("_theirs"), need, width)
