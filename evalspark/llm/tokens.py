@@ -84,19 +84,23 @@ class WordEncoder:
             sizes.append(size)
         return np.concatenate(flat), np.concatenate(sizes)
 
-    def _learn(self, words: pa.Array) -> None:
+    def _learn(self, words: pa.Array) -> np.ndarray:
+        """Add words; their places in the cache."""
         simple = pc.and_(pc.match_substring_regex(words, SIMPLE), pc.invert(pc.match_substring(words, "<|")))
-        if not self.ends.any():
-            simple = pa.array(np.zeros(len(words), bool))
-        plain, alone = words.filter(simple), words.filter(pc.invert(simple))
+        simple = simple.to_numpy(zero_copy_only=False) & self.ends.any()
+        base, rest = len(self.known), np.flatnonzero(~simple)
+        order = np.concatenate((rest, np.flatnonzero(simple)))
+        words = words.take(pa.array(order))
+        alone, plain = words.slice(0, len(rest)), words.slice(len(rest))
         parts = pc.count_substring_regex(pc.utf8_lower(plain), PARTS).to_numpy()
         together = lambda some: self._encode_together(some, parts)
-        for some, encode in ((alone, self._encode_words), (plain, together)):
-            if len(some):
-                flat, sizes = encode(some.to_pylist())
-                self.known = pa.concat_arrays([self.known, some])
-                self.sizes = np.concatenate((self.sizes, sizes))
-                self.flat = np.concatenate((self.flat, flat))
+        found = [f(w.to_pylist()) for w, f in ((alone, self._encode_words), (plain, together)) if len(w)]
+        self.flat = np.concatenate((self.flat, *(flat for flat, _ in found)))
+        self.sizes = np.concatenate((self.sizes, *(sizes for _, sizes in found)))
+        self.known = pa.concat_arrays([self.known, words])
+        place = np.empty(len(order), np.int64)
+        place[order] = base + np.arange(len(order))
+        return place
 
     def _lookup(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Each word's place in the cache, and the number of words per text."""
@@ -104,15 +108,16 @@ class WordEncoder:
         if not len(words):
             return np.zeros(0, np.int64), counts
         coded = words.dictionary_encode()
-        place = pc.index_in(coded.dictionary, self.known)
-        if place.null_count:
-            if len(self.known) + place.null_count > CACHED_WORDS:
-                self._clear()
-                self._learn(coded.dictionary)
-            else:
-                self._learn(coded.dictionary.filter(pc.is_null(place)))
-            place = pc.index_in(coded.dictionary, self.known)
-        return place.to_numpy().astype(np.int64)[coded.indices.to_numpy()], counts
+        found = pc.index_in(coded.dictionary, self.known)
+        if len(self.known) + found.null_count > CACHED_WORDS:
+            self._clear()
+            place = self._learn(coded.dictionary)
+        else:
+            new = found.is_null().to_numpy(zero_copy_only=False)
+            place = found.fill_null(0).to_numpy().astype(np.int64)
+            if new.any():
+                place[new] = self._learn(coded.dictionary.filter(pa.array(new)))
+        return place[coded.indices.to_numpy()], counts
 
     def count(self, texts: pa.Array) -> np.ndarray:
         """The number of ids of each text."""

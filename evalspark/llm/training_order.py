@@ -180,7 +180,8 @@ def training_order(
     schema = f"slot bigint, doc_id {kind}, start bigint, n_tokens bigint, ids binary"
     placed = texts.mapInArrow(cut, schema).withColumn("_shard", F.floor(F.col("slot") / per_shard))
     shards = max(1, -(-total // per_shard))
-    # Shard numbers are dense and equally large, so ranges of them need no sample.
-    ordered = placed.repartitionByRange(shards, "_shard").sortWithinPartitions("slot").drop("_shard")
+    # Shards are ranges of slots, dense and equally large: their numbers are the partitions',
+    # and no sample is needed to find bounds.
+    ordered = placed.repartitionById(shards, F.col("_shard").cast("int")).sortWithinPartitions("slot").drop("_shard")
     result = f"slot bigint, doc_id {kind}, start bigint, n_tokens bigint, ids_crc32 bigint, shard bigint, byte_offset bigint"
     return ordered.mapInArrow(write, result), Layout(uri, total, stride, per_shard)
