@@ -115,4 +115,5 @@ def document_tokens(docs: DataFrame, uri: str | None = None, path: str | None =
     uri = uri or scratch(docs.sparkSession, "flat-tokens")
     owners = materialise(write_flat(docs, uri, path), "flat-owners")
     counted = count_tokens(docs.sparkSession, uri)
-    return owners.join(counted, ["file", "ordinal"]).select("doc_id", "file", "ordinal", "n_tokens")
+    # Both sides have a row per document: compressed they look small, but they grow with the input.
+    return owners.join(counted.hint("merge"), ["file", "ordinal"]).select("doc_id", "file", "ordinal", "n_tokens")
