@@ -34,7 +34,7 @@ LENGTH, GRAM = 100, 32
 REACH = LENGTH - GRAM + 1  # grams in a window
 HOT, LOCAL_HOT = 256, 64
 PIECE = 1 << 21  # windows of one text handled at once; less than 2**22 with the rest
-SORTED_AT_ONCE = 400_000  # suffixes; groups are never cut
+SORTED_AT_ONCE = 4 << 20  # bytes of blocks, with some ten 8-byte numbers each; groups are never cut
 SIGNAL, BLOCK, PROBE, HOT_PROBE, MARK = range(5)
 LAST = 2**63 - 1
 
@@ -430,7 +430,7 @@ def sort_suffixes(batches):
             yield _table(MARK_NAMES, row[block[lead]], start[block[lead]] + step[lead], count)
 
     held: list[pa.RecordBatch] = []
-    windows = 0
+    held_bytes = 0
     for batch in batches:
         void = batch.column(5).is_null()
         if pc.any(void).as_py():
@@ -440,13 +440,13 @@ def sort_suffixes(batches):
         if not len(batch):
             continue
         held.append(batch)
-        windows += pc.sum(batch.column(4)).as_py()
-        if windows < SORTED_AT_ONCE:
+        held_bytes += pc.sum(batch.column(4)).as_py() + len(batch) * (LENGTH - 1)
+        if held_bytes < SORTED_AT_ONCE:
             continue
         table = pa.Table.from_batches(held)
         route = table.column(0).to_numpy()
         last = int(np.flatnonzero(route == route[-1])[0]) if len(route) else 0
-        total = np.cumsum(table.column(4).to_numpy())
+        total = np.cumsum(table.column(4).to_numpy() + LENGTH - 1)
         at = 0
         while at < last:  # whole groups, as many as fit
             limit = np.searchsorted(total, (total[at - 1] if at else 0) + SORTED_AT_ONCE)
@@ -456,7 +456,7 @@ def sort_suffixes(batches):
             yield from settle(table.slice(at, stop - at))
             at = stop
         held = table.slice(last).combine_chunks().to_batches()
-        windows = int(total[-1] - (total[last - 1] if last else 0))
+        held_bytes = int(total[-1] - (total[last - 1] if last else 0))
     if held:
         yield from settle(pa.Table.from_batches(held))
 
