@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 #: The file name of the default vocabulary; any tokenizer whose words end at white space fits.
 VOCABULARY = "word_bpe_49k.json"
 END_OF_TEXT = 49407
-CACHED_WORDS = 1_200_000
+CACHED_WORDS = 1_000_000
 #: Distinct words are encoded this many at a time as one text.
 TOGETHER = 256
 #: Words of printable ASCII and Latin letters, whose parts PARTS finds just as the tokenizer does.
@@ -128,6 +128,7 @@ class WordEncoder:
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in order, and where each text's ids begin and end."""
         which, counts = self._lookup(texts)
+        pa.default_memory_pool().release_unused()
         begins = np.concatenate(([0], np.cumsum(self.sizes)))
         sizes = self.sizes[which]
         ends = np.cumsum(sizes)
