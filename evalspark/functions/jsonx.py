@@ -6,9 +6,11 @@ parses to NULL; the JSON literal ``null`` parses to a VARIANT that is not NULL.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import Column, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, functions as F
 
 from evalspark.functions.text import or_empty, strip
 
@@ -67,22 +69,49 @@ _SPANS = """t -> CASE
                       ELSE s.spans END)).spans END"""
 
 
-def _canonical_text(python_equality: bool) -> str:
-    """SQL lambda over JSON text: numbers, and maybe booleans, in one form each.
+# Texts with numbers that VARIANT does not keep as written: fractions, exponents, numbers
+# past BIGINT, and the number words.
+_EXACT_NUMBERS = r"\d[.eE]|\d{19}|NaN|Infinity"
 
-    Texts without a fraction, an exponent or a boolean are in that form already.
-    """
+# Sign, whole digits, fraction and exponent of a number token.
+_NUMBER = r"^(-?)(\d+)(?:\.(\d+))?(?:[eE]([+-]?\d+))?$"
+
+
+def _plain_text(python_equality: bool) -> str:
+    """SQL lambda over JSON text without exact numbers: booleans as numbers, no -0."""
     booleans = "WHEN 'true' THEN '1' WHEN 'false' THEN '0'" if python_equality else ""
     has_booleans = "OR contains(j, 'true') OR contains(j, 'false')" if python_equality else ""
-    return rf"""j -> CASE WHEN j RLIKE r'\d[.eE]' {has_booleans} THEN array_join(transform(
+    return rf"""j -> CASE WHEN contains(j, '-0') {has_booleans} THEN array_join(transform(
         regexp_extract_all(j, r'{_TOKEN}', 0),
-        t -> CASE
-            WHEN t RLIKE r'^-?\d+$' OR NOT t RLIKE r'^-?\d' OR try_cast(t AS double) IS NULL
-                THEN CASE t {booleans} WHEN '-0' THEN '0' ELSE t END
-            WHEN cast(t AS double) = floor(cast(t AS double)) AND abs(cast(t AS double)) < 1e22
-                THEN cast(cast(cast(t AS double) AS decimal(38, 0)) AS string)
-            ELSE cast(cast(t AS double) AS string) END), '')
-        ELSE j END"""
+        t -> CASE t {booleans} WHEN '-0' THEN '0' ELSE t END), '') ELSE j END"""
+
+
+def _tagged_text(python_equality: bool) -> str:
+    """SQL lambda over JSON text: numbers as texts of their sign, digits and exponent.
+
+    Texts get an s in front and numbers an n, so no number equals a text.
+    """
+    digits = f"concat(regexp_extract(t, r'{_NUMBER}', 2), regexp_extract(t, r'{_NUMBER}', 3))"
+    trimmed = f"rtrim('0', {digits})"
+    exponent = (
+        f"coalesce(try_cast(regexp_extract(t, r'{_NUMBER}', 4) AS bigint), 0)"
+        f" - length(regexp_extract(t, r'{_NUMBER}', 3)) + length({digits}) - length({trimmed})"
+    )
+    booleans = """WHEN t = 'true' THEN '"n1e0"' WHEN t = 'false' THEN '"n0"'""" if python_equality else ""
+    return rf"""j -> array_join(transform(regexp_extract_all(j, r'{_TOKEN}', 0),
+        t -> CASE WHEN startswith(t, '"') THEN concat('"s', substr(t, 2))
+            WHEN t RLIKE r'{_NUMBER}' THEN CASE WHEN {trimmed} = '' THEN '"n0"'
+                ELSE concat('"n', regexp_extract(t, r'{_NUMBER}', 1), ltrim('0', {trimmed}),
+                            'e', {exponent}, '"') END
+            WHEN t IN ('NaN', 'Infinity', '-Infinity') THEN concat('"n', t, '"')
+            {booleans} ELSE t END), '')"""
+
+
+# JSON text with every number replaced by one of its kind: whole or not.
+_SHAPED = rf"""j -> array_join(transform(regexp_extract_all(j, r'{_TOKEN}', 0),
+    t -> CASE WHEN t RLIKE r'^-?\d+$' THEN '1'
+        WHEN t RLIKE r'{_NUMBER}' OR t IN ('NaN', 'Infinity', '-Infinity') THEN '1.5'
+        ELSE t END), '')"""
 
 
 def let(value: Column, body: Callable[[Column], Column] | str) -> Column:
@@ -212,16 +241,27 @@ def is_valid(c: Column) -> Column:
     return parse_json(c).isNotNull()
 
 
-def preserved_json(c: Column) -> Column:
-    """Re-spaced text of valid JSON, ``", "`` and ``": "`` between its tokens.
+def _rewritten(text: str | None) -> str | None:
+    try:
+        return None if text is None else json.dumps(json.loads(text), ensure_ascii=False)
+    except ValueError:
+        return text
+
+
+def rewrite_json(df: DataFrame, column: str) -> DataFrame:
+    """``df`` with JSON texts written out again from their values, characters unescaped.
 
-    Key order is that of the source, which a VARIANT would sort.
+    A repeated key keeps its first place and its last value at every depth, which no
+    built-in function does while keeping the order of keys. Other texts stay as they are.
     """
-    spaced = F.transform(
-        F.regexp_extract_all(c, F.lit(_TOKEN), F.lit(0)),
-        lambda t: F.when(t.isin(",", ":"), F.concat(t, F.lit(" "))).otherwise(t),
-    )
-    return F.array_join(spaced, "")
+    place, schema = df.columns.index(column), df.schema
+
+    def scan(batches):
+        for batch in batches:
+            texts = [_rewritten(t) for t in batch.column(place).to_pylist()]
+            yield batch.set_column(place, batch.schema.field(place), pa.array(texts, pa.string()))
+
+    return df.mapInArrow(scan, schema)
 
 
 # --- value classes --------------------------------------------------------
@@ -249,12 +289,15 @@ def as_list(v: Column) -> Column:
     return F.try_variant_get(v, "$", "array<variant>")
 
 
-def _is_null_literal(v: Column) -> Column:
+def is_null_literal(v: Column) -> Column:
     return v.isNull() | (F.to_json(v) == "null")
 
 
-def parse_object(c: Column) -> Column:
-    """Object, or the single object of a one-element list, as STRUCT<value, error>."""
+def parse_object(c: Column, preview: int = 500) -> Column:
+    """Object, or the single object of a one-element list, as STRUCT<value, error>.
+
+    ``preview`` is how much of the text an error message quotes.
+    """
 
     def pick(v: Column) -> Column:
         only = F.when(F.size(as_list(v)) == 1, F.get(as_list(v), F.lit(0)))
@@ -265,7 +308,7 @@ def parse_object(c: Column) -> Column:
             F.lit(" parsed_type="),
             F.coalesce(value_class(v), F.lit("n/a")),
             F.lit(" preview="),
-            F.substring(or_empty(c), 1, 500),
+            F.substring(or_empty(c), 1, preview),
         )
         return F.struct(
             value.alias("value"), F.when(value.isNull(), error).alias("error")
@@ -322,24 +365,36 @@ def response_text(c: Column) -> Column:
 # --- comparison -----------------------------------------------------------
 
 
-def canonical(v: Column, python_equality: bool = True) -> Column:
-    """Text that is equal exactly when two values are equal.
+def has_exact_numbers(c: Column) -> Column:
+    """Whether a text holds numbers that must be compared as they are written."""
+    return F.coalesce(c.rlike(_EXACT_NUMBERS), F.lit(False))
+
 
-    Object keys are sorted, list order counts, 1 equals 1.0 and 1e0. With
+def shape(text: Column) -> Column:
+    """VARIANT of a JSON text with the value classes of its numbers, not their values."""
+    return parse_strict(let(text, _SHAPED))
+
+
+def comparable(text: Column, python_equality: bool = True) -> Column:
+    """VARIANT of a JSON text that is equal to another's exactly when their values are.
+
+    Numbers compare by written value: 1, 1.0 and 1e0 are equal, and so are 1e22 and its 23
+    digits; no digit is lost. Keys and texts have an s in front. With
     ``python_equality`` true and false also equal 1 and 0.
     """
+    return parse_strict(let(text, _tagged_text(python_equality)))
 
-    return canonical_text(F.to_json(v), python_equality)
 
-
-def canonical_text(text: Column, python_equality: bool = True) -> Column:
-    """The same from a value's ``to_json`` text."""
-    return let(text, _canonical_text(python_equality))
+def plain_equal(a: Column, b: Column, python_equality: bool = True) -> Column:
+    """Deep equality of two values without exact numbers, by their ``to_json`` texts."""
+    form = _plain_text(python_equality)
+    return let(a, form) == let(b, form)
 
 
 def json_equal(a: Column, b: Column, python_equality: bool = True) -> Column:
-    """Deep equality of two values."""
-    return canonical(a, python_equality) == canonical(b, python_equality)
+    """Deep equality of two JSON texts: sorted keys, ordered lists, numbers by value."""
+    left, right = comparable(a, python_equality), comparable(b, python_equality)
+    return F.to_json(left) == F.to_json(right)
 
 
 def type_compatible(a: Column, b: Column) -> Column:
@@ -437,8 +492,14 @@ def schema_compliance(a: Column, b: Column) -> Column:
 def field_f1(a: Column, b: Column) -> Column:
     """Per-field F1 of candidate ``a`` over the keys of reference ``b`` and its mean.
 
-    Lists compare as sets, anything else by equality; STRUCT<macro, per_field>.
+    Lists compare as sets, anything else by equality; STRUCT<macro, per_field>. Both values
+    are parsed texts without exact numbers, or both are ``comparable``; the latter's keys keep
+    their s.
     """
+    form = _plain_text(True)
+
+    def canonical(v: Column) -> Column:
+        return let(F.to_json(v), form)
 
     def elements(v: Column) -> Column:
         found = F.transform(as_list(v), lambda x: F.coalesce(canonical(x), F.lit("null")))
@@ -458,7 +519,7 @@ def field_f1(a: Column, b: Column) -> Column:
 
     def field(cand: Column, ref: Column, key: Column) -> Column:
         cv, rv = F.try_element_at(cand, key), F.try_element_at(ref, key)
-        equal = ~_is_null_literal(cv) & json_equal(cv, rv)
+        equal = ~is_null_literal(cv) & (canonical(cv) == canonical(rv))
         return F.when(value_class(rv) == "list", list_score(cv, rv)).otherwise(
             F.coalesce(equal, F.lit(False)).cast("double")
         )

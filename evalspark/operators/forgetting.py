@@ -4,19 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from evalspark.functions.text import instruction_category, or_empty
+from evalspark.functions.text import CATEGORY_KEYWORDS, instruction_category, or_empty
 from evalspark.operators.jsoneval import rate
-from evalspark.operators.judge import FIRST, SECOND, TIES
-
-
-def _winner() -> Column:
-    return F.lower(or_empty(F.col("winner")))
+from evalspark.operators.judge import FIRST, SECOND, TIES, winner_letter
 
 
 def _winning_label() -> Column:
     """Label of the side that won; null for a tie, an unknown winner or no label."""
-    return F.when(_winner() == FIRST, F.col("checkpoint_a")).when(
-        _winner() == SECOND, F.col("checkpoint_b")
+    return F.when(winner_letter() == FIRST, F.col("checkpoint_a")).when(
+        winner_letter() == SECOND, F.col("checkpoint_b")
     )
 
 
@@ -40,7 +36,7 @@ def head_to_head(
     total only. ``positional=True`` ignores labels: a is the first, b the second
     and anything else a tie.
     """
-    winner = _winner()
+    winner = winner_letter()
     if positional:
         won1, won2 = winner == FIRST, winner == SECOND
         tied = ~(won1 | won2)
@@ -59,50 +55,77 @@ def head_to_head(
     )
 
 
+# Categories by number, so that aggregates hold numbers and need no sort.
+_CATEGORIES = (*(name for name, _ in CATEGORY_KEYWORDS), "open_ended")
+
+
 def _outcomes(judgements: DataFrame, preds: DataFrame, first: str, second: str) -> DataFrame:
-    """Judgements with their prompt, both predictions and the side that won.
+    """Judgements with their prompt's category, whether both outputs exist, and the side that won.
 
-    Both predictions of a prompt are brought into one row before the join, so the
-    judgements are shuffled once.
+    Texts stay in the scan: what a prompt sends on is a category number and two counts.
     """
+    names = F.array(*(F.lit(c) for c in _CATEGORIES))
     is_first = F.col("checkpoint") == first
+    code = F.array_position(names, instruction_category(F.col("instruction")))
     prompts = (
         preds.filter(F.col("checkpoint").isin(first, second))
         .groupBy(F.col("id").alias("idx"))
         .agg(
-            F.max(F.when(is_first, F.struct("instruction", "input", "prediction"))).alias("p1"),
-            F.max(
-                F.when(F.col("checkpoint") == second, F.struct("prediction"))
-            ).alias("p2"),
+            F.min(F.when(is_first, code)).alias("code"),
+            F.count_if(is_first).alias("n1"),
+            F.count_if(~is_first).alias("n2"),
         )
     )
+    twice = F.raise_error(
+        F.format_string("id %s has two outputs of one checkpoint", F.col("idx").cast("string"))
+    ).cast("boolean")
+    both = F.coalesce((F.col("n1") == 1) & (F.col("n2") == 1), F.lit(False))
     label = _winning_label()
     return judgements.join(prompts, "idx", "left").select(
         "idx",
         "winner",
         "checkpoint_a",
         "checkpoint_b",
-        "p1",
-        "p2",
-        instruction_category(F.col("p1.instruction")).alias("category"),
+        F.coalesce(F.get(names, F.col("code").cast("int") - 1), F.lit(_CATEGORIES[-1])).alias("category"),
+        F.when((F.col("n1") > 1) | (F.col("n2") > 1), twice).otherwise(both).alias("complete"),
         F.coalesce(label == first, F.lit(False)).alias("won1"),
         F.coalesce(label == second, F.lit(False)).alias("won2"),
     )
 
 
-def _example(won: str, label: str) -> Column:
-    """The won pair of lowest index that has both predictions."""
-    complete = F.col(won) & F.col("p1").isNotNull() & F.col("p2").isNotNull()
-    record = F.struct(
+def _earliest(won: str) -> Column:
+    """The lowest index of the won pairs that have both predictions."""
+    return F.min(F.when(F.col(won) & F.col("complete"), F.col("idx")))
+
+
+def _examples(found: DataFrame, preds: DataFrame, first: str, second: str) -> DataFrame:
+    """The texts of the pairs a record names: kind, idx, category and so on; two rows at most."""
+    kinds = F.array(
+        *(
+            F.struct(F.lit(k).alias("kind"), F.col(f"{k}_idx").alias("idx"), F.lit(w).alias("winner"))
+            for k, w in (("regression", first), ("improvement", second))
+        )
+    )
+    picked = found.select(F.inline(kinds)).filter("idx IS NOT NULL")
+
+    def side(label: str, name: str, *more: str) -> DataFrame:
+        wanted = preds.filter(F.col("checkpoint") == label)
+        return wanted.join(F.broadcast(picked), F.col("id") == F.col("idx")).select(
+            "kind", "idx", "winner", *more, or_empty(F.col("prediction")).alias(name)
+        )
+
+    ours = side(first, "prediction_ckpt1", "instruction", "input")
+    theirs = side(second, "prediction_ckpt2").select("kind", "prediction_ckpt2")
+    return ours.join(F.broadcast(theirs), "kind").select(
+        "kind",
         "idx",
-        "category",
-        or_empty(F.col("p1.instruction")).alias("instruction"),
-        or_empty(F.col("p1.input")).alias("input"),
-        or_empty(F.col("p1.prediction")).alias("prediction_ckpt1"),
-        or_empty(F.col("p2.prediction")).alias("prediction_ckpt2"),
-        F.lit(label).alias("winner"),
+        instruction_category(F.col("instruction")).alias("category"),
+        or_empty(F.col("instruction")).alias("instruction"),
+        or_empty(F.col("input")).alias("input"),
+        "prediction_ckpt1",
+        "prediction_ckpt2",
+        "winner",
     )
-    return F.min_by(record, F.when(complete, F.col("idx")))
 
 
 def _by_category(outcomes: DataFrame, *more: Column) -> DataFrame:
@@ -125,19 +148,9 @@ def category_breakdown(
 def exemplars(judgements: DataFrame, preds: DataFrame, first: str, second: str) -> DataFrame:
     """First pair the first checkpoint won (regression) and first the second won (improvement)."""
     found = _outcomes(judgements, preds, first, second).agg(
-        _example("won1", first).alias("regression"), _example("won2", second).alias("improvement")
-    )
-    kinds = F.array(
-        *(
-            F.struct(F.lit(kind).alias("kind"), F.col(kind).alias("example"))
-            for kind in ("regression", "improvement")
-        )
-    )
-    return (
-        found.select(F.inline(kinds))
-        .filter(F.col("example").isNotNull())
-        .select("kind", "example.*")
+        _earliest("won1").alias("regression_idx"), _earliest("won2").alias("improvement_idx")
     )
+    return _examples(found, preds, first, second)
 
 
 def metric_deltas(text_metrics: DataFrame, first: str, second: str) -> DataFrame:
@@ -181,9 +194,9 @@ def forgetting_summary(
         _outcomes(judgements, preds, first, second),
         F.count_if(named & F.col("won1")).alias("named_wins1"),
         F.count_if(named & F.col("won2")).alias("named_wins2"),
-        F.count_if(named & _winner().isin(*TIES)).alias("named_ties"),
-        _example("won1", first).alias("regression"),
-        _example("won2", second).alias("improvement"),
+        F.count_if(named & winner_letter().isin(*TIES)).alias("named_ties"),
+        _earliest("won1").alias("regression_idx"),
+        _earliest("won2").alias("improvement_idx"),
     )
     entry = F.struct(
         F.col("category").alias("key"),
@@ -199,12 +212,20 @@ def forgetting_summary(
         total("named_wins2").alias("ckpt2_wins"),
         total("named_ties").alias("ties"),
         F.map_from_entries(F.array_sort(F.collect_list(entry))).alias("category_breakdown"),
-        F.min_by("regression", "regression.idx").alias("regression"),
-        F.min_by("improvement", "improvement.idx").alias("improvement"),
+        F.min("regression_idx").alias("regression_idx"),
+        F.min("improvement_idx").alias("improvement_idx"),
     )
+    shown = _examples(counts, preds, first, second)
+    content = F.struct(*(c for c in shown.columns if c != "kind"))
+
+    def example(kind: str) -> Column:
+        return shown.filter(F.col("kind") == kind).select(content).scalar()
+
     deltas = metric_deltas(text_metrics, first, second)
     changes = deltas.select(F.struct(*deltas.columns)).scalar()
-    record = _rates(counts).withColumn("metrics", changes)
+    record = _rates(counts).withColumns(
+        {"metrics": changes, "regression": example("regression"), "improvement": example("improvement")}
+    )
     files = metric_files or {}
     return record.select(
         F.lit(first).alias("ckpt1"),

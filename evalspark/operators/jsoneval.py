@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from evalspark.functions import jsonx
@@ -58,7 +60,9 @@ def _labels(s: dict[str, Column]) -> Column:
 def score_json(preds: DataFrame, python_equality: bool = True) -> DataFrame:
     """Add the outcome of every JSON check to each prediction.
 
-    Purely row-wise: both texts are parsed once, and no shuffle is needed.
+    Purely row-wise, and no shuffle is needed. A reference that is JSON null, or no JSON,
+    counts as failed. Texts whose numbers VARIANT would change are read once more, with
+    numbers as texts; all others are compared as they were parsed.
     """
     parsed = preds.withColumns(
         {
@@ -68,30 +72,61 @@ def score_json(preds: DataFrame, python_equality: bool = True) -> DataFrame:
     )
     cand, ref = F.col("cand_value"), F.col("ref_value")
     # The checks past parsing only run on rows that reach them.
-    scorable = cand.isNotNull() & ref.isNotNull() & jsonx.is_object(cand)
+    usable = ref.isNotNull() & ~jsonx.is_null_literal(ref)
     gated = parsed.withColumns(
-        {"scorable": scorable, "cand_text": F.to_json(cand), "ref_text": F.to_json(ref)}
+        {
+            "ref_ok": usable,
+            "scorable": cand.isNotNull() & usable & jsonx.is_object(cand),
+            "exact_numbers": jsonx.has_exact_numbers(F.col("prediction"))
+            | jsonx.has_exact_numbers(F.col("reference")),
+        }
+    )
+    scorable, exact = F.col("scorable"), F.col("exact_numbers")
+    texts = gated.withColumns(
+        {
+            "cand_text": F.when(scorable & ~exact, F.to_json(cand)),
+            "ref_text": F.when(scorable & ~exact, F.to_json(ref)),
+            "cand_json": F.when(scorable & exact, jsonx.json_text(F.col("prediction"))),
+            "ref_json": F.when(scorable & exact, jsonx.json_text(F.col("reference"))),
+        }
+    )
+    cand_json, ref_json = F.col("cand_json"), F.col("ref_json")
+    read = texts.withColumns(
+        {
+            "cand_form": F.when(exact, jsonx.comparable(cand_json, python_equality)),
+            "ref_form": F.when(exact, jsonx.comparable(ref_json, python_equality)),
+            "cand_shape": F.when(exact, jsonx.shape(cand_json)).otherwise(cand),
+            "ref_shape": F.when(exact, jsonx.shape(ref_json)).otherwise(ref),
+        }
     )
     cand_text, ref_text = F.col("cand_text"), F.col("ref_text")
-    # Equal texts make equal values of equal classes; only NaN is written like a string.
-    same = (cand_text == ref_text) & ~ref_text.contains("NaN")
-    equal = jsonx.canonical_text(cand_text, python_equality) == jsonx.canonical_text(
-        ref_text, python_equality
+    same = ~exact & (cand_text == ref_text)
+    forms = F.to_json("cand_form") == F.to_json("ref_form")
+    plain = jsonx.plain_equal(cand_text, ref_text, python_equality)
+    # F1 always takes true and 1 for equal.
+    f1_forms = (
+        (F.col("cand_form"), F.col("ref_form"))
+        if python_equality
+        else (jsonx.comparable(cand_json), jsonx.comparable(ref_json))
     )
-    checked = gated.withColumns(
+    checked = read.withColumns(
         {
-            "schema": F.when(F.col("scorable") & same, jsonx.full_compliance()).when(
-                F.col("scorable"), jsonx.schema_compliance(cand, ref)
+            "schema": F.when(scorable & same, jsonx.full_compliance()).when(
+                scorable, jsonx.schema_compliance(F.col("cand_shape"), F.col("ref_shape"))
             ),
-            "equal": F.when(F.col("scorable"), same | equal),
+            "equal": F.when(scorable, F.when(exact, forms).otherwise(same | plain)),
             "f1": F.when(
-                F.col("scorable") & jsonx.is_extraction(ref), jsonx.field_f1(cand, ref)
+                scorable & jsonx.is_extraction(ref),
+                jsonx.field_f1(
+                    F.when(exact, f1_forms[0]).otherwise(cand),
+                    F.when(exact, f1_forms[1]).otherwise(ref),
+                ),
             ),
         }
     )
     state = {
-        "reference_ok": ref.isNotNull(),
-        "valid": ref.isNotNull() & cand.isNotNull(),
+        "reference_ok": F.col("ref_ok"),
+        "valid": F.col("ref_ok") & cand.isNotNull(),
         "is_object": F.col("scorable"),
     }
     return checked.select(
@@ -134,18 +169,32 @@ def _metrics(scored: DataFrame) -> DataFrame:
     )
 
 
-def json_metrics(scored: DataFrame) -> DataFrame:
+def json_metrics(scored: DataFrame, labels: Sequence[str] | None = None) -> DataFrame:
     """Metrics record per checkpoint, with its error counts as a map.
 
     Each rate has the denominator its definition asks for: all rows for validity
-    and exact match, valid rows for schema compliance.
+    and exact match, valid rows for schema compliance. With ``labels`` there is one record for
+    each of them, of zeros where it has no row, and none for others.
     """
     seen = F.filter("counts", lambda x: x["count"] > 0)
-    return (
-        _metrics(scored)
+    found = (
+        _metrics(scored if labels is None else scored.filter(F.col("checkpoint").isin(*labels)))
         .withColumn("error_taxonomy_counts", F.map_from_entries(seen))
         .drop("counts")
     )
+    if labels is None:
+        return found
+    asked = scored.sparkSession.range(1).select(
+        F.explode(F.array(*(F.lit(label) for label in labels))).alias("checkpoint")
+    )
+    # At most one row per label.
+    full = asked.join(F.broadcast(found), "checkpoint", "left")
+    none = F.create_map().cast("map<string,bigint>")
+    return full.select(
+        "checkpoint",
+        *(F.coalesce(c, none if c == "error_taxonomy_counts" else F.lit(0).cast(t)).alias(c)
+          for c, t in found.dtypes if c != "checkpoint"),
+    )
 
 
 def error_taxonomy(scored: DataFrame) -> DataFrame:

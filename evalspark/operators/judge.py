@@ -26,7 +26,8 @@ def label_frame(spark: SparkSession, labels: Sequence[str]) -> DataFrame:
     return spark.range(1).select(F.posexplode(array).alias("position", "checkpoint"))
 
 
-def _winner() -> Column:
+def winner_letter() -> Column:
+    """The winner in lower case; empty for none."""
     return F.lower(text.or_empty(F.col("winner")))
 
 
@@ -36,25 +37,34 @@ def _winner() -> Column:
 def comparison_plan(preds: DataFrame, labels: Sequence[str]) -> DataFrame:
     """One row per prompt and pair of checkpoints, in the order of ``labels``.
 
-    Rows meet on ``id`` alone: a prompt's outputs come together once and its
+    Rows meet on ``id`` alone: a prompt's outputs come together once, unsorted, and its
     pairs are read off, so no prompt is joined to itself. A pair exists where
-    both checkpoints have an output.
+    both checkpoints have an output; two outputs of one checkpoint for one prompt are an error.
     """
-    wide = (
+    position = F.array_position(F.lit(list(labels)), F.col("checkpoint")).alias("position")
+    together = (
         preds.filter(F.col("checkpoint").isin(*labels))
         .groupBy("id")
-        .agg(
-            F.min_by("instruction", F.array_position(F.lit(list(labels)), F.col("checkpoint"))).alias(
-                "instruction"
-            ),
-            F.min_by("input", F.array_position(F.lit(list(labels)), F.col("checkpoint"))).alias(
-                "input"
-            ),
-            *(
-                F.max(F.when(F.col("checkpoint") == label, F.struct("prediction"))).alias(f"_{i}")
-                for i, label in enumerate(labels)
-            ),
-        )
+        .agg(F.collect_list(F.struct(position, "instruction", "input", "prediction")).alias("_rows"))
+    )
+    rows = F.col("_rows")
+    seen = F.transform(rows, lambda r: r["position"])
+    twice = F.raise_error(
+        F.format_string("id %s has two outputs of one checkpoint", F.col("id").cast("string"))
+    )
+    checked = together.withColumn(
+        "_rows", F.when(F.size(F.array_distinct(seen)) < F.size(seen), twice).otherwise(rows)
+    )
+    first = F.array_min("_rows")  # of the first label; positions differ
+
+    def of(position: int) -> Column:
+        return F.get(F.filter("_rows", lambda r: r["position"] == position), F.lit(0))
+
+    wide = checked.select(
+        "id",
+        first["instruction"].alias("instruction"),
+        first["input"].alias("input"),
+        *(of(i + 1).alias(f"_{i}") for i in range(len(labels))),
     )
     # Adjacent checkpoints come first, then those further apart.
     order = sorted(combinations(range(len(labels)), 2), key=lambda p: (p[1] - p[0], p[0]))
@@ -121,11 +131,12 @@ def complete_judgements(
     ``verdicts`` holds idx and pair columns of the plan besides the model's own
     prompt_id, checkpoint_a and checkpoint_b (null when it gave none). By default
     ids and labels come from the plan, swap included, and the model's are kept as
-    ``raw_*``. With ``trust_model_labels`` the model's win, and the labels that
-    fill its gaps ignore the swap.
+    ``raw_*``, a ``swapped`` of its own included. With ``trust_model_labels`` the model's win, and
+    the labels that fill its gaps ignore the swap. A key the model wrote with null counts as a
+    gap.
     """
     given = ("prompt_id", "checkpoint_a", "checkpoint_b")
-    raw = verdicts.withColumnsRenamed({c: f"raw_{c}" for c in given})
+    raw = verdicts.withColumnsRenamed({c: f"raw_{c}" for c in (*given, "swapped")})
     joined = raw.join(
         plan.select("idx", "first", "second", "swapped"), ["idx", "first", "second"]
     )
@@ -143,6 +154,8 @@ def complete_judgements(
             F.when(swapped, F.col("second")).otherwise(F.col("first")),
             F.when(swapped, F.col("first")).otherwise(F.col("second")),
         )
+    if trust_model_labels and "raw_swapped" in joined.columns:
+        joined = joined.withColumn("swapped", F.coalesce("raw_swapped", "swapped"))
     return joined.withColumns(dict(zip(given, ids)))
 
 
@@ -175,7 +188,7 @@ def judge_stats(
     known letters adds to the comparisons only. Averages divide by all
     comparisons of a checkpoint, with absent scores as 0.
     """
-    winner = _winner()
+    winner = winner_letter()
 
     def side(label: str, scores: str, letter: str, other: str) -> Column:
         return F.struct(
@@ -225,6 +238,20 @@ def judge_stats(
     )
 
 
+def absent_stats(
+    spark: SparkSession, labels: Sequence[str], dimensions: Sequence[str] = DIMENSIONS
+) -> DataFrame:
+    """The statistics where no judge file was found: counts of 0, rates and averages blank."""
+    blank = F.lit(None).cast("double")
+    return label_frame(spark, labels).select(
+        "checkpoint",
+        "position",
+        *(F.lit(0).cast("bigint").alias(c) for c in ("wins", "losses", "ties", "total_compares")),
+        *(blank.alias(f"avg_{d}") for d in dimensions),
+        *(blank.alias(c) for c in ("win_rate", "tie_rate", "loss_rate")),
+    )
+
+
 def judge_summary(stats: DataFrame, dimensions: Sequence[str] = DIMENSIONS) -> DataFrame:
     """Report columns of the judge statistics, in label order."""
     return stats.orderBy("position").select(

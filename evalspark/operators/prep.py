@@ -35,7 +35,6 @@ POOL_SEED_COLUMNS = {
 }
 PROFILE_SCHEMA = '{"required": ["name", "age", "city"]}'
 TOOL_FUNCTION = "weather"
-MIN_POOL_SIZE = 200
 # --------------------------------------------------------------------------
 
 # Buckets of a hash order: the first four hex digits of md5.
@@ -130,33 +129,51 @@ def replicate(df: DataFrame, copies: int) -> DataFrame:
 
 
 def build_pool(
-    seeds: Mapping[str, DataFrame], copies: int | None = 2, keep: tuple[str, ...] = ()
+    seeds: Mapping[str, DataFrame], copies: int = 2, keep: tuple[str, ...] = ()
 ) -> DataFrame:
-    """Union of the families in their fixed order, each prompt ``copies`` times.
-
-    With ``copies=None`` the pool is doubled only when it has fewer than
-    ``MIN_POOL_SIZE`` rows, which takes a count.
-    """
+    """Union of the families in their fixed order, each prompt ``copies`` times."""
     pool = None
     for task_type in POOL_INSTRUCTIONS:
         if task_type in seeds:
             family = prompt_family(seeds[task_type], task_type, keep)
             pool = family if pool is None else pool.unionByName(family)
-    if copies is None:
-        copies = 2 if len(pool.limit(MIN_POOL_SIZE).take(MIN_POOL_SIZE)) < MIN_POOL_SIZE else 1
+    return replicate(pool, copies)
+
+
+def pool_from(seeds: DataFrame, copies: int = 2, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The same in one pass over a table with ``task_type`` and every seed column.
+
+    Columns that a family does not use may be null; rows of other types are left out.
+    """
+    texts = {t: v for t, v in _family_texts().items() if set(POOL_SEED_COLUMNS[t]) <= set(seeds.columns)}
+
+    def chosen(of: Callable[[str], Column]) -> Column:
+        result = None
+        for task_type in texts:
+            hit = F.col("task_type") == task_type
+            result = F.when(hit, of(task_type)) if result is None else result.when(hit, of(task_type))
+        return result
+
+    pool = seeds.filter(F.col("task_type").isin(*texts)).select(
+        *keep,
+        "task_type",
+        chosen(lambda t: F.lit(POOL_INSTRUCTIONS[t])).alias("instruction"),
+        chosen(lambda t: texts[t][0]).alias("input"),
+        chosen(lambda t: texts[t][1]).alias("json_example"),
+    )
     return replicate(pool, copies)
 
 
 def teacher_records(df: DataFrame) -> DataFrame:
     """Accepted answers as dataset rows: the parsed JSON is written out again."""
-    output = jsonx.preserved_json(jsonx.json_text(F.col("text")))
-    return df.select(
+    records = df.select(
         "instruction",
         text.or_empty(F.col("input")).alias("input"),
-        output.alias("output"),
+        jsonx.json_text(F.col("text")).alias("output"),
         F.coalesce("task_type", F.lit("unknown")).alias("task_type"),
         *(c for c in df.columns if c not in ("instruction", "input", "text", "task_type")),
     )
+    return jsonx.rewrite_json(records, "output")
 
 
 # --- row numbers and order ---------------------------------------------------
@@ -234,8 +251,8 @@ def shuffled(df: DataFrame, key: str, seed: int = 42, name: str = "idx") -> Data
 
 
 def head(df: DataFrame, n: int, order_by: str = "idx") -> DataFrame:
-    """The first ``n`` rows in order; none for a negative ``n``."""
-    return df.orderBy(order_by).limit(max(0, n))
+    """The first ``n`` rows of a dense row number from 0; none for a negative ``n``."""
+    return df.filter(F.col(order_by) < n)
 
 
 def with_batch_id(df: DataFrame, batch_size: int = 16, order_by: str = "idx") -> DataFrame:
@@ -318,17 +335,17 @@ def content_key(*columns: str) -> Column:
 def split_capped(
     df: DataFrame,
     key: str,
-    eval_size: int = 100,
-    train_cap: int = 80,
+    eval_size: int,
+    train_cap: int | None = None,
     seed: int = 42,
     by: str = "content",
     content: tuple[str, ...] = ("instruction", "input"),
 ) -> DataFrame:
-    """Keep ``min(eval_size, n - 1)`` rows as eval and up to ``train_cap`` as train.
+    """``min(eval_size, n - 1)`` rows as eval, and all others, or ``train_cap`` of them, as train.
 
     ``by="position"`` ranks rows by their unique key, so copies of one prompt can
     end up on both sides. ``by="content"`` ranks distinct contents, and all copies
-    of a content share its side. One row alone cannot be split: it makes no eval.
+    of a content share its side. One row, or one content, cannot be split: it is an error.
     """
     if by == "content":
         unit = content_key(*content)
@@ -341,14 +358,17 @@ def split_capped(
         raise ValueError("by is content or position")
 
     def eval_rows(n: Column) -> Column:
-        return F.least(F.lit(eval_size), n - 1)
-
-    def all_rows(n: Column) -> Column:
-        return F.least(eval_rows(n) + max(0, train_cap), n)
-
-    flagged = _with_bounds(keyed, keys, {"_eval": eval_rows, "_kept": all_rows})
+        single = F.raise_error(F.lit("a split needs at least two rows")).cast("bigint")
+        return F.when(n == 1, single).otherwise(F.least(F.lit(eval_size), n - 1))
+
+    bounds = {"_eval": eval_rows}
+    if train_cap is not None:
+        bounds["_kept"] = lambda n: F.least(eval_rows(n) + max(0, train_cap), n)
+    flagged = _with_bounds(keyed, keys, bounds)
+    if train_cap is not None:
+        flagged = flagged.filter("_kept").drop("_kept")
     side = F.when(F.col("_eval"), "eval").otherwise("train")
-    return flagged.filter("_kept").withColumn("split", side).drop("_rank_key", "_eval", "_kept")
+    return flagged.withColumn("split", side).drop("_rank_key", "_eval")
 
 
 def split_overlap(df: DataFrame, *columns: str) -> DataFrame:

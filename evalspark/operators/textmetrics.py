@@ -11,6 +11,8 @@ from evalspark.operators.jsoneval import rate
 
 # Tokens of one side that one task compares with as many of the other.
 EMBEDDING_BLOCK = 512
+# Keys over which one row's candidate blocks are dealt.
+EMBEDDING_SPREAD = 16
 
 
 def _f1(overlap: Column, candidate: Column, reference: Column) -> Column:
@@ -102,24 +104,28 @@ _BEST = T.StructType(
 )
 
 
-@F.arrow_udf(_BEST)
-def _best_matches(candidate: pa.Array, reference: pa.Array) -> pa.Array:
-    """Per token, the best cosine with any token of the other block."""
+def _matrix(vectors: pa.ListScalar) -> np.ndarray:
+    rows = vectors.values
+    return rows.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(rows), -1)
+
 
-    def unit(vectors: pa.ListScalar) -> np.ndarray:
-        rows = vectors.values
-        m = rows.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-        m = m.reshape(len(rows), -1)
+@F.arrow_udf(T.ArrayType(T.ArrayType(T.DoubleType())))
+def _unit(vectors: pa.Array) -> pa.Array:
+    """Blocks of vectors of length one; zero vectors stay."""
+    blocks = []
+    for block in vectors:
+        m = _matrix(block)
         norm = np.linalg.norm(m, axis=1, keepdims=True)
-        return m / np.where(norm == 0.0, 1.0, norm)
+        blocks.append((m / np.where(norm == 0.0, 1.0, norm)).tolist())
+    return pa.array(blocks, pa.list_(pa.list_(pa.float64())))
 
+
+@F.arrow_udf(_BEST)
+def _best_matches(candidate: pa.Array, reference: pa.Array) -> pa.Array:
+    """Per token, the best cosine with any token of the other block of unit vectors."""
     cand_best, ref_best = [], []
     for c, r in zip(candidate, reference):
-        if not (c.is_valid and r.is_valid):
-            cand_best.append([])
-            ref_best.append([])
-            continue
-        cosines = unit(c) @ unit(r).T
+        cosines = _matrix(c) @ _matrix(r).T
         cand_best.append(cosines.max(axis=1).tolist())
         ref_best.append(cosines.max(axis=0).tolist())
     lists = pa.list_(pa.float64())
@@ -129,28 +135,42 @@ def _best_matches(candidate: pa.Array, reference: pa.Array) -> pa.Array:
 
 
 def _blocks(vectors: DataFrame, side: str, name: str, block: int) -> DataFrame:
-    """Runs of ``block`` neighbouring tokens of one side as lists of vectors."""
+    """Runs of ``block`` neighbouring tokens of one side as lists of unit vectors."""
     ordered = F.array_sort(F.collect_list(F.struct("pos", "vector")))
-    return (
+    gathered = (
         vectors.filter(F.col("side") == side)
         .groupBy("checkpoint", "row_id", F.floor(F.col("pos") / block).alias(f"{name}_block"))
         .agg(F.transform(ordered, lambda x: x["vector"]).alias(name))
     )
+    return gathered.withColumn(name, _unit(F.col(name)))
 
 
-def embedding_f1(token_embeddings: DataFrame, block: int = EMBEDDING_BLOCK) -> DataFrame:
+def embedding_f1(
+    token_embeddings: DataFrame, block: int = EMBEDDING_BLOCK, spread: int = EMBEDDING_SPREAD
+) -> DataFrame:
     """Precision, recall and F1 per row from the best match of every token.
 
     Input: checkpoint, row_id, side (candidate or reference), pos, vector. Texts
-    meet in blocks of at most ``block`` tokens, which bounds what one task holds
-    however long a text is. A row with one empty side scores 0.
+    meet in blocks of at most ``block`` tokens. A row's candidate blocks are dealt over up to
+    ``spread`` keys and its reference blocks sent to each of them, so a long text is matched in
+    several tasks. A row with one empty side scores 0.
     """
+    row = ["checkpoint", "row_id"]
     cand = _blocks(token_embeddings, "candidate", "cand", block)
     ref = _blocks(token_embeddings, "reference", "ref", block)
-    row = ["checkpoint", "row_id"]
-    # A row with one empty side stays, without any match.
-    met = cand.join(ref, row, "full").withColumn(
-        "best", _best_matches(F.col("cand"), F.col("ref"))
+    number = F.floor(F.col("pos") / block)
+    sizes = token_embeddings.groupBy(*row).agg(
+        F.max(F.when(F.col("side") == "candidate", number)).alias("_last"),
+        F.count_if(F.col("side") == "reference").alias("_refs"),
+    )
+    keys = F.sequence(F.lit(0), F.least(F.col("_last"), F.lit(spread - 1)).cast("int"))
+    dealt = ref.join(sizes.filter("_last IS NOT NULL"), row).select(
+        *row, "ref_block", "ref", F.explode(keys).alias("_key")
+    )
+    met = (
+        cand.withColumn("_key", (F.col("cand_block") % spread).cast("int"))
+        .join(dealt, [*row, "_key"])
+        .withColumn("best", _best_matches(F.col("cand"), F.col("ref")))
     )
     # A block meets every block of the other side: take the best over them first.
     per_token = (
@@ -171,7 +191,7 @@ def embedding_f1(token_embeddings: DataFrame, block: int = EMBEDDING_BLOCK) -> D
                 )
             ),
         )
-        .select(*row, "side", "block_no", F.posexplode_outer("values").alias("place", "best"))
+        .select(*row, "side", "block_no", F.posexplode("values").alias("place", "best"))
         .groupBy(*row, "side", "block_no", "place")
         .agg(F.max("best").alias("best"))
     )
@@ -180,11 +200,14 @@ def embedding_f1(token_embeddings: DataFrame, block: int = EMBEDDING_BLOCK) -> D
         return F.coalesce(F.avg(F.when(F.col("side") == side, F.col("best"))), F.lit(0.0))
 
     p, r = F.col("precision"), F.col("recall")
-    return (
-        per_token.groupBy(*row)
-        .agg(mean("candidate").alias("precision"), mean("reference").alias("recall"))
-        .withColumn("f1", rate(2 * p * r, F.when(p + r != 0, p + r)))
+    scored = per_token.groupBy(*row).agg(
+        mean("candidate").alias("precision"), mean("reference").alias("recall")
+    )
+    zero = F.lit(0.0)
+    alone = sizes.filter("_last IS NULL OR _refs = 0").select(
+        *row, zero.alias("precision"), zero.alias("recall")
     )
+    return scored.unionByName(alone).withColumn("f1", rate(2 * p * r, F.when(p + r != 0, p + r)))
 
 
 def embedding_f1_means(scored: DataFrame) -> DataFrame:

@@ -15,8 +15,8 @@ def instruction_dataset(raw: DataFrame, key: str, fraction: float = 0.95, seed:
 def json_dataset(
     pool: DataFrame,
     log: DataFrame,
-    eval_size: int = 100,
-    train_cap: int = 80,
+    eval_size: int,
+    train_cap: int | None = None,
     seed: int = 42,
     by: str = "content",
 ) -> DataFrame:

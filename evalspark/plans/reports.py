@@ -11,23 +11,26 @@ from evalspark.prompts import DIMENSIONS
 from evalspark.sources import write_jsonl, write_key_value, write_report
 
 
-def json_evaluation(preds: DataFrame) -> dict[str, DataFrame]:
-    """Scores, metrics and error counts of JSON predictions."""
+def json_evaluation(preds: DataFrame, labels: Sequence[str] | None = None) -> dict[str, DataFrame]:
+    """Scores, metrics (of every label asked for) and error counts of JSON predictions."""
     scored = jsoneval.score_json(preds)
     return {
         "scores": scored,
-        "metrics": jsoneval.json_metrics(scored),
+        "metrics": jsoneval.json_metrics(scored, labels),
         "taxonomy": jsoneval.error_taxonomy(scored),
     }
 
 
 def comparison(
-    labels: Sequence[str], judgements: DataFrame, text_metrics: DataFrame, json_metrics: DataFrame
+    labels: Sequence[str], stats: DataFrame, text_metrics: DataFrame, json_metrics: DataFrame
 ) -> DataFrame:
-    """One row per label with its judge, text and JSON results."""
+    """One row per label with its judge, text and JSON results.
+
+    ``stats`` are ``judge.judge_stats``, or ``judge.absent_stats`` where there is no judge file.
+    """
     return compare.checkpoint_comparison(
-        judge.label_frame(judgements.sparkSession, labels),
-        judge.judge_stats(judgements, labels),
+        judge.label_frame(stats.sparkSession, labels),
+        stats,
         text_metrics,
         json_metrics,
     )
@@ -38,30 +41,39 @@ def write_evaluation(
     labels: Sequence[str],
     text_preds: DataFrame,
     json_preds: DataFrame,
-    judgements: DataFrame,
+    judgements: DataFrame | None,
     contested: DataFrame,
+    first: str,
+    second: str,
     token_embeddings: DataFrame | None = None,
     run_tag: str = "",
 ) -> None:
     """Write every table of an evaluation under ``out_dir``.
 
-    ``judgements`` holds all pairs; ``contested`` those of the last two labels,
-    with the ``idx`` of their prompt.
+    ``judgements`` holds all pairs, or is None without a judge file; ``contested`` those of
+    the labels ``first`` and ``second``, with the ``idx`` of their prompt.
 
     Metrics are written first and read back for the tables that combine them, so
     predictions are scored once.
     """
-    spark = judgements.sparkSession
+    spark = contested.sparkSession
     metrics, tables = f"{out_dir}/metrics", f"{out_dir}/tables"
 
     json_path, text_path = f"{metrics}/json_metrics", f"{metrics}/text_metrics"
-    jsoneval.json_metrics(jsoneval.score_json(json_preds)).write.mode("overwrite").parquet(
-        json_path
-    )
+    scored = jsoneval.score_json(json_preds)
+    jsoneval.json_metrics(scored, labels).write.mode("overwrite").parquet(json_path)
     textmetrics.text_metrics(text_preds, token_embeddings).write.mode("overwrite").parquet(
         text_path
     )
+    stats_path = f"{metrics}/judge_stats"
+    stats = (
+        judge.absent_stats(spark, labels)
+        if judgements is None
+        else judge.judge_stats(judgements, labels)
+    )
+    stats.write.mode("overwrite").parquet(stats_path)
     json_table, text_table = spark.read.parquet(json_path), spark.read.parquet(text_path)
+    stats_table = spark.read.parquet(stats_path)
 
     write_report(
         json_table,
@@ -79,18 +91,17 @@ def write_evaluation(
         text_table, f"{tables}/text_metrics.csv", text_table.columns, run_tag
     )
     write_report(
-        comparison(labels, judgements, text_table, json_table),
+        comparison(labels, stats_table, text_table, json_table),
         f"{tables}/comparison.csv",
         compare.COMPARISON_COLUMNS,
         run_tag,
     )
     write_report(
-        judge.judge_summary(judge.judge_stats(judgements, labels)),
+        judge.judge_summary(stats_table),
         f"{tables}/judge_summary.csv",
         ("checkpoint", "win_rate", "tie_rate", *(f"avg_{d}" for d in DIMENSIONS)),
         run_tag,
     )
-    first, second = labels[1], labels[2]
     summary = forgetting.forgetting_summary(
         contested,
         text_preds,

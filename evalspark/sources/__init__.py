@@ -1,6 +1,7 @@
 """Readers and writers: JSON Lines tables and CSV reports."""
 
 from evalspark.sources.files import (
+    find_judgements,
     read_instructions,
     read_judgements,
     read_jsonl,
@@ -11,6 +12,7 @@ from evalspark.sources.files import (
 )
 
 __all__ = [
+    "find_judgements",
     "read_instructions",
     "read_judgements",
     "read_jsonl",

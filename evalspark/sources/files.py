@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -14,15 +15,25 @@ from evalspark.operators.compare import NO_SUMMARY, to_key_value
 def read_jsonl(spark: SparkSession, path: str | Sequence[str], schema: str) -> DataFrame:
     """JSON Lines under an explicit schema; a malformed line fails the job.
 
-    Blank lines are skipped. A path that does not exist is an empty table.
+    Blank lines are skipped. Paths that do not exist are left out; if none of them exists,
+    the table is empty.
     """
+    found = _read_found(spark, [path] if isinstance(path, str) else list(path), schema)
+    return spark.createDataFrame([], schema) if found is None else found
+
+
+def _read_found(spark: SparkSession, paths: Sequence[str], schema: str) -> DataFrame | None:
+    """The files that exist as one table, or nothing."""
     reader = spark.read.schema(schema).option("mode", "FAILFAST")
     try:
-        return reader.json(path if isinstance(path, str) else list(path))
+        return reader.json(list(paths)) if paths else None
     except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return spark.createDataFrame([], schema)
-        raise
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+    if len(paths) == 1:
+        return None
+    parts = [p for p in (_read_found(spark, [one], schema) for one in paths) if p is not None]
+    return reduce(DataFrame.union, parts) if parts else None
 
 
 def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -38,14 +49,22 @@ def read_instructions(spark: SparkSession, path: str) -> DataFrame:
     return read_jsonl(spark, path, schemas.INSTRUCTIONS)
 
 
-def read_judgements(spark: SparkSession, glob: str) -> DataFrame:
-    """All judgement files that match a pattern, with the file each row is from."""
-    found = read_jsonl(spark, glob, schemas.PAIR_JUDGEMENTS)
-    if not found.inputFiles():
-        return found.withColumn("source_file", F.lit(None).cast("string"))
+def find_judgements(spark: SparkSession, glob: str) -> DataFrame | None:
+    """All judgement files that match a pattern, with the file each row is from; None without any."""
+    found = _read_found(spark, [glob], schemas.PAIR_JUDGEMENTS)
+    if found is None:
+        return None
     return found.withColumn("source_file", F.col("_metadata.file_name"))
 
 
+def read_judgements(spark: SparkSession, glob: str) -> DataFrame:
+    """The same, as an empty table where no file matches."""
+    found = find_judgements(spark, glob)
+    if found is not None:
+        return found
+    return spark.createDataFrame([], f"{schemas.PAIR_JUDGEMENTS}, source_file STRING")
+
+
 def tagged(path: str, run_tag: str = "") -> str:
     """``path`` with the tag of a run as a suffix before its extension."""
     tag = run_tag.strip()
@@ -70,11 +89,13 @@ def write_report(df: DataFrame, path: str, columns: Sequence[str], run_tag: str
 
 
 def write_key_value(df: DataFrame, path: str, run_tag: str = "") -> str:
-    """A summary record as key/value CSV, or a line of text when there is none."""
+    """Summary records as key/value CSV, or a line of text when there is none.
+
+    Several records follow each other; each names its checkpoints in its first keys.
+    """
     target = tagged(path, run_tag)
-    record = df.limit(1)
-    if record.isEmpty():
+    if df.isEmpty():
         note = df.sparkSession.range(0, 1, 1, 1).select(F.lit(NO_SUMMARY).alias("value"))
         note.write.mode("overwrite").text(target)
         return target
-    return write_report(to_key_value(record), target, ("key", "value"))
+    return write_report(to_key_value(df), target, ("key", "value"))

@@ -68,14 +68,20 @@ def turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def user_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All user turns, answered or not: idx, instruction."""
+    c = table(spark, sf_dir, "conversations").filter(F.col("role") == "user")
+    return c.select((F.col("conv_id") * 1000 + F.col("turn")).alias("idx"), F.col("text").alias("instruction"))
+
+
 def text_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three checkpoints: the reference, its first half, another conversation's answer."""
+    """Three checkpoints: the reference, every other word of it, another conversation's answer."""
     t = turns(spark, sf_dir)
     other = t.select(
         (F.col("conv_id") - 1).alias("conv_id"), "turn", F.col("reference").alias("other")
     )
     words = F.split("reference", " ")
-    half = F.array_join(F.slice(words, 1, F.floor(F.size(words) / 2).cast("int")), " ")
+    half = F.array_join(F.filter(words, lambda w, i: i % 2 == 0), " ")
     versions = F.array(
         F.struct(F.lit(CHECKPOINTS[0]).alias("checkpoint"), F.col("reference").alias("prediction")),
         F.struct(F.lit(CHECKPOINTS[1]).alias("checkpoint"), half.alias("prediction")),
@@ -141,7 +147,7 @@ def _damaged(kind: Column) -> Column:
     """The prediction text of damage class ``kind``."""
     members, ref = F.col("members"), F.col("reference")
     first = F.struct(F.get(members, F.lit(0))["k"].alias("k"), F.lit("7").alias("v"))
-    rest = F.slice(members, 2, 100)
+    rest = F.slice(members, F.lit(2), F.size(members))
     before_brace = F.substr(ref, F.lit(1), F.instr(ref, "}") - 1)
     return _case(
         kind,
@@ -196,6 +202,47 @@ def json_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Reference and prediction texts that are hard to read or compare; %s is a number of the event.
+HARD_CASES = (
+    ("null", "null"),
+    ("not json", '{"a":%s}'),
+    ('[{"a":%s}]', '{"a":%s}'),
+    ('{"a":%s,"b":[1,2.50]}', '{"b":[1.0,25e-1],"a":%s.0}'),
+    ('{"a":1e22,"n":%s}', '{"a":10000000000000000000000,"n":%s}'),
+    ('{"a":1%s0000000000000000000000000000000000000001}', '{"a":1%s0000000000000000000000000000000000000002}'),
+    ('{"a":{"x":[1,{"y":%s}]}}', '{"a":{"x":[1,{"y":%s}]},"a":{"x":[{"y":%s},1]}}'),
+    ('{"a":%s,"a":"last"}', '{"a":"last"}'),
+    ('{"a":"caf\\u00e9 %s"}', '{"a":"café %s"}'),
+    ('{"a":%s}', '{"a":"%s"}'),
+    ('{"a":1.5,"b":"%s"}', '{"a":"1.5","b":"%s"}'),
+    ('{"entities":["u%s",1.0,"x"],"location":null}', '{"entities":["u%s",1],"location":null}'),
+    ('{"a":1234567890123456789.0,"b":%s}', '{"a":1234567890123456789,"b":%s}'),
+    ('{"a":%s,"b":true}', '{"a":%s,"b":1}'),
+    ('{"a":%s}', "[%s]"),
+    ('{"a":%s}', '{"a":%s'),
+)
+
+
+def json_hard_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One prediction per event and one of the hard cases each."""
+    e = spread_table(spark, sf_dir, "events", "event_id", "user_id")
+    number = F.col("user_id").cast("string")
+
+    def filled(side: int) -> Column:
+        texts = F.array(*(F.lit(case[side]) for case in HARD_CASES))
+        chosen = F.element_at(texts, (F.col("event_id") % len(HARD_CASES) + 1).cast("int"))
+        return F.replace(chosen, F.lit("%s"), number)
+
+    return e.select(
+        F.col("event_id").alias("id"),
+        F.element_at(
+            F.array(*(F.lit(c) for c in CHECKPOINTS)), (F.col("user_id") % 3 + 1).cast("int")
+        ).alias("checkpoint"),
+        filled(0).alias("reference"),
+        filled(1).alias("prediction"),
+    )
+
+
 # --- pairwise judgements, from events ---------------------------------------
 
 

@@ -49,8 +49,7 @@ preds AS (
   SELECT idx AS id, '{C0}' AS checkpoint, instruction, reference, reference AS prediction FROM turns
   UNION ALL
   SELECT idx, '{C1}', instruction, reference,
-         array_to_string(list_slice(string_split(reference, ' '), 1,
-                                    len(string_split(reference, ' ')) // 2), ' ')
+         array_to_string(string_split(reference, ' ')[1:len(string_split(reference, ' ')):2], ' ')
   FROM turns
   UNION ALL
   SELECT t.idx, '{C2}', t.instruction, t.reference, coalesce(o.reference, '')
@@ -129,6 +128,46 @@ taxonomy AS (
   FROM (SELECT checkpoint, unnest(labels) AS category FROM outcome) GROUP BY ALL)"""
 
 
+# The outcome of each hard case, by hand: reference_ok, valid, is_object, compliant, exact, F1, labels.
+HARD = f"""
+hard AS (
+  SELECT event_id AS id, user_id AS n, ['{C0}', '{C1}', '{C2}'][user_id % 3 + 1] AS checkpoint, o.*
+  FROM events JOIN (VALUES
+    (0, false, false, false, false, false, NULL, 'reference_parse_failed'),
+    (1, false, false, false, false, false, NULL, 'reference_parse_failed'),
+    (2, true, true, true, true, true, NULL, ''),
+    (3, true, true, true, true, true, NULL, ''),
+    (4, true, true, true, true, true, NULL, ''),
+    (5, true, true, true, true, false, NULL, 'exact_mismatch'),
+    (6, true, true, true, true, false, NULL, 'exact_mismatch'),
+    (7, true, true, true, true, true, NULL, ''),
+    (8, true, true, true, true, true, NULL, ''),
+    (9, true, true, true, false, false, NULL, 'wrong_types,exact_mismatch'),
+    (10, true, true, true, false, false, NULL, 'wrong_types,exact_mismatch'),
+    (11, true, true, true, true, false, 0.4, 'exact_mismatch'),
+    (12, true, true, true, true, true, NULL, ''),
+    (13, true, true, true, false, true, NULL, 'wrong_types'),
+    (14, true, true, false, false, false, NULL, 'not_object'),
+    (15, true, false, false, false, false, NULL, 'truncated_output')
+  ) o(kind, reference_ok, valid, is_object, compliant, exact, f1, labels) ON event_id % 16 = o.kind)"""
+
+HARD_METRICS = HARD + f""",
+counted AS (
+  SELECT checkpoint, category || '=' || count(*) AS shown FROM
+    (SELECT checkpoint, unnest(string_split(labels, ',')) AS category FROM hard WHERE labels <> '')
+  GROUP BY checkpoint, category),
+hmetrics AS (
+  SELECT l.checkpoint, count(id) AS total,
+    {ratio('count(*) FILTER (valid)', 'count(id)')} AS json_validity_rate,
+    {ratio('count(*) FILTER (compliant)', 'count(*) FILTER (valid)')} AS schema_compliance_rate,
+    {ratio('count(*) FILTER (exact)', 'count(id)')} AS exact_match_rate,
+    coalesce(avg(f1), 0.0)::DOUBLE AS extraction_field_level_f1_avg, count(f1) AS extraction_prompts,
+    coalesce((SELECT string_agg(shown, ',' ORDER BY shown) FROM counted c
+      WHERE c.checkpoint = l.checkpoint), '') AS error_taxonomy_counts
+  FROM (VALUES ('{C0}'), ('{C1}'), ('{C2}'), ('ckpt9_absent')) l(checkpoint)
+    LEFT JOIN hard USING (checkpoint) GROUP BY l.checkpoint)"""
+
+
 def _scores(side: str) -> str:
     parts = ", ".join(
         f"'{d}': "
@@ -380,12 +419,12 @@ contents AS (
   SELECT ck, row_number() OVER (ORDER BY md5('42|' || ck) || '|' || ck) AS pos,
     count(*) OVER () AS n FROM (SELECT DISTINCT ck FROM leaky)),
 split_p AS (
-  SELECT doc_id, copy_no, ck, CASE WHEN pos <= least(100, n - 1) THEN 'eval' ELSE 'train' END AS split
-  FROM by_position WHERE pos <= least(100, n - 1) + 80),
+  SELECT doc_id, copy_no, ck, pos, n,
+    CASE WHEN pos <= least(100, n - 1) THEN 'eval' ELSE 'train' END AS split FROM by_position),
 split_c AS (
   SELECT doc_id, copy_no, leaky.ck,
     CASE WHEN pos <= least(100, n - 1) THEN 'eval' ELSE 'train' END AS split
-  FROM leaky JOIN contents USING (ck) WHERE pos <= least(100, n - 1) + 80)"""
+  FROM leaky JOIN contents USING (ck))"""
 
 
 def _category(column: str) -> str:
@@ -551,13 +590,38 @@ ORACLE: dict[str, str] = {
     "json_equality": """SELECT event_id,
         event_id % 5 IN (0, 2, 4) OR (event_id % 5 = 1 AND user_id = 1) AS equal,
         event_id % 5 IN (0, 4) OR (event_id % 5 = 1 AND user_id = 1) AS strictly_equal FROM events""",
-    "json_type_compatibility": """WITH c AS (
-        SELECT event_id,
-          (['int', 'float', 'float', 'str', 'bool', 'null', 'list', 'dict'])[event_id % 8 + 1] AS class_a,
-          (['int', 'float', 'float', 'str', 'bool', 'null', 'list', 'dict'])[(event_id // 8) % 8 + 1] AS class_b
-        FROM events)
-      SELECT *, class_a = class_b OR (class_a IN ('int', 'float') AND class_b IN ('int', 'float'))
-        AS compatible FROM c""",
+    "json_type_compatibility": _with(
+        JSON_PREDS,
+        """SELECT *, class_a = class_b AS compatible FROM (
+          SELECT id, checkpoint, CASE fam WHEN 0 THEN 'list' ELSE 'str' END AS class_a,
+            CASE WHEN kind IN (6, 7, 8, 11) THEN NULL WHEN kind = 10 THEN 'int'
+              WHEN fam = 0 THEN 'list' ELSE 'str' END AS class_b FROM jpreds)""",
+    ),
+    "json_hard_scores": _with(
+        HARD,
+        f"""SELECT id, reference_ok, valid, is_object, compliant, exact, f1 IS NOT NULL AS extraction,
+          {r('f1::DOUBLE')} AS extraction_f1, labels FROM hard""",
+    ),
+    "json_hard_metrics": _with(
+        HARD_METRICS,
+        f"""SELECT checkpoint, total, {", ".join(f"{r(c)} AS {c}" for c in (
+            "json_validity_rate", "schema_compliance_rate", "exact_match_rate",
+            "extraction_field_level_f1_avg"))}, extraction_prompts, error_taxonomy_counts
+        FROM hmetrics""",
+    ),
+    "teacher_records_hard": _with(
+        HARD,
+        """SELECT id, replace(CASE kind
+          WHEN 0 THEN 'null' WHEN 2 THEN '{"a": %s}' WHEN 3 THEN '{"a": %s, "b": [1, 2.5]}'
+          WHEN 4 THEN '{"a": 1e+22, "n": %s}'
+          WHEN 5 THEN '{"a": 1%s0000000000000000000000000000000000000001}'
+          WHEN 6 THEN '{"a": {"x": [1, {"y": %s}]}}' WHEN 7 THEN '{"a": "last"}'
+          WHEN 8 THEN '{"a": "café %s"}' WHEN 10 THEN '{"a": 1.5, "b": "%s"}'
+          WHEN 11 THEN '{"entities": ["u%s", 1.0, "x"], "location": null}'
+          WHEN 12 THEN '{"a": 1.2345678901234568e+18, "b": %s}'
+          WHEN 13 THEN '{"a": %s, "b": true}' ELSE '{"a": %s}' END, '%s', n::VARCHAR) AS output
+        FROM hard WHERE kind <> 1""",
+    ),
     "response_text": """SELECT event_id, CASE event_id % 7
         WHEN 0 THEN 'hi ' || event_type WHEN 1 THEN event_type || ' end'
         WHEN 2 THEN 'because ' || event_type WHEN 3 THEN 'no ' || event_type
@@ -572,9 +636,10 @@ ORACLE: dict[str, str] = {
           || 'Response: ' || reference AS text FROM turns""",
     ),
     "generation_prompt": _with(
-        TURNS
-        + """,
-p AS (SELECT idx, instruction, CASE WHEN idx % 2 = 0 THEN ' with spaces ' ELSE '' END AS i FROM turns),
+        """
+p AS (SELECT conv_id * 1000 + turn AS idx, text AS instruction,
+  CASE WHEN (conv_id * 1000 + turn) % 2 = 0 THEN ' with spaces ' ELSE '' END AS i
+  FROM conversations WHERE role = 'user'),
 g AS (SELECT *, 'Instruction: ' || instruction || chr(10) || 'Input: ' || i || chr(10) || 'Response: ' AS plain FROM p)""",
         f"""SELECT idx, plain, plain AS untemplated, '<|user|>' || chr(10) ||
           {strip(strip('instruction') + " || chr(10) || " + strip('i'))}
@@ -637,7 +702,10 @@ answers AS (
     "split_fraction_by_hash": f"""SELECT doc_id,
         CASE WHEN {h("'42|' || doc_id")} < 0.95::DOUBLE * 4294967296 THEN 'train' ELSE 'eval' END
           AS split FROM documents""",
-    "split_capped": _with(LEAKY, "SELECT doc_id, copy_no, split FROM split_p"),
+    "split_capped": _with(
+        LEAKY, "SELECT doc_id, copy_no, split FROM split_p WHERE pos <= least(100, n - 1) + 80"
+    ),
+    "split_uncapped": _with(LEAKY, "SELECT doc_id, copy_no, split FROM split_p"),
     "split_leakfree": _with(LEAKY, "SELECT doc_id, copy_no, split FROM split_c"),
     "split_overlap": _with(
         LEAKY,
@@ -697,8 +765,8 @@ answers AS (
     "completed_judgements_trusting": _with(
         JUDGED,
         """SELECT idx, pair, printf('alpaca_eval_%05d', idx) AS prompt_id,
-          coalesce(ca, first) AS checkpoint_a, coalesce(cb, second) AS checkpoint_b, swapped
-        FROM judged""",
+          coalesce(ca, first) AS checkpoint_a, coalesce(cb, second) AS checkpoint_b,
+          CASE WHEN idx % 5 = 0 THEN NOT swapped ELSE swapped END AS swapped FROM judged""",
     ),
     "completed_json_judgements": _with(
         JSON_PREDS,
@@ -772,6 +840,22 @@ h2h AS (SELECT count(*) AS total_pairs, count(*) FILTER (w = 'a') AS ckpt1_wins,
         FROM stats s LEFT JOIN tfull t USING (checkpoint) LEFT JOIN jmetrics j USING (checkpoint)""",
         recursive=True,
     ),
+    "comparison_without_judgements": _with(
+        TEXT_METRICS + "," + JSON_METRICS,
+        f"""SELECT l.checkpoint, NULL::DOUBLE AS alpaca_judge_win_rate,
+          {r('t.rougeL_f1')} AS "rougeL_f1", {r('t.bertscore_f1_avg')} AS bertscore_f1_avg,
+          {r('coalesce(j.json_validity_rate, 0.0)')} AS json_validity_rate,
+          {r('coalesce(j.schema_compliance_rate, 0.0)')} AS schema_compliance_rate,
+          {r('coalesce(j.exact_match_rate, 0.0)')} AS exact_match_rate
+        FROM (VALUES ('{C0}'), ('{C1}'), ('{C2}'), ('ckpt9_absent')) l(checkpoint)
+          LEFT JOIN tfull t USING (checkpoint) LEFT JOIN jmetrics j USING (checkpoint)""",
+        recursive=True,
+    ),
+    "missing_paths": _with(
+        TURNS, "SELECT instruction, '' AS input, reference AS output FROM turns"
+    ),
+    "instruction_source": """SELECT kind, text AS instruction, lang AS input, source AS output
+      FROM documents, (VALUES ('parquet'), ('jsonl')) k(kind)""",
     "accepted_attempts": _with(LOG, "SELECT idx, attempt, text FROM accepted"),
     "accepted_judge_attempts": _with(LOG, "SELECT idx, attempt, text FROM verdicts"),
     "pending_prompts": _with(

@@ -24,7 +24,14 @@ from evalspark.operators import (
 )
 from evalspark.plans import reports
 from evalspark.session import prepare, shared_dir
-from evalspark.sources import read_judgements, read_jsonl, write_jsonl, write_report
+from evalspark.sources import (
+    find_judgements,
+    read_instructions,
+    read_judgements,
+    read_jsonl,
+    write_jsonl,
+    write_report,
+)
 from evalspark.workload import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -106,6 +113,45 @@ def json_scores(spark, sf_dir):
     )
 
 
+def hard_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jsoneval.score_json(fx.json_hard_predictions(spark, sf_dir))
+
+
+@query
+def json_hard_scores(spark, sf_dir):
+    """Every check of texts with odd numbers, repeated keys, escapes and unusable references."""
+    return hard_scored(spark, sf_dir).select(
+        "id",
+        "reference_ok",
+        "valid",
+        "is_object",
+        "compliant",
+        "exact",
+        "extraction",
+        r6("extraction_f1").alias("extraction_f1"),
+        joined(F.col("labels")).alias("labels"),
+    )
+
+
+@query
+def json_hard_metrics(spark, sf_dir):
+    """Metrics over the same texts, error counts included."""
+    found = jsoneval.json_metrics(hard_scored(spark, sf_dir), fx.CHECKPOINTS + ("ckpt9_absent",))
+    counts = F.map_entries("error_taxonomy_counts")
+    shown = F.transform(counts, lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string")))
+    return rounded(found.withColumn("error_taxonomy_counts", joined(F.array_sort(shown))))
+
+
+@query
+def teacher_records_hard(spark, sf_dir):
+    """The hard texts written out again as values."""
+    rows = fx.json_hard_predictions(spark, sf_dir).select(
+        "id", F.lit("Prompt").alias("instruction"), F.lit(None).cast("string").alias("input"),
+        F.lit("t").alias("task_type"), F.col("reference").alias("text"),
+    )
+    return prep.teacher_records(jsoneval.valid_rows(rows, "text")).select("id", "output")
+
+
 @query
 def json_valid_rows(spark, sf_dir):
     preds = fx.json_predictions(spark, sf_dir)
@@ -245,11 +291,7 @@ def json_equality(spark, sf_dir):
         (F.col("event_id") % 5 + 1).cast("int"),
     )
     events = fx.spread_table(spark, sf_dir, "events", "event_id", "user_id")
-    values = events.select("event_id", pairs.alias("p")).select(
-        "event_id",
-        jsonx.parse_json(F.col("p.a")).alias("a"),
-        jsonx.parse_json(F.col("p.b")).alias("b"),
-    )
+    values = events.select("event_id", pairs.alias("p")).select("event_id", "p.a", "p.b")
     return values.select(
         "event_id",
         jsonx.json_equal(left, right).alias("equal"),
@@ -259,20 +301,24 @@ def json_equality(spark, sf_dir):
 
 @query
 def json_type_compatibility(spark, sf_dir):
-    """Value classes of two values, and whether one passes for the other."""
-    samples = F.array(
-        *(F.lit(s) for s in ("1", "1.5", "1e2", '"x"', "true", "null", "[1]", '{"a":1}'))
-    )
-    events = fx.spread_table(spark, sf_dir, "events", "event_id")
-    picked = events.select(
-        "event_id",
-        F.parse_json(F.element_at(samples, (F.col("event_id") % 8 + 1).cast("int"))).alias("a"),
-        F.parse_json(
-            F.element_at(samples, (F.floor(F.col("event_id") / 8) % 8 + 1).cast("int"))
-        ).alias("b"),
+    """Value classes of the reference's first member and of the prediction's under that key."""
+    preds = fx.json_predictions(spark, sf_dir)
+    first = F.get(F.json_object_keys("reference"), F.lit(0))
+    values = preds.select(
+        "id",
+        "checkpoint",
+        first.alias("key"),
+        jsonx.as_map(jsonx.parse_json(F.col("reference"))).alias("ref"),
+        jsonx.as_map(jsonx.parse_json(F.col("prediction"))).alias("cand"),
+    ).select(
+        "id",
+        "checkpoint",
+        F.try_element_at("ref", "key").alias("a"),
+        F.try_element_at("cand", "key").alias("b"),
     )
-    return picked.select(
-        "event_id",
+    return values.select(
+        "id",
+        "checkpoint",
         jsonx.value_class(F.col("a")).alias("class_a"),
         jsonx.value_class(F.col("b")).alias("class_b"),
         jsonx.type_compatible(F.col("a"), F.col("b")).alias("compatible"),
@@ -332,8 +378,8 @@ def train_text(spark, sf_dir):
 
 @query
 def generation_prompt(spark, sf_dir):
-    """Plain prompts and prompts in a chat template."""
-    t = fx.turns(spark, sf_dir)
+    """Plain prompts and prompts in a chat template, of every user turn."""
+    t = fx.user_turns(spark, sf_dir)
     input_ = F.when(F.col("idx") % 2 == 0, F.lit(" with spaces "))
     return t.select(
         "idx",
@@ -359,24 +405,23 @@ def pool(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_type",
         "props",
     )
-    family = F.col("event_id") % 5
+    types = F.array(*(F.lit(t) for t in fx.TASK_TYPES))
     malformed = F.format_string('{"name":"%s","age": %s,}', "name", F.col("age").cast("string"))
-    seeds = {
-        "json_extraction": e.filter(family == 0).select(
-            "event_id",
-            F.col("name").alias("first"),
-            F.col("event_type").alias("second"),
-            F.col("city").alias("location"),
-            "date",
-        ),
-        "schema_generation": e.filter(family == 1),
-        "exact_label_classification": e.filter(family == 2).select(
-            "event_id", F.col("props").alias("text"), F.col("event_type").alias("label")
-        ),
-        "json_repair": e.filter(family == 3).withColumn("malformed", malformed),
-        "tool_call_args": e.filter(family == 4),
-    }
-    return prep.build_pool(seeds, copies=2, keep=("event_id",))
+    seeds = e.select(
+        "event_id",
+        F.element_at(types, (F.col("event_id") % 5 + 1).cast("int")).alias("task_type"),
+        "name",
+        "age",
+        "city",
+        "date",
+        F.col("name").alias("first"),
+        F.col("event_type").alias("second"),
+        F.col("city").alias("location"),
+        F.col("props").alias("text"),
+        F.col("event_type").alias("label"),
+        malformed.alias("malformed"),
+    )
+    return prep.pool_from(seeds, copies=2, keep=("event_id",))
 
 
 @query
@@ -499,14 +544,20 @@ def split_fraction_by_hash(spark, sf_dir):
     return prep.split_fraction(d, "doc_id", 0.95, exact=False)
 
 
-def split_pool(spark: SparkSession, sf_dir: str, by: str) -> DataFrame:
+def split_pool(spark: SparkSession, sf_dir: str, by: str, train_cap: int | None = None) -> DataFrame:
     keyed = fx.leaky_pool(spark, sf_dir).withColumn("row_key", F.concat_ws("-", "doc_id", "copy_no"))
-    return prep.split_capped(keyed, "row_key", by=by)
+    return prep.split_capped(keyed, "row_key", 100, train_cap, by=by)
 
 
 @query
 def split_capped(spark, sf_dir):
-    """Split by position: copies of one prompt may be on both sides."""
+    """Split by position with stated sizes of both sides: copies may be on both."""
+    return split_pool(spark, sf_dir, "position", 80).select("doc_id", "copy_no", "split")
+
+
+@query
+def split_uncapped(spark, sf_dir):
+    """Split by position; all rows past the eval side are train."""
     return split_pool(spark, sf_dir, "position").select("doc_id", "copy_no", "split")
 
 
@@ -530,25 +581,21 @@ def split_overlap(spark, sf_dir):
 # --- text metrics ---------------------------------------------------------------------
 
 
-def heavy_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fx.text_predictions(spark, sf_dir)
-
-
 @query
 def rouge1(spark, sf_dir):
-    scores = textmetrics.rouge_n(heavy_predictions(spark, sf_dir), 1, use_stemmer=False)
+    scores = textmetrics.rouge_n(fx.text_predictions(spark, sf_dir), 1, use_stemmer=False)
     return scores.select("id", "checkpoint", r6("rouge1_f1").alias("rouge1_f1"))
 
 
 @query
 def rouge2(spark, sf_dir):
-    scores = textmetrics.rouge_n(heavy_predictions(spark, sf_dir), 2, use_stemmer=False)
+    scores = textmetrics.rouge_n(fx.text_predictions(spark, sf_dir), 2, use_stemmer=False)
     return scores.select("id", "checkpoint", r6("rouge2_f1").alias("rouge2_f1"))
 
 
 @query
 def rougeL(spark, sf_dir):
-    scores = textmetrics.rouge_l(heavy_predictions(spark, sf_dir), use_stemmer=False)
+    scores = textmetrics.rouge_l(fx.text_predictions(spark, sf_dir), use_stemmer=False)
     return scores.select("id", "checkpoint", r6("rougeL_f1").alias("rougeL_f1"))
 
 
@@ -556,7 +603,7 @@ def rougeL(spark, sf_dir):
 def rouge_stemmed(spark, sf_dir):
     """All three scores with stemming, which has no SQL form."""
     return rounded(
-        textmetrics.rouge(heavy_predictions(spark, sf_dir)).select(
+        textmetrics.rouge(fx.text_predictions(spark, sf_dir)).select(
             "id", "checkpoint", "rouge1_f1", "rouge2_f1", "rougeL_f1"
         )
     )
@@ -564,12 +611,12 @@ def rouge_stemmed(spark, sf_dir):
 
 @query
 def output_length(spark, sf_dir):
-    return rounded(textmetrics.output_length(heavy_predictions(spark, sf_dir)))
+    return rounded(textmetrics.output_length(fx.text_predictions(spark, sf_dir)))
 
 
 @query
 def completion_rate(spark, sf_dir):
-    return rounded(textmetrics.completion_rate(heavy_predictions(spark, sf_dir)))
+    return rounded(textmetrics.completion_rate(fx.text_predictions(spark, sf_dir)))
 
 
 @query
@@ -579,7 +626,7 @@ def embedding_f1(spark, sf_dir):
 
 def text_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return textmetrics.text_metrics(
-        heavy_predictions(spark, sf_dir), fx.token_embeddings(spark, sf_dir), use_stemmer=False
+        fx.text_predictions(spark, sf_dir), fx.token_embeddings(spark, sf_dir), use_stemmer=False
     )
 
 
@@ -627,7 +674,9 @@ def completed(spark: SparkSession, sf_dir: str, trust: bool) -> DataFrame:
         {"first": sides[0][F.col("pair")], "second": sides[1][F.col("pair")]}
     )
     plan = asked.select("idx", "first", "second", "swapped")
-    verdicts = asked.drop("swapped").withColumn("prompt_id", F.lit(None).cast("string"))
+    # Every fifth answer claims a swap of its own.
+    claimed = F.when(F.col("idx") % 5 == 0, ~F.col("swapped"))
+    verdicts = asked.withColumns({"prompt_id": F.lit(None).cast("string"), "swapped": claimed})
     return judge.complete_judgements(verdicts, plan, trust_model_labels=trust).select(
         "idx", "pair", "prompt_id", "checkpoint_a", "checkpoint_b", "swapped"
     )
@@ -759,9 +808,25 @@ def checkpoint_comparison(spark, sf_dir):
     return rounded(
         reports.comparison(
             fx.CHECKPOINTS,
-            fx.pair_judgements(spark, sf_dir),
+            stats(spark, sf_dir),
             text_scores(spark, sf_dir),
-            jsoneval.json_metrics(scored(spark, sf_dir)),
+            jsoneval.json_metrics(scored(spark, sf_dir), fx.CHECKPOINTS),
+        )
+    )
+
+
+@query
+def comparison_without_judgements(spark, sf_dir):
+    """The comparison where no judge file is found, with a label that has no rows at all."""
+    labels = (*fx.CHECKPOINTS, "ckpt9_absent")
+    found = find_judgements(spark, f"{scratch(spark, 'no-judge')}/*.jsonl")
+    judged = judge.absent_stats(spark, labels) if found is None else judge.judge_stats(found, labels)
+    return rounded(
+        reports.comparison(
+            labels,
+            judged,
+            text_scores(spark, sf_dir),
+            jsoneval.json_metrics(scored(spark, sf_dir), labels),
         )
     )
 
@@ -806,24 +871,51 @@ def jsonl_roundtrip(spark, sf_dir):
     return read_jsonl(spark, path, schemas.INSTRUCTIONS)
 
 
+@query
+def missing_paths(spark, sf_dir):
+    """Two files that exist and one that does not, read as one table."""
+    rows = fx.turns(spark, sf_dir).select(
+        "instruction", F.lit("").alias("input"), F.col("reference").alias("output"), "idx"
+    )
+    root = scratch(spark, "parts")
+    for k in (0, 1):
+        write_jsonl(rows.filter(F.col("idx") % 2 == k).drop("idx"), f"{root}/{k}.jsonl")
+    paths = [f"{root}/{name}.jsonl" for name in ("0", "none", "1")]
+    return read_jsonl(spark, paths, schemas.INSTRUCTIONS)
+
+
+@query
+def instruction_source(spark, sf_dir):
+    """Instruction rows of documents, from parquet and from JSON Lines."""
+    rows = fx.table(spark, sf_dir, "documents").select(
+        F.col("text").alias("instruction"), F.col("lang").alias("input"), F.col("source").alias("output"), "n_chars"
+    )
+    root = scratch(spark, "instructions")
+    rows.write.parquet(f"{root}/rows.parquet")
+    write_jsonl(rows.drop("n_chars"), f"{root}/rows.jsonl")
+    found = None
+    for kind in ("parquet", "jsonl"):
+        one = read_instructions(spark, f"{root}/rows.{kind}").select(F.lit(kind).alias("kind"), "*")
+        found = one if found is None else found.unionByName(one)
+    return found
+
+
 @query
 def judgement_files(spark, sf_dir):
     """One file set per pair, found by a pattern and read as one table."""
-    judged = fx.pair_judgements(spark, sf_dir)
     root = scratch(spark, "judge")
-    for a, b in fx.PAIRS:
-        one = judged.filter(F.col("pair") == f"{a}v{b}").select(
-            F.format_string(judge.PAIR_PROMPT_ID, "idx").alias("prompt_id"),
-            "checkpoint_a",
-            "checkpoint_b",
-            "response_a_scores",
-            "response_b_scores",
-            "winner",
-            F.lit("").alias("justification"),
-            "swapped",
-        )
-        write_jsonl(one, f"{root}/{fx.CHECKPOINTS[a]}_vs_{fx.CHECKPOINTS[b]}.jsonl")
-    found = read_judgements(spark, f"{root}/*_vs_*.jsonl")
+    fx.pair_judgements(spark, sf_dir).select(
+        "pair",
+        F.format_string(judge.PAIR_PROMPT_ID, "idx").alias("prompt_id"),
+        "checkpoint_a",
+        "checkpoint_b",
+        "response_a_scores",
+        "response_b_scores",
+        "winner",
+        F.lit("").alias("justification"),
+        "swapped",
+    ).write.partitionBy("pair").option("ignoreNullFields", "false").json(root)
+    found = read_judgements(spark, f"{root}/pair=*v*")
     return rounded(
         judge.judge_stats(found, fx.CHECKPOINTS).select(
             "checkpoint", "wins", "losses", "ties", "total_compares", "avg_clarity"

@@ -21,7 +21,7 @@ def test_pool_texts_and_doubling(spark):
         "schema_generation": spark.createDataFrame([("N", 3, "C")], "name string, age int, city string"),
         "tool_call_args": spark.createDataFrame([("C", "today")], "city string, date string"),
     }
-    rows = prep.build_pool(seeds, copies=None).collect()
+    rows = prep.build_pool(seeds, copies=2).collect()
     assert len(rows) == 6 and {r["copy_no"] for r in rows} == {0, 1}
     by_type = {r["task_type"]: r for r in rows}
     extraction = by_type["json_extraction"]
@@ -68,7 +68,7 @@ def test_fraction_by_hash_is_close(spark):
     assert abs(df.filter(F.col("split") == "train").count() / 20000 - 0.9) < 0.01
 
 
-@pytest.mark.parametrize("n, sides", [(300, (100, 80)), (150, (100, 50)), (60, (59, 1)), (1, (0, 1)), (0, (0, 0))])
+@pytest.mark.parametrize("n, sides", [(300, (100, 80)), (150, (100, 50)), (60, (59, 1)), (0, (0, 0))])
 def test_caps(spark, n, sides):
     df = spark.range(n).select("id", F.col("id").cast("string").alias("instruction"), F.lit("").alias("input"))
     for by in ("position", "content"):
@@ -77,6 +77,15 @@ def test_caps(spark, n, sides):
         assert (counts.get("eval", 0), counts.get("train", 0)) == sides
 
 
+def test_without_a_cap_all_rows_stay_and_one_row_is_an_error(spark):
+    df = spark.range(300).select("id", F.col("id").cast("string").alias("instruction"), F.lit("").alias("input"))
+    for by in ("position", "content"):
+        counts = {r["split"]: r["count"] for r in prep.split_capped(df, "id", 100, by=by).groupBy("split").count().collect()}
+        assert counts == {"eval": 100, "train": 200}
+        with pytest.raises(Exception, match="at least two rows"):
+            prep.split_capped(df.filter("id = 1"), "id", 100, 80, by=by).collect()
+
+
 def test_content_split_keeps_hot_copies_together(spark):
     """A third of all rows is one content; the split by content stays free of leaks."""
     hot = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string"))

@@ -86,7 +86,7 @@ def test_evaluation_end_to_end(spark, tmp_path):
     data = [(str(i), "c1", "c2", {"clarity": 3.0}, {}, "A", "", False) for i in range(4)]
     judged = spark.createDataFrame(data, schemas.PAIR_JUDGEMENTS).withColumn("idx", F.col("prompt_id").cast("bigint"))
     out = str(tmp_path / "eval")
-    reports.write_evaluation(out, labels, text, jsons, judged, judged, run_tag="r")
+    reports.write_evaluation(out, labels, text, jsons, judged, judged, "c1", "c2", run_tag="r")
     table = spark.read.option("header", True).csv(f"{out}/tables/comparison_r.csv").collect()
     assert [(r["checkpoint"], r["alpaca_judge_win_rate"], r["exact_match_rate"]) for r in table] == [
         ("c0", "0.0", "1.0"),
@@ -98,6 +98,30 @@ def test_evaluation_end_to_end(spark, tmp_path):
     assert rows["ckpt1_wins"] == "4" and json.loads(rows["category_breakdown"])["open_ended"]["total"] == 4
 
 
+def test_evaluation_without_judge_files(spark, tmp_path):
+    labels = ("c0", "c1")
+    text = spark.createDataFrame(
+        [(1, c, "do", "", "the answer", "the answer") for c in labels],
+        "id bigint, checkpoint string, instruction string, input string, prediction string, reference string",
+    )
+    jsons = spark.createDataFrame([("c0", "{}", "null")], "checkpoint string, prediction string, reference string")
+    assert sources.find_judgements(spark, str(tmp_path / "*_vs_*.jsonl")) is None
+    contested = spark.createDataFrame([], f"{schemas.PAIR_JUDGEMENTS}, idx BIGINT")
+    out = str(tmp_path / "eval")
+    reports.write_evaluation(out, labels, text, jsons, None, contested, "c0", "c1")
+    table = spark.read.option("header", True).csv(f"{out}/tables/comparison.csv").collect()
+    assert [(r["alpaca_judge_win_rate"], r["json_validity_rate"]) for r in table] == [(None, "0.0"), (None, "0.0")]
+
+
+def test_paths_that_exist_are_read(spark, tmp_path):
+    for k in (1, 2):
+        (tmp_path / f"{k}.jsonl").write_text('{"instruction":"%d"}\n' % k)
+    paths = [str(tmp_path / name) for name in ("1.jsonl", "none.jsonl", "2.jsonl")]
+    rows = sources.read_jsonl(spark, paths, schemas.INSTRUCTIONS).collect()
+    assert sorted(r["instruction"] for r in rows) == ["1", "2"]
+    assert sources.read_jsonl(spark, paths[1:2] * 2, schemas.INSTRUCTIONS).count() == 0
+
+
 def test_json_dataset_end_to_end(spark):
     pool = spark.range(10).select(
         F.col("id").alias("idx"),
