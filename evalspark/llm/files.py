@@ -10,6 +10,8 @@ from pyarrow import fs
 
 def resolve(uri: str) -> tuple[fs.FileSystem, str]:
     """File system and path of an address such as file:///x, hdfs://... or a plain path."""
+    if uri.startswith("file:/"):
+        return fs.LocalFileSystem(), "/" + uri[5:].lstrip("/")
     if "://" in uri:
         return fs.FileSystem.from_uri(uri)
     return fs.LocalFileSystem(), uri
