@@ -7,7 +7,6 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import Column, DataFrame, functions as F, Window as W
 
 from evalspark.functions import jsonx, text
-from evalspark.session import pin
 
 # --- fixed values ---------------------------------------------------------
 # Instruction texts and seed columns of the five prompt families.
@@ -33,12 +32,28 @@ POOL_SEED_COLUMNS = {
     "json_repair": ("malformed", "name", "age"),
     "tool_call_args": ("city", "date"),
 }
+POOL_INPUTS = {
+    "json_extraction": "%s met %s in %s on %s.",
+    "schema_generation": (
+        "Schema: {schema}\nUser preference: generate a profile for %s aged %s living in %s."
+    ),
+    "tool_call_args": "Get {function} for %s %s.",
+}
+POOL_EXAMPLES = {
+    "json_extraction": '{"entities": [%s, %s], "location": %s, "date": %s}',
+    "schema_generation": '{"name": %s, "age": %s, "city": %s}',
+    "exact_label_classification": '{"label": %s}',
+    "json_repair": '{"name": %s, "age": %s}',
+    "tool_call_args": '{"function": "weather", "arguments": {"city": %s, "date": %s}}',
+}
 PROFILE_SCHEMA = '{"required": ["name", "age", "city"]}'
 TOOL_FUNCTION = "weather"
 # --------------------------------------------------------------------------
 
 # Buckets of a hash order: the first four hex digits of md5.
 _BUCKET_DIGITS = 4
+# Key ranges of a sorted numbering, and how many share a group when a row looks up its own.
+RANGES, _STEP = 1024, 32
 
 
 def normalise_instructions(df: DataFrame) -> DataFrame:
@@ -64,49 +79,28 @@ def _quoted(c: Column) -> Column:
 def _family_texts() -> dict[str, tuple[Column, Column]]:
     """Input text and example answer of each family, over its seed columns."""
     c = F.col
+    whole = {"age"}  # numbers; all other seeds are texts
+
+    def example(task_type: str, *names: str) -> Column:
+        values = (c(n).cast("string") if n in whole else _quoted(c(n)) for n in names)
+        return F.format_string(POOL_EXAMPLES[task_type], *values)
+
+    def sentence(task_type: str, *names: str) -> Column:
+        shape = POOL_INPUTS[task_type].format(schema=PROFILE_SCHEMA, function=TOOL_FUNCTION)
+        return F.format_string(shape, *(c(n).cast("string") for n in names))
+
+    extraction, profile = (POOL_SEED_COLUMNS[t] for t in ("json_extraction", "schema_generation"))
+    call = POOL_SEED_COLUMNS["tool_call_args"]
     return {
         "json_extraction": (
-            F.format_string(
-                "%s met %s in %s on %s.", c("first"), c("second"), c("location"), c("date")
-            ),
-            F.format_string(
-                '{"entities": [%s, %s], "location": %s, "date": %s}',
-                *(_quoted(c(n)) for n in POOL_SEED_COLUMNS["json_extraction"]),
-            ),
+            sentence("json_extraction", *extraction), example("json_extraction", *extraction)
         ),
         "schema_generation": (
-            F.format_string(
-                f"Schema: {PROFILE_SCHEMA}\n"
-                "User preference: generate a profile for %s aged %s living in %s.",
-                c("name"),
-                c("age").cast("string"),
-                c("city"),
-            ),
-            F.format_string(
-                '{"name": %s, "age": %s, "city": %s}',
-                _quoted(c("name")),
-                c("age").cast("string"),
-                _quoted(c("city")),
-            ),
-        ),
-        "exact_label_classification": (
-            c("text"),
-            F.format_string('{"label": %s}', _quoted(c("label"))),
-        ),
-        "json_repair": (
-            c("malformed"),
-            F.format_string(
-                '{"name": %s, "age": %s}', _quoted(c("name")), c("age").cast("string")
-            ),
-        ),
-        "tool_call_args": (
-            F.format_string(f"Get {TOOL_FUNCTION} for %s %s.", c("city"), c("date")),
-            F.format_string(
-                f'{{"function": "{TOOL_FUNCTION}", "arguments": {{"city": %s, "date": %s}}}}',
-                _quoted(c("city")),
-                _quoted(c("date")),
-            ),
+            sentence("schema_generation", *profile), example("schema_generation", *profile)
         ),
+        "exact_label_classification": (c("text"), example("exact_label_classification", "label")),
+        "json_repair": (c("malformed"), example("json_repair", "name", "age")),
+        "tool_call_args": (sentence("tool_call_args", *call), example("tool_call_args", *call)),
     }
 
 
@@ -179,32 +173,44 @@ def teacher_records(df: DataFrame) -> DataFrame:
 # --- row numbers and order ---------------------------------------------------
 
 
+def _ranges(df: DataFrame, order_by: tuple[str, ...]) -> Column:
+    """Bounds of RANGES key ranges, picked by hash, in groups of _STEP, as one scalar value.
+
+    They only decide where a row is ranked, never its rank.
+    """
+    key = F.struct(*order_by)
+    some = df.select(key.alias("_key")).orderBy(F.xxhash64(*order_by), "_key").limit(RANGES)
+    sorted_keys = F.array_sort(F.collect_list("_key"))
+    groups = F.transform(
+        F.sequence(F.lit(0), F.ceil(F.size("_all") / _STEP).cast("int") - 1),
+        lambda g: F.slice("_all", g * _STEP + 1, F.lit(_STEP)),
+    )
+    found = some.agg(sorted_keys.alias("_all"))
+    return found.select(F.when(F.size("_all") > 0, groups)).scalar()
+
+
+def _range_of(key: Column, groups: Column) -> Column:
+    """How many bounds are up to ``key``: first the group, then the place in it."""
+    group = F.size(F.filter(groups, lambda g: g[0] <= key)) - 1
+    inside = F.size(F.filter(F.get(groups, group), lambda b: b <= key))
+    return F.when(group < 0, 0).otherwise(group * _STEP + inside)
+
+
 def with_idx(df: DataFrame, *order_by: str, name: str = "idx") -> DataFrame:
     """Dense row numbers from 0 in the order of columns that identify a row.
 
-    Range-partitions and sorts, then adds to each row's place in its partition
-    the sizes of the partitions before it. The sorted rows are checkpointed, so
-    that sizes and rows come from the same partitions.
+    Fixed key ranges are counted, ranked inside, and offset by the ranges before. Counts and
+    ranks come from the same bounds, so nothing is kept between them and no job runs
+    until the result is computed.
     """
-    place = "_place"
-    ordered = pin(
-        df.repartitionByRange(*order_by)
-        .sortWithinPartitions(*order_by)
-        .withColumn(place, F.monotonically_increasing_id())
-    )
-    # The upper bits number the partition, the lower 33 the row within it.
-    partition = F.shiftright(place, 33)
-    sizes = ordered.groupBy(partition.alias("_part")).agg(F.count(F.lit(1)).alias("_size"))
-    before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
-    offsets = sizes.select(
-        "_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset")
-    )
-    numbered = ordered.withColumn("_part", partition).join(
-        F.broadcast(offsets), "_part"  # one row per partition
-    )
-    return numbered.select(
-        *df.columns, (F.col("_offset") + F.col(place).bitwiseAND((1 << 33) - 1)).alias(name)
-    )
+    placed = df.withColumn("_bounds", _ranges(df, order_by))
+    placed = placed.withColumn("_range", _range_of(F.struct(*order_by), F.col("_bounds"))).drop("_bounds")
+    sizes = placed.groupBy("_range").agg(F.count(F.lit(1)).alias("_size"))
+    before = W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    offsets = sizes.select("_range", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
+    numbered = placed.join(F.broadcast(offsets), "_range")  # RANGES rows and one at most
+    rank = F.row_number().over(W.partitionBy("_range").orderBy(*order_by))
+    return numbered.select(*df.columns, (F.col("_offset") + rank - 1).cast("bigint").alias(name))
 
 
 def _rank_key(key: Column, seed: int) -> Column:

@@ -2,10 +2,6 @@
 
 INSTRUCTIONS = "instruction STRING, input STRING, output STRING"
 
-PROMPT_POOL = "task_type STRING, instruction STRING, input STRING, json_example STRING"
-
-JSON_DATASET = "instruction STRING, input STRING, output STRING, task_type STRING"
-
 PREDICTIONS = (
     "id BIGINT, checkpoint STRING, instruction STRING, input STRING, "
     "task_type STRING, prediction STRING, reference STRING"
@@ -17,29 +13,5 @@ PAIR_JUDGEMENTS = (
     "winner STRING, justification STRING, swapped BOOLEAN"
 )
 
-JSON_JUDGEMENTS = (
-    "prompt_id STRING, checkpoint STRING, scores MAP<STRING,DOUBLE>, justification STRING"
-)
-
-TEXT_METRICS = (
-    "checkpoint STRING, samples BIGINT, avg_output_tokens DOUBLE, "
-    "task_completion_rate DOUBLE, rouge1_f1 DOUBLE, rouge2_f1 DOUBLE, "
-    "rougeL_f1 DOUBLE, bertscore_f1_avg DOUBLE"
-)
-
-JSON_METRICS = (
-    "checkpoint STRING, total BIGINT, json_validity_rate DOUBLE, "
-    "schema_compliance_rate DOUBLE, exact_match_rate DOUBLE, "
-    "extraction_field_level_f1_avg DOUBLE, extraction_prompts BIGINT, "
-    "error_taxonomy_counts MAP<STRING,BIGINT>"
-)
-
-ERROR_TAXONOMY = "checkpoint STRING, category STRING, count BIGINT"
-
 # One row per call made for a prompt: status is ok, api_error or error.
 ATTEMPT_LOG = "idx BIGINT, attempt INT, status STRING, text STRING"
-
-# One row per token of a candidate or reference text.
-TOKEN_EMBEDDINGS = (
-    "checkpoint STRING, row_id BIGINT, side STRING, pos INT, vector ARRAY<FLOAT>"
-)

@@ -1,10 +1,8 @@
-"""Session settings the library relies on, and lineage cuts."""
+"""Session settings the library relies on, and its scratch folder."""
 
 from __future__ import annotations
 
-import tempfile
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -21,34 +19,15 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared scratch folder; a temporary one only in local mode."""
+    """The scratch folder that every executor reaches.
+
+    That is ``spark.checkpoint.dir``; where it is unset, the session's checkpoint folder, and
+    else a folder beside the warehouse's tables, which executors share as well.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    path = tempfile.mkdtemp(prefix="evalspark-")
-    spark.sparkContext.setCheckpointDir(path)
-    return path
-
-
-def pin(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` reliably, so every later use sees the same partitions."""
-    spark = df.sparkSession
-    path = shared_dir(spark)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(path)
-    return df.checkpoint(eager=True)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Give every core work when the input has fewer splits than there are cores.
-
-    For row-wise work that costs far more than moving a row. A large table has
-    more splits than cores and passes through without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"

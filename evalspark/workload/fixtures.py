@@ -9,25 +9,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from evalspark.functions.text import hash32
-from evalspark.session import spread
+from evalspark.operators.prep import POOL_INSTRUCTIONS
+from evalspark.prompts import DIMENSIONS
 
 CHECKPOINTS = ("ckpt0_base", "ckpt1_stage1", "ckpt2_stage2")
 PAIRS = ((0, 1), (1, 2), (0, 2))
-DIMENSIONS = (
-    "instruction_following",
-    "correctness",
-    "clarity",
-    "completeness",
-    "structured_output_validity",
-    "hallucination_risk",
-)
-TASK_TYPES = (
-    "json_extraction",
-    "schema_generation",
-    "exact_label_classification",
-    "json_repair",
-    "tool_call_args",
-)
+TASK_TYPES = tuple(POOL_INSTRUCTIONS)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,8 +22,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    """Some columns of a table, over all cores, for work that is heavy per row."""
-    return spread(table(spark, sf_dir, name).select(*columns))
+    """Some columns of a table, dealt over the shuffle partitions by the first of them.
+
+    For work that is heavy per row, as the driver's files are few and hold one split each.
+    """
+    return table(spark, sf_dir, name).select(*columns).repartition(columns[0])
 
 
 def _case(selector: Column, branches: dict[int, Column]) -> Column:

@@ -6,9 +6,40 @@ so they are independent of the code they check.
 
 from __future__ import annotations
 
-from evalspark.functions.text import CATEGORY_KEYWORDS, FAILURE_MARKERS, WHITESPACE
-from evalspark.operators.prep import POOL_INSTRUCTIONS, PROFILE_SCHEMA, TOOL_FUNCTION
-from evalspark.workload.fixtures import CHECKPOINTS, DIMENSIONS, PAIRS, TASK_TYPES
+from evalspark.workload.fixtures import CHECKPOINTS, PAIRS
+
+# --- fixed values, stated here again so that a wrong list in the library shows ---
+WHITESPACE = "".join(chr(c) for c in (*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680))
+WHITESPACE += "".join(chr(c) for c in (*range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))
+FAILURE_MARKERS = (
+    "i can't", "i cannot", "unable to", "as an ai", "i'm an ai", "sorry", "{}", "null", "[]"
+)
+CATEGORY_KEYWORDS = (
+    ("summarization", ("summar",)),
+    ("rewriting", ("rewrite", "rephrase", "reword")),
+    ("brainstorming", ("brainstorm", "ideas")),
+    ("qa", ("question", "answer", *(f" {w} " for w in "who what when where why how".split()))),
+)
+POOL_INSTRUCTIONS = {
+    "json_extraction": "Extract entities and dates into JSON.",
+    "schema_generation": "You are given a JSON schema. Generate a profile object that matches the "
+    "schema exactly. Return only valid JSON.",
+    "exact_label_classification": "Classify the sentiment into exactly one label from "
+    "[positive, neutral, negative]. Return JSON in the required shape only.",
+    "json_repair": "Repair malformed JSON. Return ONLY valid JSON (no explanations).",
+    "tool_call_args": "Create JSON arguments for a function call. Return ONLY the JSON argument object.",
+}
+PROFILE_SCHEMA, TOOL_FUNCTION = '{"required": ["name", "age", "city"]}', "weather"
+TASK_TYPES = tuple(POOL_INSTRUCTIONS)
+DIMENSIONS = (
+    "instruction_following",
+    "correctness",
+    "clarity",
+    "completeness",
+    "structured_output_validity",
+    "hallucination_risk",
+)
+# ---------------------------------------------------------------------------------
 
 C0, C1, C2 = CHECKPOINTS
 
