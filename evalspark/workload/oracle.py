@@ -308,6 +308,134 @@ toks AS (
     regexp_extract_all(lower(prediction), '[a-z0-9]+') AS ct,
     regexp_extract_all(lower(reference), '[a-z0-9]+') AS rt FROM preds)"""
 
+# --- fixed values: the stemmer's suffixes and exceptions, as published -------------
+_STEM_2 = """ational>ate tional>tion enci>ence anci>ance izer>ize bli>ble alli>al entli>ent eli>e
+ousli>ous ization>ize ation>ate ator>ate alism>al iveness>ive fulness>ful ousness>ous aliti>al
+iviti>ive biliti>ble fulli>ful"""
+_STEM_3 = "icate>ic ative> alize>al iciti>ic ical>ic ful> ness>"
+_STEM_4 = "al ance ence er ic able ible ant ement ment ent ion ou ism ate iti ous ive ize"
+_STEM_WHOLE = """sky>sky skies>sky dying>die lying>lie tying>tie news>news innings>inning
+inning>inning outings>outing outing>outing cannings>canning canning>canning howe>howe
+proceed>proceed exceed>exceed succeed>succeed"""
+# -----------------------------------------------------------------------------------
+
+
+def _cut(n: int, word: str = "w") -> str:
+    return f"left({word}, length({word}) - {n})"
+
+
+def _m(n: int) -> str:
+    """Vowel-to-consonant changes of the word without its last n letters, from its shape."""
+    return f"len(regexp_extract_all({_cut(n, 'sh')}, 'vc'))"
+
+
+def _short(n: int) -> str:
+    sh, word = _cut(n, "sh"), _cut(n)
+    return f"({sh} = 'vc' OR (right({sh}, 3) = 'cvc' AND right({word}, 1) NOT IN ('w', 'x', 'y')))"
+
+
+def _ends(suffix: str) -> str:
+    return f"ends_with(w, '{suffix}')"
+
+
+def _stem_rules(text: str) -> str:
+    rules = [r.split(">") for r in text.split()]
+    return " ".join(
+        f"WHEN {_ends(x)} THEN CASE WHEN {_m(len(x))} > 0 THEN {_cut(len(x))} || '{y}' ELSE w END"
+        for x, y in rules
+    )
+
+
+def _stem_step(number: int, expression: str) -> str:
+    """One step: the word, and its shape of vowels (v) and consonants (c) for the next step."""
+    shape = """list_reduce(string_split(w, ''), lambda a, x: a || CASE WHEN x IN ('a','e','i','o','u')
+      OR (x = 'y' AND right(a, 1) = 'c') THEN 'v' ELSE 'c' END, '')"""
+    return f""",
+stem{number} AS (SELECT word, w, {shape} AS sh FROM
+  (SELECT word, {expression} AS w FROM stem{number - 1}))"""
+
+
+def _last_two_equal(n: int) -> str:
+    word, sh = _cut(n), _cut(n, "sh")
+    return (
+        f"(length({word}) > 1 AND right({word}, 1) = left(right({word}, 2), 1) AND right({sh}, 1) = 'c')"
+    )
+
+
+def _gerund(n: int) -> str:
+    stem = _cut(n)
+    return f"""CASE WHEN NOT contains({_cut(n, 'sh')}, 'v') THEN w
+      WHEN right({stem}, 2) IN ('at', 'bl', 'iz') THEN {stem} || 'e'
+      WHEN {_last_two_equal(n)} THEN CASE WHEN right({stem}, 1) IN ('l', 's', 'z') THEN {stem}
+        ELSE {_cut(n + 1)} END
+      WHEN {_m(n)} = 1 AND {_short(n)} THEN {stem} || 'e' ELSE {stem} END"""
+
+
+STEMS = (
+    """,
+stem0 AS (SELECT word, word AS w FROM (SELECT DISTINCT unnest(list_concat(ct, rt)) AS word FROM plain)
+  WHERE length(word) > 3)"""
+    + _stem_step(
+        1,
+        f"""CASE WHEN {_ends('ies')} THEN CASE WHEN length(w) = 4 THEN {_cut(1)} ELSE {_cut(2)} END
+          WHEN {_ends('sses')} THEN {_cut(2)} WHEN {_ends('s')} AND NOT {_ends('ss')} THEN {_cut(1)}
+          ELSE w END""",
+    )
+    + _stem_step(
+        2,
+        f"""CASE WHEN {_ends('ied')} THEN CASE WHEN length(w) = 4 THEN {_cut(1)} ELSE {_cut(2)} END
+          WHEN {_ends('eed')} THEN CASE WHEN {_m(3)} > 0 THEN {_cut(1)} ELSE w END
+          WHEN {_ends('ed')} THEN {_gerund(2)} WHEN {_ends('ing')} THEN {_gerund(3)} ELSE w END""",
+    )
+    + _stem_step(
+        3,
+        f"""CASE WHEN {_ends('y')} AND length(w) > 2 AND right({_cut(1, 'sh')}, 1) = 'c'
+          THEN {_cut(1)} || 'i' ELSE w END""",
+    )
+    + _stem_step(4, f"CASE WHEN {_ends('alli')} AND {_m(4)} > 0 THEN {_cut(2)} ELSE w END")
+    + _stem_step(
+        5,
+        f"""CASE WHEN {_ends('logi')} AND {_m(3)} > 0 THEN {_cut(1)} {_stem_rules(_STEM_2)}
+          ELSE w END""",
+    )
+    + _stem_step(6, f"CASE {_stem_rules(_STEM_3)} ELSE w END")
+    + _stem_step(
+        7,
+        "CASE "
+        + " ".join(
+            f"WHEN {_ends(x)} THEN CASE WHEN {_m(len(x))} > 1"
+            + (f" AND right({_cut(3)}, 1) IN ('s', 't')" if x == "ion" else "")
+            + f" THEN {_cut(len(x))} ELSE w END"
+            for x in _STEM_4.split()
+        )
+        + " ELSE w END",
+    )
+    + _stem_step(
+        8,
+        f"""CASE WHEN {_ends('e')} AND ({_m(1)} > 1 OR ({_m(1)} = 1 AND NOT {_short(1)}))
+          THEN {_cut(1)} ELSE w END""",
+    )
+    + _stem_step(9, f"CASE WHEN {_ends('ll')} AND {_m(1)} > 1 THEN {_cut(1)} ELSE w END")
+    + f""",
+stems AS (
+  SELECT word, coalesce(o.whole, w) AS stem FROM stem9 LEFT JOIN (VALUES
+    {", ".join("('{}', '{}')".format(*r.split(">")) for r in _STEM_WHOLE.split())}) o(known, whole)
+  ON known = word),
+stemmed AS (
+  SELECT id, checkpoint, side, list(coalesce(stem, t) ORDER BY i) AS tokens FROM
+    (SELECT id, checkpoint, 'c' AS side, unnest(ct) AS t, generate_subscripts(ct, 1) AS i FROM plain
+     UNION ALL SELECT id, checkpoint, 'r', unnest(rt), generate_subscripts(rt, 1) FROM plain)
+    LEFT JOIN stems ON word = t GROUP BY ALL)"""
+)
+
+STEMMED = TOKENS.replace("toks AS (", "plain AS (") + STEMS + """,
+toks AS (
+  SELECT p.id, p.checkpoint, prediction, reference,
+    coalesce(c.tokens, []::VARCHAR[]) AS ct, coalesce(r.tokens, []::VARCHAR[]) AS rt
+  FROM plain p
+    LEFT JOIN stemmed c ON c.id = p.id AND c.checkpoint = p.checkpoint AND c.side = 'c'
+    LEFT JOIN stemmed r ON r.id = p.id AND r.checkpoint = p.checkpoint AND r.side = 'r')"""
+
 
 def _rouge(n: int) -> str:
     """F-measures of n-grams per row, as table rouge{n}."""
@@ -351,7 +479,7 @@ COMPLETED = "length({t}) >= 20 AND NOT (" + " OR ".join(
     f"contains(lower({{t}}), {q(m)})" for m in FAILURE_MARKERS if m != "{}"
 ) + " OR contains({t}, '{{}}'))"
 
-TEXT_METRICS = TOKENS + _rouge(1) + _rouge(2) + LCS + "," + VECTORS + f""",
+TEXT_METRICS = STEMMED + _rouge(1) + _rouge(2) + LCS + "," + VECTORS + f""",
 tmetrics AS (
   SELECT checkpoint, count(*) AS samples,
     avg(len(regexp_extract_all(prediction, '\\S+'))) AS avg_output_tokens,
@@ -501,7 +629,7 @@ def _example_json(kind: str) -> str:
 
 
 def _fixed(expression: str) -> str:
-    return f"printf('%.4f', {expression})"
+    return f"printf('%.6f', {expression})"
 
 
 _SUMMARY_ROWS = [
@@ -756,6 +884,13 @@ answers AS (
         f'SELECT id, checkpoint, {r("rougeL_f1")} AS "rougeL_f1" FROM rougeL',
         recursive=True,
     ),
+    "rouge_stemmed": _with(
+        STEMMED + _rouge(1) + _rouge(2) + LCS,
+        f"""SELECT id, checkpoint, {r('rouge1_f1')} AS rouge1_f1, {r('rouge2_f1')} AS rouge2_f1,
+          {r("rougeL_f1")} AS "rougeL_f1"
+        FROM rouge1 JOIN rouge2 USING (id, checkpoint) JOIN rougeL USING (id, checkpoint)""",
+        recursive=True,
+    ),
     "output_length": _with(
         PREDS,
         f"""SELECT checkpoint, {r("avg(len(regexp_extract_all(prediction, '\\S+')))")}

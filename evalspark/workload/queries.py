@@ -601,7 +601,7 @@ def rougeL(spark, sf_dir):
 
 @query
 def rouge_stemmed(spark, sf_dir):
-    """All three scores with stemming, which has no SQL form."""
+    """All three scores with stemming, the default mode."""
     return rounded(
         textmetrics.rouge(fx.text_predictions(spark, sf_dir)).select(
             "id", "checkpoint", "rouge1_f1", "rouge2_f1", "rougeL_f1"
@@ -626,7 +626,7 @@ def embedding_f1(spark, sf_dir):
 
 def text_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return textmetrics.text_metrics(
-        fx.text_predictions(spark, sf_dir), fx.token_embeddings(spark, sf_dir), use_stemmer=False
+        fx.text_predictions(spark, sf_dir), fx.token_embeddings(spark, sf_dir)
     )
 
 
@@ -794,7 +794,7 @@ def forgetting_summary(spark, sf_dir):
     return compare.to_key_value(
         rounded(summary.drop("available_metrics_files")).select(
             *(
-                F.format_string("%.4f", c).alias(c) if t == "double" else F.col(c)
+                F.format_string("%.6f", c).alias(c) if t == "double" else F.col(c)
                 for c, t in summary.drop("available_metrics_files").dtypes
                 if c not in nested
             ),
