@@ -671,6 +671,12 @@ _SUMMARY_ROWS = [
     ("representative_improvement_example", _example_json("improvement")),
 ]
 
+ANSWERS = LOG + """,
+answers AS (
+  SELECT idx, CASE WHEN a.kind IN (2, 3, 4, 5) THEN refs.reference
+    WHEN a.kind = 6 THEN '[' || refs.u || ',"' || refs.et || '"]' ELSE a.text END AS t
+  FROM accepted a JOIN refs ON refs.event_id = a.idx * 5 + a.attempt)"""
+
 ORACLE: dict[str, str] = {
     "json_metrics": _with(
         JSON_METRICS,
@@ -789,6 +795,12 @@ ORACLE: dict[str, str] = {
         CASE WHEN doc_id % 4 IN (0, 1) THEN {strip('text')} ELSE '' END AS instruction,
         CASE WHEN doc_id % 3 = 0 THEN 'x' ELSE '' END AS input, {strip('text')} AS output
       FROM documents WHERE doc_id % 4 <> 2 AND (doc_id % 4 <> 1 OR length(text) > 0)""",
+    "instruction_dataset": f"""WITH n AS (
+        SELECT doc_id, CASE WHEN doc_id % 4 IN (0, 1) THEN {strip('text')} ELSE '' END AS instruction
+        FROM documents WHERE doc_id % 4 <> 2 AND (doc_id % 4 <> 1 OR length(text) > 0))
+      SELECT *, CASE WHEN row_number() OVER (ORDER BY {_ORDER.format(key='doc_id')})
+          <= floor((count(*) OVER ())::DOUBLE * 0.95::DOUBLE) THEN 'train' ELSE 'eval' END AS split
+      FROM n""",
     "train_text": _with(
         TURNS,
         """SELECT idx, 'Instruction: ' || instruction || chr(10) || 'Input: ' || chr(10)
@@ -838,14 +850,18 @@ g AS (SELECT *, 'Instruction: ' || instruction || chr(10) || 'Input: ' || i || c
         UNION ALL SELECT 'events', idx, category FROM prompts""",
     ),
     "teacher_records": _with(
-        LOG + f""",
-answers AS (
-  SELECT idx, CASE WHEN a.kind IN (2, 3, 4, 5) THEN refs.reference
-    WHEN a.kind = 6 THEN '[' || refs.u || ',"' || refs.et || '"]' ELSE a.text END AS t
-  FROM accepted a JOIN refs ON refs.event_id = a.idx * 5 + a.attempt)""",
+        ANSWERS,
         f"""SELECT idx, 'Prompt ' || idx AS instruction, '' AS input,
           {_COMPACT.format(t='t')} AS output, 'unknown' AS task_type FROM answers""",
     ),
+    "json_dataset": _with(
+        ANSWERS + """,
+ranked AS (
+  SELECT *, row_number() OVER (ORDER BY md5('42|' || ck) || '|' || ck) AS pos, count(*) OVER () AS n
+  FROM (SELECT *, sha256('Prompt ' || idx || chr(31)) AS ck FROM answers))""",
+        f"""SELECT idx, {_COMPACT.format(t='t')} AS output, 't' AS task_type,
+          CASE WHEN pos <= least(50, n - 1) THEN 'eval' ELSE 'train' END AS split FROM ranked""",
+    ),
     "shuffled_order": f"""SELECT doc_id,
         row_number() OVER (ORDER BY {_ORDER.format(key='doc_id')}) - 1 AS idx FROM documents""",
     "head_limit": f"""SELECT doc_id,
@@ -1006,6 +1022,16 @@ h2h AS (SELECT count(*) AS total_pairs, count(*) FILTER (w = 'a') AS ckpt1_wins,
         FROM stats s LEFT JOIN tfull t USING (checkpoint) LEFT JOIN jmetrics j USING (checkpoint)""",
         recursive=True,
     ),
+    "evaluation_report": _with(
+        TEXT_METRICS + "," + STATS + "," + JSON_METRICS,
+        f"""SELECT s.checkpoint, {r('s.win_rate')} AS alpaca_judge_win_rate,
+          {r('t.rougeL_f1')} AS "rougeL_f1", {r('t.bertscore_f1_avg')} AS bertscore_f1_avg,
+          {r('j.json_validity_rate')} AS json_validity_rate,
+          {r('j.schema_compliance_rate')} AS schema_compliance_rate,
+          {r('j.exact_match_rate')} AS exact_match_rate
+        FROM stats s LEFT JOIN tfull t USING (checkpoint) LEFT JOIN jmetrics j USING (checkpoint)""",
+        recursive=True,
+    ),
     "comparison_without_judgements": _with(
         TEXT_METRICS + "," + JSON_METRICS,
         f"""SELECT l.checkpoint, NULL::DOUBLE AS alpaca_judge_win_rate,

@@ -22,7 +22,7 @@ from evalspark.operators import (
     prep,
     textmetrics,
 )
-from evalspark.plans import reports
+from evalspark.plans import datasets, reports
 from evalspark.session import prepare, shared_dir
 from evalspark.sources import (
     find_judgements,
@@ -349,12 +349,10 @@ def response_text(spark, sf_dir):
 # --- texts and prompts --------------------------------------------------------------
 
 
-@query
-def instruction_normalise(spark, sf_dir):
-    """Stripped records; empty instructions go, those of spaces stay."""
+def raw_instructions(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = fx.table(spark, sf_dir, "documents")
     kind = F.col("doc_id") % 4
-    raw = d.select(
+    return d.select(
         "doc_id",
         F.when(kind == 0, F.concat(F.lit(" 　"), "text", F.lit("\n\t")))
         .when(kind == 1, F.col("text"))
@@ -364,7 +362,19 @@ def instruction_normalise(spark, sf_dir):
         F.when(F.col("doc_id") % 3 == 0, F.lit(" x ")).alias("input"),
         F.concat(F.lit("\x1c"), "text", F.lit("\xa0")).alias("output"),
     )
-    return prep.normalise_instructions(raw)
+
+
+@query
+def instruction_normalise(spark, sf_dir):
+    """Stripped records; empty instructions go, those of spaces stay."""
+    return prep.normalise_instructions(raw_instructions(spark, sf_dir))
+
+
+@query
+def instruction_dataset(spark, sf_dir):
+    """The whole job from raw instructions to both sides of a split."""
+    rows = datasets.instruction_dataset(raw_instructions(spark, sf_dir), "doc_id")
+    return rows.select("doc_id", "instruction", "split")
 
 
 @query
@@ -510,6 +520,20 @@ def teacher_records(spark, sf_dir):
     return prep.teacher_records(rows)
 
 
+@query
+def json_dataset(spark, sf_dir):
+    """The whole job from a prompt pool and its call log to both sides of a split."""
+    prompts = fx.table(spark, sf_dir, "events").select(F.floor(F.col("event_id") / 5).alias("idx"))
+    pool = prompts.distinct().select(
+        "idx",
+        F.concat(F.lit("Prompt "), F.col("idx").cast("string")).alias("instruction"),
+        F.lit("").alias("input"),
+        F.lit("t").alias("task_type"),
+    )
+    rows = datasets.json_dataset(pool, fx.attempt_log(spark, sf_dir), eval_size=50)
+    return rows.select("idx", "output", "task_type", "split")
+
+
 # --- order and splits ------------------------------------------------------------------
 
 
@@ -815,6 +839,29 @@ def checkpoint_comparison(spark, sf_dir):
     )
 
 
+@query
+def evaluation_report(spark, sf_dir):
+    """A whole evaluation written as files; its comparison table read back."""
+    out = scratch(spark, "evaluation")
+    reports.write_evaluation(
+        out,
+        fx.CHECKPOINTS,
+        fx.text_predictions(spark, sf_dir),
+        fx.json_predictions(spark, sf_dir),
+        fx.pair_judgements(spark, sf_dir),
+        contested(spark, sf_dir),
+        FIRST,
+        SECOND,
+        fx.token_embeddings(spark, sf_dir),
+        run_tag="all",
+    )
+    kinds = ", ".join(
+        f"{c} {'STRING' if c == 'checkpoint' else 'DOUBLE'}" for c in compare.COMPARISON_COLUMNS
+    )
+    table = spark.read.schema(kinds).option("header", "true")
+    return rounded(table.csv(f"{out}/tables/comparison_all.csv"))
+
+
 @query
 def comparison_without_judgements(spark, sf_dir):
     """The comparison where no judge file is found, with a label that has no rows at all."""
