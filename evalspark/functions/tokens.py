@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -23,6 +24,7 @@ def word_tokens(c: Column) -> Column:
     return F.regexp_extract_all(F.lower(or_empty(c)), F.lit(WORD), F.lit(0))
 
 
+@lru_cache(maxsize=200_000)
 def _stem(word: str) -> str:
     return porter_stem(word) if len(word) > LONGEST_UNSTEMMED else word
 
@@ -40,8 +42,19 @@ def stem_tokens(tokens: pa.Array) -> pa.Array:
 def _lcs(candidate: list[int], reference: list[int]) -> int:
     """Length of the longest common subsequence, one bit per reference token.
 
-    Bit-parallel recurrence of Hyyro (2004): unset bits mark row growth.
+    Common ends are counted at once; between them runs the bit-parallel recurrence of
+    Hyyro (2004), where unset bits mark row growth.
     """
+    shorter, ends = min(len(candidate), len(reference)), 0
+    while ends < shorter and candidate[ends] == reference[ends]:
+        ends += 1
+    candidate, reference = candidate[ends:], reference[ends:]
+    while candidate and reference and candidate[-1] == reference[-1]:
+        candidate.pop()
+        reference.pop()
+        ends += 1
+    if not candidate or not reference:
+        return ends
     places: dict[int, int] = {}
     for i, code in enumerate(reference):
         places[code] = places.get(code, 0) | (1 << i)
@@ -50,7 +63,7 @@ def _lcs(candidate: list[int], reference: list[int]) -> int:
     for code in candidate:
         hits = row & places.get(code, 0)
         row = ((row + hits) | (row - hits)) & full
-    return len(reference) - row.bit_count()
+    return ends + len(reference) - row.bit_count()
 
 
 @F.arrow_udf(T.LongType())

@@ -199,3 +199,44 @@ def test_published_json_rates(spark):
         ("c1", "reference_parse_failed"): 1,
         ("c1", "invalid_json"): 1,
     }
+
+
+def test_two_outputs_of_one_checkpoint_are_an_error(spark):
+    rows = [(0, "c0", "i", "", "p"), (0, "c0", "i", "", "zzz"), (0, "c1", "i", "", "q")]
+    preds = spark.createDataFrame(
+        rows, "id bigint, checkpoint string, instruction string, input string, prediction string"
+    )
+    with pytest.raises(Exception, match="two outputs"):
+        judge.comparison_plan(preds, LABELS).collect()
+    judged = spark.createDataFrame([(0, "A", "c0", "c1")], "idx bigint, winner string, checkpoint_a string, checkpoint_b string")
+    with pytest.raises(Exception, match="two outputs"):
+        forgetting.exemplars(judged, preds, "c0", "c1").collect()
+
+
+def test_a_swap_the_model_wrote_is_kept_apart(spark):
+    verdicts = spark.createDataFrame(
+        [(1, "c0", "c1", None, None, None, True), (2, "c0", "c1", "own", "x", "y", None)],
+        "idx bigint, first string, second string, prompt_id string, checkpoint_a string, checkpoint_b string, swapped boolean",
+    )
+    plan = spark.createDataFrame([(1, "c0", "c1", False), (2, "c0", "c1", True)], "idx bigint, first string, second string, swapped boolean")
+    for trust, want in ((False, {1: False, 2: True}), (True, {1: True, 2: True})):
+        done = judge.complete_judgements(verdicts, plan, trust_model_labels=trust)
+        assert {r["idx"]: r["swapped"] for r in done.collect()} == want
+        assert done.columns.count("swapped") == 1 and "raw_swapped" in done.columns
+
+
+def test_statistics_without_judge_files_are_blank(spark):
+    rows = judge.absent_stats(spark, LABELS).collect()
+    assert len(rows) == len(LABELS) and all(r["win_rate"] is None and r["wins"] == 0 for r in rows)
+
+
+def test_metrics_of_labels_without_rows_are_zero(spark):
+    preds = spark.createDataFrame(
+        [("c0", '{"a":1}', "null"), ("c0", "null", '{"a":1}'), ("c9", "{}", "{}")],
+        "checkpoint string, prediction string, reference string",
+    )
+    scored = jsoneval.score_json(preds)
+    found = {r["checkpoint"]: r for r in jsoneval.json_metrics(scored, ("c0", "c1")).collect()}
+    assert set(found) == {"c0", "c1"}
+    assert found["c0"]["error_taxonomy_counts"] == {"reference_parse_failed": 1, "not_object": 1}
+    assert (found["c1"]["total"], found["c1"]["json_validity_rate"], found["c1"]["error_taxonomy_counts"]) == (0, 0.0, {})

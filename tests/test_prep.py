@@ -125,3 +125,27 @@ def test_teacher_records_keep_key_order(spark):
     row = prep.teacher_records(df).first()
     assert row["output"] == '{"b": 1, "a": [1, 2], "c": "x, y: z"}'
     assert row["task_type"] == "unknown" and row["input"] == ""
+
+
+def test_pool_in_one_pass_equals_the_families(spark):
+    seeds = spark.createDataFrame(
+        [("json_extraction", "A", 'B"q', "C", "2024-01-01", None, None), ("tool_call_args", None, None, None, "today", None, "Oslo"),
+         ("other", None, None, None, None, None, None)],
+        "task_type string, first string, second string, location string, date string, name string, city string",
+    )
+    one = prep.pool_from(seeds, copies=1).drop("copy_no")
+    each = prep.build_pool(
+        {t: seeds.filter(F.col("task_type") == t).drop("task_type") for t in ("json_extraction", "tool_call_args")}, copies=1
+    ).drop("copy_no")
+    assert sorted(map(tuple, one.collect())) == sorted(map(tuple, each.collect()))
+
+
+def test_row_numbers_run_no_job_before_they_are_asked_for(spark):
+    df = spark.range(5000).select((F.col("id") * 7919 % 5003).alias("k"), F.lit("x").alias("v"))
+    tracker = spark.sparkContext.statusTracker()
+    before = set(tracker.getJobIdsForGroup())
+    numbered = prep.with_idx(df, "k")
+    assert set(tracker.getJobIdsForGroup()) == before
+    rows = sorted((r["k"], r["idx"]) for r in numbered.collect())
+    assert [i for _, i in rows] == list(range(5000))
+    assert prep.with_idx(df.filter("k < 0"), "k").collect() == []

@@ -144,3 +144,21 @@ def test_text_metrics_skip_absent_checkpoints(spark):
     rows = textmetrics.text_metrics(df).collect()
     assert [(r["checkpoint"], r["samples"], r["avg_output_tokens"]) for r in rows] == [("c0", 2, 3.0)]
     assert rows[0]["task_completion_rate"] == 0.5 and rows[0]["bertscore_f1_avg"] is None
+
+
+def test_long_rows_are_matched_in_several_tasks(spark):
+    """A row of 2,400 tokens in blocks of 64 meets its other side under 16 keys, without an outer join."""
+    rng = np.random.default_rng(2)
+    sides = {"candidate": rng.normal(size=(2400, 4)), "reference": rng.normal(size=(300, 4))}
+    rows = [("c", 1, s, i, [float(x) for x in v]) for s, m in sides.items() for i, v in enumerate(m)]
+    rows.append(("c", 2, "candidate", 0, [1.0, 0.0, 0.0, 0.0]))
+    df = spark.createDataFrame(rows, "checkpoint string, row_id bigint, side string, pos int, vector array<float>")
+    scored = textmetrics.embedding_f1(df, block=64)
+    plan = scored._jdf.queryExecution().toString()
+    assert "FullOuter" not in plan
+    found = {r["row_id"]: r for r in scored.collect()}
+    unit = [m / np.linalg.norm(m, axis=1, keepdims=True) for m in (sides["candidate"].astype("f4").astype(float), sides["reference"].astype("f4").astype(float))]
+    cosines = unit[0] @ unit[1].T
+    assert abs(found[1]["precision"] - cosines.max(axis=1).mean()) < 1e-6
+    assert abs(found[1]["recall"] - cosines.max(axis=0).mean()) < 1e-6
+    assert (found[2]["precision"], found[2]["f1"]) == (0.0, 0.0)
