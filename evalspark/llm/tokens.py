@@ -46,7 +46,7 @@ def split_words(texts: pa.Array, lower: bool = False) -> tuple[pa.Array, np.ndar
 class WordEncoder:
     """Token ids of whole texts; make one per task."""
 
-    def __init__(self, path: str, plain_specials: bool = False):
+    def __init__(self, path: str, plain_specials: bool = False, cached: int | None = None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -56,6 +56,7 @@ class WordEncoder:
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for word, i in vocabulary.items() if word.endswith(WORD_END)]] = True
+        self.cached = cached or CACHED_WORDS
         self._clear()
 
     def _clear(self) -> None:
@@ -109,7 +110,7 @@ class WordEncoder:
             return np.zeros(0, np.int64), counts
         coded = words.dictionary_encode()
         found = pc.index_in(coded.dictionary, self.known)
-        if len(self.known) + found.null_count > CACHED_WORDS:
+        if len(self.known) + found.null_count > self.cached:
             self._clear()
             place = self._learn(coded.dictionary)
         else:
@@ -138,12 +139,12 @@ class WordEncoder:
         return self.flat[at], bounds
 
 
-def encoder(path: str, plain_specials: bool = False) -> WordEncoder:
-    """This worker's encoder; tasks of one worker share its cache.
+def encoder(path: str, plain_specials: bool = False, cached: int | None = None) -> WordEncoder:
+    """This worker's encoder; tasks of one worker share its cache, of at most ``cached`` words.
 
     Task functions travel by value, so what outlives a task hangs on the interpreter itself.
     """
     kept = sys.modules.setdefault("_word_encoders", {})  # type: ignore[arg-type]
     if (path, plain_specials) not in kept:
-        kept[path, plain_specials] = WordEncoder(path, plain_specials)
+        kept[path, plain_specials] = WordEncoder(path, plain_specials, cached)
     return kept[path, plain_specials]

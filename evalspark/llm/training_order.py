@@ -27,6 +27,8 @@ from evalspark.llm.files import read_range, write_file
 from evalspark.llm.tokens import END_OF_TEXT, default_path, encoder
 
 STRIDE, PER_SHARD, KEY, ROUNDS = 512, 8192, 20_240_601, 6
+#: Words a worker remembers from the first pass for the second.
+CACHED = 2_000_000
 ID_BYTES = 2  # the vocabulary has fewer than 65,536 ids
 
 
@@ -83,7 +85,7 @@ def shard_uri(uri: str, shard: int) -> str:
 
 def _counted(texts: DataFrame, path: str, stride: int) -> DataFrame:
     def scan(batches):
-        words = encoder(path, plain_specials=True)
+        words = encoder(path, plain_specials=True, cached=CACHED)
         n = 0
         for batch in batches:
             n += int((-(-(words.count(batch.column(1)) + 1) // stride)).sum())
@@ -122,7 +124,7 @@ def training_order(
     names = ["slot", "doc_id", "start", "n_tokens", "ids"]
 
     def cut(batches):
-        words = encoder(path, plain_specials=True)
+        words = encoder(path, plain_specials=True, cached=CACHED)
         base, expected = first.value.get(TaskContext.get().partitionId(), (0, 0))
         seen = 0
         for batch in batches:
