@@ -1,15 +1,13 @@
 """Token sequences written in training order, as shards of fixed stride.
 
-Documents are cut into sequences of at most ``stride`` tokens. A keyed Feistel permutation of
-the sequences' dense numbers gives each its global slot: the network permutes the next power
-of two, and a value outside the range walks on through the network until it falls inside
-(cycle-walking), so the slots are a permutation computed without a sort or a table. Slots
-are range-partitioned; a partition writes whole shards, one fixed-size record after the other,
-and a reader finds slot s in shard s // per_shard at byte (s % per_shard) * stride * 2: training
-resumes anywhere with one seek.
-
-Dense numbers come from a first pass that counts each task's sequences; the second pass checks
-that it sees as many. Ids are written once, in the shards.
+Documents are cut into sequences of at most ``stride`` tokens. A document reserves as many numbers
+as its bytes could give sequences, so numbers need no tokenizing first. A keyed Feistel
+permutation shuffles the numbers: the network permutes the next power of four, and a
+value outside the range walks on through it until it falls inside (cycle-walking).
+Shards are equal ranges of permuted numbers; each partition sorts its shards and writes
+fixed-size records one after the other. A sequence's slot is the rank of its permuted number:
+the records of the shards before plus its place in its own, so slots have no gaps, and a reader
+that knows each shard's first slot resumes anywhere with one seek.
 """
 
 from __future__ import annotations
@@ -19,6 +17,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -26,9 +25,11 @@ from evalspark.llm.common import materialise, scratch, text_or_empty
 from evalspark.llm.files import read_range, write_file
 from evalspark.llm.tokens import END_OF_TEXT, default_path, encoder
 
-STRIDE, PER_SHARD, KEY, ROUNDS = 512, 8192, 20_240_601, 6
-#: Words a worker remembers from the first pass for the second.
-CACHED = 2_000_000
+STRIDE, KEY, ROUNDS = 512, 20_240_601, 6
+#: Text bytes whose tokens make up a shard, about.
+SHARD_BYTES = 16 << 20
+#: No text has more tokens than so many times its bytes, lower-casing and composing included.
+MOST_TOKENS = 4
 ID_BYTES = 2  # the vocabulary has fewer than 65,536 ids
 
 
@@ -64,16 +65,19 @@ class Layout(NamedTuple):
     uri: str
     total: int
     stride: int
-    per_shard: int
+    shards: np.ndarray  # numbers of the shards, ascending
+    first: np.ndarray  # each shard's first slot
 
     def read(self, slot: int, count: int = 1) -> np.ndarray:
         """Sequences slot..slot+count-1 in training order, read shard by shard."""
         out, width = [], self.stride * ID_BYTES
         stop = min(slot + count, self.total)
+        ends = np.append(self.first[1:], self.total)
         while slot < stop:
-            shard, at = divmod(slot, self.per_shard)
-            n = min(stop - slot, self.per_shard - at)
-            raw = read_range(shard_uri(self.uri, shard), at * width, n * width)
+            k = int(np.searchsorted(self.first, slot, side="right")) - 1
+            n = min(stop, int(ends[k])) - slot
+            at = slot - int(self.first[k])
+            raw = read_range(shard_uri(self.uri, int(self.shards[k])), at * width, n * width)
             out.append(np.frombuffer(raw, "<u2").reshape(n, self.stride))
             slot += n
         return np.concatenate(out) if out else np.zeros((0, self.stride), "<u2")
@@ -83,23 +87,11 @@ def shard_uri(uri: str, shard: int) -> str:
     return f"{uri}/shard-{shard:08d}.bin"
 
 
-def _counted(texts: DataFrame, path: str, stride: int) -> DataFrame:
-    def scan(batches):
-        words = encoder(path, plain_specials=True, cached=CACHED)
-        n = 0
-        for batch in batches:
-            n += int((-(-(words.count(batch.column(1)) + 1) // stride)).sum())
-        part = TaskContext.get().partitionId()
-        yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([n], pa.int64())], ["part", "n"])
-
-    return texts.mapInArrow(scan, "part int, n bigint")
-
-
 def training_order(
     docs: DataFrame,
     uri: str | None = None,
     stride: int = STRIDE,
-    per_shard: int = PER_SHARD,
+    shard_bytes: int = SHARD_BYTES,
     key: int = KEY,
     path: str | None = None,
 ) -> tuple[DataFrame, Layout]:
@@ -108,82 +100,105 @@ def training_order(
     Input: doc_id (integer), text, as a table that gives the same rows in the same order whenever
     it is read; other columns are not read. A document's ids end with END_OF_TEXT, which also
     fills up its last sequence; n_tokens counts without the filling. Null and empty texts
-    have that one id. Repeated rows are written each. An empty table writes and gives
-    nothing. The shards are written when the returned rows are first computed.
+    have that one id. Repeated rows are written each. An empty table writes and gives nothing.
     """
     spark = docs.sparkSession
     uri, path = uri or scratch(spark, "training-order"), path or default_path()
     texts = docs.select("doc_id", text_or_empty().alias("text"))
-    counts = materialise(_counted(texts, path, stride), "sequence-counts")
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    size = F.octet_length("text").cast("bigint")
+    most = F.ceil((size * MOST_TOKENS + 1) / F.lit(stride)).cast("bigint")
     # One row per task of the scan.
-    bases = counts.select("part", "n", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")).collect()
-    total = sum(r["n"] for r in bases)
-    first = spark.sparkContext.broadcast({r["part"]: (r["base"], r["n"]) for r in bases})
+    tasks = texts.groupBy(F.spark_partition_id().alias("part")).agg(F.sum(most).alias("n"), F.sum(size).alias("bytes"))
+    bases, total = {}, 0
+    sums = sorted(tuple(r) for r in tasks.collect())
+    for part, n, _ in sums:
+        bases[part] = (total, n)
+        total += n
+    shards = max(1, -(-sum(r[2] for r in sums) // shard_bytes))
+    per_shard = max(1, -(-total // shards))
+    first = spark.sparkContext.broadcast(bases)
     kind = dict(docs.dtypes)["doc_id"]
-    names = ["slot", "doc_id", "start", "n_tokens", "ids"]
+    names = ["number", "doc_id", "start", "n_tokens", "ids"]
 
     def cut(batches):
-        words = encoder(path, plain_specials=True, cached=CACHED)
-        base, expected = first.value.get(TaskContext.get().partitionId(), (0, 0))
-        seen = 0
+        words = encoder(path, plain_specials=True)
+        base, reserved = first.value.get(TaskContext.get().partitionId(), (0, 0))
+        used = 0
         for batch in batches:
             ids, bounds = words.encode(batch.column(1))
             ids = ids.astype("<u2")
             lengths = np.diff(bounds) + 1
             each = -(-lengths // stride)
+            width = pc.binary_length(batch.column(1)).to_numpy().astype(np.int64)
+            room = -(-(width * MOST_TOKENS + 1) // stride)
+            begin = base + used + np.cumsum(room) - room
+            used += int(room.sum())
+            if (each > room).any():
+                raise ValueError("a text has more tokens than MOST_TOKENS allows")
             owner = np.repeat(np.arange(len(batch)), each)
             step = np.arange(len(owner)) - np.repeat(np.cumsum(each) - each, each)
             start = step * stride
             size = np.minimum(stride, lengths[owner] - start)
             for a in range(0, len(owner), 4096):
-                o, s = owner[a : a + 4096], start[a : a + 4096]
+                o, s, n = owner[a : a + 4096], start[a : a + 4096], size[a : a + 4096]
                 rows = np.full((len(o), stride), END_OF_TEXT, "<u2")
-                for k, (doc, at, n) in enumerate(zip(o.tolist(), s.tolist(), size[a : a + 4096].tolist())):
-                    part = ids[bounds[doc] + at : min(bounds[doc] + at + n, bounds[doc + 1])]
+                for k, (doc, at, m) in enumerate(zip(o.tolist(), s.tolist(), n.tolist())):
+                    part = ids[bounds[doc] + at : min(bounds[doc] + at + m, bounds[doc + 1])]
                     rows[k, : len(part)] = part
-                slots = permute(base + seen + np.arange(len(o)), total, key)
-                seen += len(o)
+                numbers = permute(begin[o] + step[a : a + 4096], total, key)
                 raw = pa.FixedSizeBinaryArray.from_buffers(pa.binary(stride * ID_BYTES), len(o), [None, pa.py_buffer(rows.tobytes())])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(slots), batch.column(0).take(pa.array(o)), pa.array(s), pa.array(size[a : a + 4096]), raw.cast(pa.binary())],
+                    [pa.array(numbers), batch.column(0).take(pa.array(o)), pa.array(s), pa.array(n), raw.cast(pa.binary())],
                     names,
                 )
-        if seen != expected:
-            raise ValueError("the table gave other rows than in the counting pass")
+        if used != reserved:
+            raise ValueError("the table gave other rows than when they were counted")
 
     def write(batches):
         shard, chunks, rows = None, [], []
 
         def close():
-            slots = [r[0] for r in rows]
-            size = min(per_shard, total - shard * per_shard)
-            if slots != list(range(shard * per_shard, shard * per_shard + size)):
-                raise ValueError(f"shard {shard} lacks sequences")
             write_file(shard_uri(uri, shard), chunks)
-            columns = list(zip(*rows))
-            types = (pa.int64(), doc_type, pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64())
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], done)
+            types = (doc_type, pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64())
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], done)
 
         for batch in batches:
             doc_type = batch.column(1).type
-            for slot, doc, start, n, raw in zip(*(c.to_pylist() for c in batch.columns)):
-                if slot // per_shard != shard:
+            for number, doc, start, n, raw in zip(*(c.to_pylist() for c in batch.columns)):
+                if number // per_shard != shard:
                     if rows:
                         yield close()
-                    shard, chunks, rows = slot // per_shard, [], []
+                    shard, chunks, rows = number // per_shard, [], []
+                rows.append((doc, start, n, zlib.crc32(raw), shard, len(chunks)))
                 chunks.append(raw)
-                at = slot % per_shard * stride * ID_BYTES
-                rows.append((slot, doc, start, n, zlib.crc32(raw), shard, at))
         if rows:
             yield close()
 
-    done = ["slot", "doc_id", "start", "n_tokens", "ids_crc32", "shard", "byte_offset"]
-    schema = f"slot bigint, doc_id {kind}, start bigint, n_tokens bigint, ids binary"
-    placed = texts.mapInArrow(cut, schema).withColumn("_shard", F.floor(F.col("slot") / per_shard))
-    shards = max(1, -(-total // per_shard))
-    # Shards are ranges of slots, dense and equally large: their numbers are the partitions',
-    # and no sample is needed to find bounds.
-    ordered = placed.repartitionById(shards, F.col("_shard").cast("int")).sortWithinPartitions("slot").drop("_shard")
-    result = f"slot bigint, doc_id {kind}, start bigint, n_tokens bigint, ids_crc32 bigint, shard bigint, byte_offset bigint"
-    return ordered.mapInArrow(write, result), Layout(uri, total, stride, per_shard)
+    done = ["doc_id", "start", "n_tokens", "ids_crc32", "shard", "place"]
+    schema = f"number bigint, doc_id {kind}, start bigint, n_tokens bigint, ids binary"
+    cuts = texts.mapInArrow(cut, schema).withColumn("_shard", F.floor(F.col("number") / F.lit(per_shard)).cast("int"))
+    # Shards are ranges of numbers and their numbers the partitions': no sample is needed.
+    ordered = cuts.repartitionById(shards, F.col("_shard")).sortWithinPartitions("number").drop("_shard")
+    result = f"doc_id {kind}, start bigint, n_tokens bigint, ids_crc32 bigint, shard bigint, place bigint"
+    written = materialise(ordered.mapInArrow(write, result), "sequences")
+    before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    counts = written.groupBy("shard").agg(F.count("*").alias("_n"))
+    starts = counts.select("shard", "_n", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"))
+    known = sorted((r["shard"], r["_first"], r["_n"]) for r in starts.collect())  # one row per shard
+    layout = Layout(
+        uri,
+        sum(r[2] for r in known),
+        stride,
+        np.array([r[0] for r in known], np.int64),
+        np.array([r[1] for r in known], np.int64),
+    )
+    rows = written.join(F.broadcast(starts), "shard").select(
+        (F.col("_first") + F.col("place")).alias("slot"),
+        "doc_id",
+        "start",
+        "n_tokens",
+        "ids_crc32",
+        "shard",
+        (F.col("place") * (stride * ID_BYTES)).alias("byte_offset"),
+    )
+    return rows, layout

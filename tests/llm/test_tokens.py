@@ -100,14 +100,19 @@ def test_permutation(total):
 def test_shards_read_back_in_order(spark, tmp_path):
     whole = reference(True)
     docs = llm_data.stored(spark, tmp_path, ROWS)
-    rows, layout = training_order.training_order(docs, stride=64, per_shard=100)
+    rows, layout = training_order.training_order(docs, stride=64, shard_bytes=50_000)
     rows = rows.collect()
     assert sorted(r.slot for r in rows) == list(range(layout.total))
+    assert len(layout.shards) > 5
     every = layout.read(0, layout.total)
     assert np.array_equal(layout.read(37, 500), every[37:537]) and len(layout.read(layout.total, 5)) == 0
+    slots = {(r.doc_id, r.start): r.slot for r in rows if r.doc_id is not None}
+    order = np.argsort([slots[k] for k in sorted(slots)])
+    assert abs(np.corrcoef(order, np.arange(len(order)))[0, 1]) < 0.1
     texts = {}
+    first = dict(zip(layout.shards.tolist(), layout.first.tolist()))
     for r in sorted(rows, key=lambda r: r.start):
-        assert (r.shard, r.byte_offset) == (r.slot // 100, r.slot % 100 * 128)
+        assert r.byte_offset == (r.slot - first[r.shard]) * 128
         assert zlib.crc32(every[r.slot].tobytes()) == r.ids_crc32
         texts.setdefault(r.doc_id, []).append((r.start, every[r.slot][: r.n_tokens].tolist()))
     for doc, parts in texts.items():
