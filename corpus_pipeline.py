@@ -27,7 +27,7 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of linked near-duplicates the document with the smallest id stays."""
     ready(spark)
-    return simhash.drop_near(docs)
+    return simhash.drop_similar(docs)
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
