@@ -32,7 +32,8 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark passage go."""
-    return decontaminate.drop_contaminated(docs, table(ready(spark), sf_dir, "benchmark"))
+    items = table(ready(spark), sf_dir, "benchmark")
+    return decontaminate.drop_contaminated(docs, items, null_ids_stay=False)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -102,7 +102,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents without a benchmark passage, all their columns; null ids stay."""
-    leaks = contaminated(docs, benchmark).select("doc_id").distinct()
-    return docs.join(leaks, "doc_id", "left_anti").select(*(f"`{c}`" for c in docs.columns))
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, null_ids_stay: bool = True) -> DataFrame:
+    """The documents without a benchmark passage, all their columns.
+
+    Rows are told apart by id and text. Null ids stay, unless ``null_ids_stay`` is false.
+    """
+    key = F.struct("doc_id", F.xxhash64(text_or_empty()).alias("_text"))
+    leaks = contaminated(docs.select(key.alias("doc_id"), "text"), benchmark).select("doc_id.*").distinct()
+    leaks = leaks.select(F.col("doc_id").alias("_id"), "_text")
+    if null_ids_stay:
+        leaks = leaks.filter("_id IS NOT NULL")
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64(text_or_empty()) == F.col("_text"))
+    return docs.join(leaks, same, "left_anti").select(*(f"`{c}`" for c in docs.columns))

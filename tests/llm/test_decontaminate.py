@@ -59,3 +59,12 @@ def test_drop_and_empty_tables(spark):
     assert decontaminate.contaminated(docs.limit(0), bench).collect() == []
     assert decontaminate.contaminated(docs, bench.limit(0)).collect() == []
     assert decontaminate.drop_contaminated(docs, bench.limit(0)).count() == docs.count()
+
+
+def test_stage_decides_by_id_and_text(spark, tmp_path):
+    import corpus_pipeline
+
+    rows = [(1, ITEMS[0]), (1, CLEAN[40] + " clean"), (2, "clean"), (None, ITEMS[1]), (None, "clean too"), (None, None)]
+    spark.createDataFrame([(0, ITEMS[0]), (1, ITEMS[1])], "item_id bigint, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    left = corpus_pipeline.benchmark_stage(spark, llm_data.documents(spark, rows), str(tmp_path))
+    assert sorted(((r.doc_id, r.text) for r in left.collect()), key=str) == sorted((rows[k] for k in (1, 2, 4, 5)), key=str)
