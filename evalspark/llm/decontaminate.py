@@ -78,7 +78,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         .withColumn("_length", F.size("_words"))
     )
     sides = _seeds(items.select(F.struct("item_id", "n_items", "_length").alias("_item"), "_words"), "_item")
-    seeds = sides.select("_seed", "_item", _around(F.col("_words"), F.col("_at")).alias("_theirs"))
+    theirs = _around(F.col("_words"), F.col("_at")).alias("_theirs")
+    seeds = sides.select("_seed", "_item", F.col("_at").alias("_from"), theirs)
     mine = _seeds(docs.select("doc_id", word_hashes(text_or_empty()).alias("_words")), "doc_id")
     if seeds.count() <= BROADCAST_SEEDS:
         hits = mine.join(F.broadcast(seeds), "_seed")
@@ -87,7 +88,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         row = F.struct("doc_id", F.xxhash64("text").alias("text")).alias("_row")
         words = docs.select(row, word_hashes(text_or_empty()).alias("_words"))
         found = _seeds(words, "_row").drop("_words").join(seeds, "_seed")
-        found = found.dropDuplicates(["_row", "_at", "_seed", "_item"]).withColumnRenamed("_row", "_hit")
+        found = found.dropDuplicates(["_row", "_at", "_seed", "_item", "_from"]).withColumnRenamed("_row", "_hit")
         same = F.col("_hit").eqNullSafe(F.col("_row"))
         hits = found.join(words, same).select(F.col("_row.doc_id").alias("doc_id"), "_words", "_at", "_item", "_theirs")
     width = F.least(F.lit(WINDOW), F.col("_item._length"))

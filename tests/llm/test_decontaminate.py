@@ -61,6 +61,22 @@ def test_drop_and_empty_tables(spark):
     assert decontaminate.drop_contaminated(docs, bench.limit(0)).count() == docs.count()
 
 
+def test_both_branches_verify_every_place_of_a_repeated_phrase(spark, monkeypatch):
+    rows, bench = [], []
+    for i in range(12):
+        w = [f"w{i}x{k}" for k in range(24)]
+        phrase = [f"p{i}x{k}" for k in range(9)]
+        item = w[:8] + phrase + w[8:16] + phrase + w[16:]
+        bench.append((i, " ".join(item)))
+        rows += [(10 * i, " ".join(item[4:21])), (10 * i + 1, " ".join(item[21:38]))]  # the one place, the other
+    docs, items = llm_data.documents(spark, rows), spark.createDataFrame(bench, "item_id bigint, text string")
+    found = []
+    for limit in (decontaminate.BROADCAST_SEEDS, 0):
+        monkeypatch.setattr(decontaminate, "BROADCAST_SEEDS", limit)
+        found.append(sorted(tuple(r) for r in decontaminate.contaminated(docs, items).collect()))
+    assert found[0] == found[1] and {r[0] for r in found[0]} == {i for i, _ in rows}
+
+
 def test_stage_decides_by_id_and_text(spark, tmp_path):
     import corpus_pipeline
 
