@@ -54,20 +54,21 @@ def features(url: Column) -> dict[str, Column]:
     """Lexical statistics: lengths, depth, shares, entropy, parameters, suffix."""
     path, host = F.col("path"), F.col("host")
     size = F.length(url)
-    counts = F.map_values(
-        F.aggregate(
-            F.filter(F.split(F.substring(host, 1, 253), ""), lambda c: c != ""),
-            F.create_map().cast("map<string,int>"),
-            lambda m, c: F.map_concat(
-                F.map_filter(m, lambda k, _: k != c),
-                F.create_map(c, F.coalesce(F.try_element_at(m, c), F.lit(0)) + 1),
-            ),
-        )
+    # Sorted, equal characters are runs: one pass sums up n * log2(n) over the whole host.
+    weigh = lambda n: n * F.log2(F.greatest(n, F.lit(1.0)))
+    start = F.struct(F.lit("").alias("c"), F.lit(0.0).alias("n"), F.lit(0.0).alias("s"))
+    runs = F.aggregate(
+        F.array_sort(F.filter(F.split(host, ""), lambda c: c != "")),
+        start,
+        lambda m, c: F.struct(
+            c.alias("c"),
+            F.when(m["c"] == c, m["n"] + 1.0).otherwise(F.lit(1.0)).alias("n"),
+            F.when(m["c"] == c, m["s"]).otherwise(m["s"] + weigh(m["n"])).alias("s"),
+        ),
+        lambda m: m["s"] + weigh(m["n"]),
     )
     total = F.greatest(F.length(host), F.lit(1))
-    entropy = F.aggregate(
-        counts, F.lit(0.0), lambda s, n: s - (n / total) * F.log2(n / total)
-    )
+    entropy = F.log2(total) - runs / total
     suffix = F.substring_index(host, ".", -1)
     found = {
         "length": size,

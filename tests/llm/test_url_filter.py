@@ -50,3 +50,15 @@ def test_without_labels_and_empty(spark):
     assert {r.verdict for r in only} == {"allow"}
     assert {r.verdict for r in url_filter.judge_urls(pages(spark, ["http://a.net/x", "http://b.edu/"])).collect()} == {"block"}
     assert url_filter.judge_urls(pages(spark, ["x"]).limit(0)).collect() == []
+
+
+def test_entropy_covers_the_whole_host(spark):
+    import collections
+    import math
+
+    hosts = ["", "a", "aab.org", "a" * 253 + "bcdefg" * 50, "ab" * 500 + "é😀", "x" * 20_000]
+    rows = url_filter.with_host_path(spark.createDataFrame([(f"http://{h}/p",) for h in hosts], "url string"))
+    found = {r.host: r.e for r in rows.select("host", url_filter.features(rows.url)["_entropy"].alias("e")).collect()}
+    for h in hosts:
+        want = -sum(n / len(h) * math.log2(n / len(h)) for n in collections.Counter(h).values())
+        assert abs(found[h] - want) < 1e-9, h[:20]
