@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from evalspark.llm import (
     decontaminate,
     exact_dedup,
+    fill_in_middle,
     language_model,
     packing,
     simhash,
@@ -97,3 +98,14 @@ def op9_token_counts(spark, sf_dir):
 def op10_language_model(spark, sf_dir):
     """Base score and language-model score of every document."""
     return language_model.score_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_fill_in_middle(spark, sf_dir):
+    """Digests of every document rearranged, and of what comes back from its output."""
+    out = fill_in_middle.fill_in_middle(table(spark, sf_dir, "documents"))
+    columns = ("doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256")
+    return fill_in_middle.restore(out.select(*columns, "output")).select(*columns, "restored_sha256")
+
+
+ORACLE["op12_fill_in_middle"] = fill_in_middle.FILL_SQL
