@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterable
 
+import pyarrow as pa
 from pyarrow import fs
 
 
@@ -12,6 +13,10 @@ def resolve(uri: str) -> tuple[fs.FileSystem, str]:
     """File system and path of an address such as file:///x, hdfs://... or a plain path."""
     if uri.startswith("file:/"):
         return fs.LocalFileSystem(), "/" + uri[5:].lstrip("/")
+    # Spark's names of one and the same store.
+    for name in ("s3a://", "s3n://"):
+        if uri.startswith(name):
+            uri = "s3://" + uri.removeprefix(name)
     if "://" in uri:
         return fs.FileSystem.from_uri(uri)
     return fs.LocalFileSystem(), uri
@@ -32,6 +37,12 @@ def write_file(uri: str, chunks: Iterable[bytes]) -> int:
     return size
 
 
+def open_stream(uri: str) -> pa.NativeFile:
+    """A file as a stream of its bytes, as they are."""
+    system, path = resolve(uri)
+    return system.open_input_stream(path, compression=None)
+
+
 def read_range(uri: str, begin: int, size: int) -> bytes:
     system, path = resolve(uri)
     with system.open_input_file(path) as source:

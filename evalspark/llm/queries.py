@@ -18,6 +18,7 @@ from evalspark.llm import (
     toxicity,
     training_order,
     url_filter,
+    warc,
 )
 from evalspark.llm.common import ready, table
 
@@ -100,6 +101,15 @@ def op10_language_model(spark, sf_dir):
     return language_model.score_documents(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_warc(spark, sf_dir):
+    """Every page's record, as read back from the archives."""
+    return warc.archived_pages(table(spark, sf_dir, "pages"))
+
+
+ORACLE["op11_warc"] = warc.WARC_SQL
+
+
 @query
 def op12_fill_in_middle(spark, sf_dir):
     """Digests of every document rearranged, and of what comes back from its output."""
