@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from evalspark.llm import (
     decontaminate,
     exact_dedup,
     fill_in_middle,
     language_model,
+    merkle,
     packing,
     simhash,
     substring_dedup,
@@ -119,3 +120,21 @@ def op12_fill_in_middle(spark, sf_dir):
 
 
 ORACLE["op12_fill_in_middle"] = fill_in_middle.FILL_SQL
+
+
+@query
+def op13_merkle(spark, sf_dir):
+    """Every document's leaf, proof and roots, with half of the documents checked as altered copies."""
+    rows = merkle.verify(merkle.manifest(table(spark, sf_dir, "documents"), merkle.without_line_feeds()))
+
+    def shown(name):
+        return F.lower(F.hex(name)).alias(name)
+
+    return rows.select(
+        "doc_id", shown("leaf"), shown("subroot"), shown("root"),
+        merkle.proof(F.col("siblings"), F.col("source_siblings")).alias("proof_sha256"),
+        shown("folded_root"), "verified",
+    )
+
+
+ORACLE["op13_merkle"] = merkle.MERKLE_SQL
