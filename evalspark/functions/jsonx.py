@@ -47,26 +47,37 @@ _CLASS = r"""s -> coalesce(
 
 # A text with one opening brace has its span end at the next closing one. Otherwise a
 # fold over the pieces of the text cut after each brace: a piece that opens at depth 0
-# starts a span, one that closes back to depth 0 ends it.
-_SPANS = """t -> CASE
-    WHEN locate('}', t, instr(t, '{') + 1) = 0 OR NOT contains(t, '{')
+# starts a span, one that closes back to depth 0 ends it. A fold copies its state at every step, so no
+# list grows along the text: pieces go in groups, a first fold finds the depth at which each
+# group begins, and then every group lists its own spans, as places and numbers of pieces.
+_GROUP = 64
+_DEPTH = """CASE WHEN endswith(p, '{') THEN c.depth + 1
+    WHEN endswith(p, '}') AND c.depth > 0 THEN c.depth - 1 ELSE c.depth END"""
+_FIRST = "CASE WHEN endswith(p, '{') AND c.depth = 0 THEN c.at + 1 ELSE c.first END"
+_PIECES = f"slice(pieces, int(g * {_GROUP} + 1), {_GROUP})"
+_NO_STARTS = "cast(array() AS array<struct<depth: int, first: int>>)"
+_NO_RUNS = "cast(array() AS array<struct<first: int, n: int>>)"
+_STARTS = f"""aggregate(sequence(0, (size(pieces) - 1) div {_GROUP}),
+    named_struct('depth', 0, 'first', 0, 'starts', {_NO_STARTS}),
+    (s, g) -> aggregate({_PIECES},
+        named_struct('at', int(g * {_GROUP}), 'depth', s.depth, 'first', s.first),
+        (c, p) -> named_struct('at', c.at + 1, 'depth', {_DEPTH}, 'first', {_FIRST}),
+        c -> named_struct('depth', c.depth, 'first', c.first, 'starts',
+            concat(s.starts, array(named_struct('depth', s.depth, 'first', s.first))))),
+    s -> s.starts)"""
+_RUNS = f"""flatten(transform({_STARTS}, (start, g) -> aggregate({_PIECES},
+    named_struct('at', int(g * {_GROUP}), 'depth', start.depth, 'first', start.first, 'runs', {_NO_RUNS}),
+    (c, p) -> named_struct('at', c.at + 1, 'depth', {_DEPTH}, 'first', {_FIRST},
+        'runs', CASE WHEN endswith(p, '}}') AND c.depth = 1
+            THEN concat(c.runs, array(named_struct('first', c.first, 'n', c.at + 1 - c.first))) ELSE c.runs END),
+    c -> c.runs)))"""
+_SPANS = f"""t -> CASE
+    WHEN locate('}}', t, instr(t, '{{') + 1) = 0 OR NOT contains(t, '{{')
         THEN cast(array() AS array<string>)
-    WHEN locate('{', t, instr(t, '{') + 1) = 0
-        THEN array(substr(t, instr(t, '{'), locate('}', t, instr(t, '{')) - instr(t, '{') + 1))
-    ELSE aggregate(
-    split(t, r'(?<=[{}])', -1),
-    named_struct('offset', 0, 'depth', 0, 'start', 0, 'spans', cast(array() AS array<string>)),
-    (s, p) -> named_struct(
-        'offset', s.offset + length(p),
-        'depth', CASE WHEN endswith(p, '{') THEN s.depth + 1
-                      WHEN endswith(p, '}') AND s.depth > 0 THEN s.depth - 1
-                      ELSE s.depth END,
-        'start', CASE WHEN endswith(p, '{') AND s.depth = 0 THEN s.offset + length(p)
-                      ELSE s.start END,
-        'spans', CASE WHEN endswith(p, '}') AND s.depth = 1
-                      THEN concat(s.spans,
-                                  array(substr(t, s.start, s.offset + length(p) - s.start + 1)))
-                      ELSE s.spans END)).spans END"""
+    WHEN locate('{{', t, instr(t, '{{') + 1) = 0
+        THEN array(substr(t, instr(t, '{{'), locate('}}', t, instr(t, '{{')) - instr(t, '{{') + 1))
+    ELSE transform(array(split(t, r'(?<=[{{}}])', -1)), pieces -> transform({_RUNS},
+        x -> concat('{{', array_join(slice(pieces, x.first + 1, x.n), ''))))[0] END"""
 
 
 # Texts with numbers that VARIANT does not keep as written: fractions, exponents, numbers
@@ -165,7 +176,7 @@ def object_spans(c: Column) -> Column:
     """Top-level ``{...}`` spans from left to right; quoting is not looked at.
 
     The text is cut after every brace, so the fold takes one step per brace and
-    not one per character.
+    not one per character, and its cost grows with the number of braces alone.
     """
 
     return let(c, _SPANS)
@@ -230,9 +241,13 @@ def json_text(c: Column) -> Column:
     """The part of a model output that is read as JSON, repaired but not checked."""
 
     def chosen(t: Column) -> Column:
-        spans = F.transform(F.reverse(object_spans(t)), repair_commas)
-        parsable = F.filter(spans, lambda span: parse_strict(span).isNotNull())
-        return F.coalesce(F.get(parsable, F.lit(0)), fallback_slice(t))
+        # Once a span is found, those before it are not looked at.
+        def last_parsable(found: Column, span: Column) -> Column:
+            repaired = let(repair_commas(span), lambda r: F.when(parse_strict(r).isNotNull(), r))
+            return F.coalesce(found, repaired)
+
+        last = F.aggregate(F.reverse(object_spans(t)), F.lit(None).cast("string"), last_parsable)
+        return F.coalesce(last, fallback_slice(t))
 
     return let(cleaned(c), chosen)
 
@@ -242,9 +257,10 @@ def is_valid(c: Column) -> Column:
 
 
 def _rewritten(text: str | None) -> str | None:
+    """A text's value written out again; the text itself where it is none or nested too deep to read."""
     try:
         return None if text is None else json.dumps(json.loads(text), ensure_ascii=False)
-    except ValueError:
+    except (ValueError, RecursionError):
         return text
 
 
@@ -252,7 +268,8 @@ def rewrite_json(df: DataFrame, column: str) -> DataFrame:
     """``df`` with JSON texts written out again from their values, characters unescaped.
 
     A repeated key keeps its first place and its last value at every depth, which no
-    built-in function does while keeping the order of keys. Other texts stay as they are.
+    built-in function does while keeping the order of keys. Other texts stay as they are, and so do
+    texts nested deeper than the reader goes (some thousand levels).
     """
     place, schema = df.columns.index(column), df.schema
 

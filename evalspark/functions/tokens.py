@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -24,9 +23,21 @@ def word_tokens(c: Column) -> Column:
     return F.regexp_extract_all(F.lower(or_empty(c)), F.lit(WORD), F.lit(0))
 
 
-@lru_cache(maxsize=200_000)
+# Stems a task has met. A plain dict goes to the workers by value, as the functions here do; an
+# object that wraps a function would be looked up in this package, which workers need not have.
+_STEMS: dict[str, str] = {}
+_STEMS_KEPT = 200_000
+
+
 def _stem(word: str) -> str:
-    return porter_stem(word) if len(word) > LONGEST_UNSTEMMED else word
+    if len(word) <= LONGEST_UNSTEMMED:
+        return word
+    stem = _STEMS.get(word)
+    if stem is None:
+        if len(_STEMS) == _STEMS_KEPT:
+            _STEMS.clear()
+        stem = _STEMS[word] = porter_stem(word)
+    return stem
 
 
 @F.arrow_udf(T.ArrayType(T.StringType()))
@@ -39,31 +50,47 @@ def stem_tokens(tokens: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(starts, stems.take(encoded.indices))
 
 
-def _lcs(candidate: list[int], reference: list[int]) -> int:
+# Reference tokens of one block of the LCS: the bits of one integer.
+LCS_BLOCK = 4096
+
+
+def _lcs(candidate: list[int], reference: list[int], block: int = LCS_BLOCK) -> int:
     """Length of the longest common subsequence, one bit per reference token.
 
     Common ends are counted at once; between them runs the bit-parallel recurrence of
-    Hyyro (2004), where unset bits mark row growth.
+    Hyyro (2004), where unset bits mark row growth. The reference is taken in blocks, one
+    after the other: all that a block hands on is, for each candidate token, the carry of its sum.
+    So memory holds the places of one block's tokens and a byte per candidate token.
     """
     shorter, ends = min(len(candidate), len(reference)), 0
     while ends < shorter and candidate[ends] == reference[ends]:
         ends += 1
-    candidate, reference = candidate[ends:], reference[ends:]
-    while candidate and reference and candidate[-1] == reference[-1]:
-        candidate.pop()
-        reference.pop()
-        ends += 1
-    if not candidate or not reference:
-        return ends
-    places: dict[int, int] = {}
-    for i, code in enumerate(reference):
-        places[code] = places.get(code, 0) | (1 << i)
-    full = (1 << len(reference)) - 1
-    row = full
-    for code in candidate:
-        hits = row & places.get(code, 0)
-        row = ((row + hits) | (row - hits)) & full
-    return ends + len(reference) - row.bit_count()
+    behind = 0
+    while behind < shorter - ends and candidate[-1 - behind] == reference[-1 - behind]:
+        behind += 1
+    candidate = candidate[ends : len(candidate) - behind]
+    reference = reference[ends : len(reference) - behind]
+    common = set(reference).intersection(candidate)
+    candidate = [code for code in candidate if code in common]
+    reference = [code for code in reference if code in common]
+    length, carries = ends + behind, bytearray(len(candidate))
+    for at in range(0, len(reference), block):
+        places: dict[int, int] = {}
+        part = reference[at : at + block]
+        for i, code in enumerate(part):
+            places[code] = places.get(code, 0) | (1 << i)
+        width = len(part)
+        full = (1 << width) - 1
+        row = full
+        for k, code in enumerate(candidate):
+            hits = row & places.get(code, 0)
+            carry = carries[k]
+            if hits or carry:
+                total = row + hits + carry
+                carries[k] = total >> width
+                row = ((total & full) | (row - hits))
+        length += width - row.bit_count()
+    return length
 
 
 @F.arrow_udf(T.LongType())

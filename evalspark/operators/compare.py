@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 # --- fixed values ---------------------------------------------------------
 COMPARISON_COLUMNS = (
@@ -48,28 +48,45 @@ def checkpoint_comparison(
 
 
 def first_document(df: DataFrame, keys: Sequence[str], order_by: str = "idx") -> DataFrame:
-    """The first record per key, in the order of a column."""
-    rest = [c for c in df.columns if c not in keys]
-    return (
-        df.groupBy(*keys)
-        .agg(F.min_by(F.struct(*rest), order_by).alias("_first"))
-        .select(*keys, "_first.*")
+    """The first record per key, in the order of a column that tells a key's records apart.
+
+    The smallest value of each key meets the rows again, so that only first records are carried further.
+    Records that share it are ranked by the hash of their content. A key where the column is always
+    null has no record.
+    """
+    names = {k: f"_key{i}" for i, k in enumerate(keys)}
+    first = df.groupBy(*(F.col(f"`{k}`").alias(n) for k, n in names.items()))
+    first = first.agg(F.min(order_by).alias("_first"))
+    same = F.col(f"`{order_by}`") == F.col("_first")
+    for k, n in names.items():
+        same = same & F.col(f"`{k}`").eqNullSafe(F.col(n))
+    met = df.join(first, same).drop("_first", *names.values())
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(_content_hash(df)))
+    return met.withColumn("_rank", rank).filter("_rank = 1").drop("_rank")
+
+
+def _content_hash(df: DataFrame) -> Column:
+    """A hash of all columns; maps and variants go by their JSON."""
+    return F.xxhash64(
+        *(F.to_json(F.col(f"`{c}`")) if t.startswith(("map", "variant")) else F.col(f"`{c}`") for c, t in df.dtypes)
     )
 
 
 def prefer(sources: Sequence[DataFrame], keys: Sequence[str] = ()) -> DataFrame:
-    """Per key, the record of the first source that has one."""
-    tagged = None
-    for rank, source in enumerate(sources):
-        part = source.withColumn("_rank", F.lit(rank))
-        tagged = part if tagged is None else tagged.unionByName(part)
-    rest = [c for c in sources[0].columns if c not in keys]
-    return (
-        tagged.groupBy(*keys)
-        .agg(F.min_by(F.struct(*rest), "_rank").alias("_best"))
-        .filter(F.col("_best").isNotNull())
-        .select(*keys, "_best.*")
-    )
+    """Per key, the record of the first source that has one.
+
+    Each source gives the keys that none before it has; sources hold one record per key.
+    """
+    found = sources[0]
+    for source in sources[1:]:
+        if keys:
+            taken = found.select(*(F.col(f"`{k}`").alias(f"_key{i}") for i, k in enumerate(keys)))
+            same = [F.col(f"`{k}`").eqNullSafe(F.col(f"_key{i}")) for i, k in enumerate(keys)]
+            rest = source.join(taken, same, "left_anti")
+        else:
+            rest = source.filter(~found.exists())
+        found = found.unionByName(rest)
+    return found
 
 
 def _as_text(field: T.StructField) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from evalspark.functions.text import CATEGORY_KEYWORDS, instruction_category, or_empty
@@ -99,7 +101,10 @@ def _earliest(won: str) -> Column:
 
 
 def _examples(found: DataFrame, preds: DataFrame, first: str, second: str) -> DataFrame:
-    """The texts of the pairs a record names: kind, idx, category and so on; two rows at most."""
+    """The texts of the pairs a record names: kind, idx, category and so on; two rows at most.
+
+    One scan brings the outputs of both checkpoints, four rows at most, which are then put side by side.
+    """
     kinds = F.array(
         *(
             F.struct(F.lit(k).alias("kind"), F.col(f"{k}_idx").alias("idx"), F.lit(w).alias("winner"))
@@ -107,24 +112,31 @@ def _examples(found: DataFrame, preds: DataFrame, first: str, second: str) -> Da
         )
     )
     picked = found.select(F.inline(kinds)).filter("idx IS NOT NULL")
+    outputs = preds.filter(F.col("checkpoint").isin(first, second)).join(
+        F.broadcast(picked), F.col("id") == F.col("idx")
+    )
 
-    def side(label: str, name: str, *more: str) -> DataFrame:
-        wanted = preds.filter(F.col("checkpoint") == label)
-        return wanted.join(F.broadcast(picked), F.col("id") == F.col("idx")).select(
-            "kind", "idx", "winner", *more, or_empty(F.col("prediction")).alias(name)
-        )
+    def of(label: str, column: str) -> Column:
+        return F.max(F.when(F.col("checkpoint") == label, or_empty(F.col(column))))
 
-    ours = side(first, "prediction_ckpt1", "instruction", "input")
-    theirs = side(second, "prediction_ckpt2").select("kind", "prediction_ckpt2")
-    return ours.join(F.broadcast(theirs), "kind").select(
-        "kind",
-        "idx",
-        instruction_category(F.col("instruction")).alias("category"),
-        or_empty(F.col("instruction")).alias("instruction"),
-        or_empty(F.col("input")).alias("input"),
-        "prediction_ckpt1",
-        "prediction_ckpt2",
-        "winner",
+    return (
+        outputs.groupBy("kind", "idx", "winner")
+        .agg(
+            of(first, "instruction").alias("instruction"),
+            of(first, "input").alias("input"),
+            of(first, "prediction").alias("prediction_ckpt1"),
+            of(second, "prediction").alias("prediction_ckpt2"),
+        )
+        .select(
+            "kind",
+            "idx",
+            instruction_category(F.col("instruction")).alias("category"),
+            "instruction",
+            "input",
+            "prediction_ckpt1",
+            "prediction_ckpt2",
+            "winner",
+        )
     )
 
 
@@ -145,6 +157,104 @@ def category_breakdown(
     return _by_category(_outcomes(judgements, preds, first, second))
 
 
+# Groupings of ``outcome_report``, each by the columns it keeps apart.
+LEVELS = {
+    "total": (),
+    "pair": ("first", "second"),
+    "category": ("category",),
+    "swapped": ("swapped",),
+    "pair, category": ("first", "second", "category"),
+    "pair, swapped": ("first", "second", "swapped"),
+}
+
+
+def outcome_report(
+    judgements: DataFrame, preds: DataFrame, labels: Sequence[str], levels: Sequence[str] = tuple(LEVELS)
+) -> DataFrame:
+    """Wins, ties and examples of all pairs of checkpoints, by several groupings at once.
+
+    ``judgements`` holds, besides its own columns, the ``first`` and ``second`` label of the plan and
+    ``swapped``. One row per group of every level: level, first, second, category, swapped (null where a level
+    does not keep them apart), total, wins_first, wins_second, ties and undecided (neither won), their
+    rates over the total, and the lowest idx of a pair with both outputs that either side won. A level
+    "pair" row is the ``head_to_head`` of its pair, "pair, category" the ``category_breakdown``, whose ties are
+    the undecided here, and its examples those of ``exemplars``. Judgements of other labels are left out.
+
+    Judgements and predictions are read once and meet once. All groupings come from one aggregation:
+    rows are summed up where they are, and what goes through its shuffle are groups. Where
+    both tables are bucketed by prompt, that is the only shuffle.
+    """
+    names = F.array(*(F.lit(c) for c in _CATEGORIES))
+    code = F.array_position(names, instruction_category(F.col("instruction")))
+
+    def mine(label: str) -> Column:
+        return F.col("checkpoint") == label
+
+    prompts = (
+        preds.filter(F.col("checkpoint").isin(*labels))
+        .groupBy(F.col("id").alias("idx"))
+        .agg(
+            *(F.min(F.when(mine(x), code)).alias(f"_code{i}") for i, x in enumerate(labels)),
+            *(F.count_if(mine(x)).alias(f"_n{i}") for i, x in enumerate(labels)),
+        )
+    )
+
+    def of(side: str, prefix: str) -> Column:
+        chosen = F.lit(None)
+        for i, x in enumerate(labels):
+            chosen = F.when(F.col(side) == x, F.col(f"{prefix}{i}")).otherwise(chosen)
+        return chosen
+
+    n1, n2 = of("first", "_n"), of("second", "_n")
+    twice = F.raise_error(
+        F.format_string("id %s has two outputs of one checkpoint", F.col("idx").cast("string"))
+    ).cast("boolean")
+    complete = F.when((n1 > 1) | (n2 > 1), twice).otherwise(F.coalesce((n1 == 1) & (n2 == 1), F.lit(False)))
+    named = (or_empty(F.col("checkpoint_a")) != "") & (or_empty(F.col("checkpoint_b")) != "")
+    winner = _winning_label()
+    rows = (
+        judgements.filter(F.col("first").isin(*labels) & F.col("second").isin(*labels))
+        .join(prompts, "idx", "left")
+        .select(
+            "idx",
+            "first",
+            "second",
+            "swapped",
+            F.coalesce(F.get(names, of("first", "_code").cast("int") - 1), F.lit(_CATEGORIES[-1])).alias("category"),
+            complete.alias("complete"),
+            F.coalesce(winner == F.col("first"), F.lit(False)).alias("won1"),
+            F.coalesce(winner == F.col("second"), F.lit(False)).alias("won2"),
+            (named & winner_letter().isin(*TIES)).alias("tied"),
+            named.alias("named"),
+        )
+    )
+    won1, won2 = F.col("named") & F.col("won1"), F.col("named") & F.col("won2")
+    keys = ("first", "second", "category", "swapped")
+    sets = [[F.col(c) for c in LEVELS[level]] for level in levels]
+    level = None
+    for name in levels:  # grouping_id has a bit for every key that is summed over
+        gid = sum(1 << (len(keys) - 1 - i) for i, k in enumerate(keys) if k not in LEVELS[name])
+        hit = F.grouping_id() == gid
+        level = F.when(hit, name) if level is None else level.when(hit, name)
+    total = F.count(F.lit(1))
+    counted = rows.groupingSets(sets, *keys).agg(
+        level.alias("level"),
+        total.alias("total"),
+        F.count_if(won1).alias("wins_first"),
+        F.count_if(won2).alias("wins_second"),
+        F.count_if("tied").alias("ties"),
+        F.count_if(~F.col("won1") & ~F.col("won2")).alias("undecided"),
+        _earliest("won1").alias("regression_idx"),
+        _earliest("won2").alias("improvement_idx"),
+    )
+    counts = ("wins_first", "wins_second", "ties")
+    return counted.select(
+        "level", *keys, "total", *counts, "undecided",
+        *(rate(F.col(c), F.col("total")).alias(f"{c}_rate") for c in counts),
+        "regression_idx", "improvement_idx",
+    )
+
+
 def exemplars(judgements: DataFrame, preds: DataFrame, first: str, second: str) -> DataFrame:
     """First pair the first checkpoint won (regression) and first the second won (improvement)."""
     found = _outcomes(judgements, preds, first, second).agg(
@@ -176,6 +286,23 @@ def metric_deltas(text_metrics: DataFrame, first: str, second: str) -> DataFrame
     )
 
 
+def run_deltas(table: DataFrame, first: str, second: str, columns: Sequence[str]) -> DataFrame:
+    """Metrics of every checkpoint in two runs, and their change; an absent run counts as 0.
+
+    ``table`` holds a row per run and checkpoint, as ``sources.read_runs`` reads it: only the two runs'
+    partitions are scanned. Columns: checkpoint, and of each metric x x_run1, x_run2, delta_x.
+    """
+
+    def of(run: str, column: str) -> Column:
+        return F.coalesce(F.max(F.when(F.col("run") == run, F.col(column))), F.lit(0.0))
+
+    both = table.filter(F.col("run").isin(first, second)).groupBy("checkpoint")
+    values = both.agg(
+        *(of(run, c).alias(f"{c}_run{i}") for c in columns for i, run in ((1, first), (2, second)))
+    )
+    return values.withColumns({f"delta_{c}": F.col(f"{c}_run2") - F.col(f"{c}_run1") for c in columns})
+
+
 def forgetting_summary(
     judgements: DataFrame,
     preds: DataFrame,
@@ -187,7 +314,8 @@ def forgetting_summary(
     """One record: head-to-head, metric changes, categories and examples.
 
     Judgements are read and joined once: the categories are the first level of
-    the aggregation, everything else is summed up from their few rows.
+    the aggregation, everything else is summed up from their few rows. The summed record is one scalar
+    value, which the report and the search for its examples share.
     """
     named = (or_empty(F.col("checkpoint_a")) != "") & (or_empty(F.col("checkpoint_b")) != "")
     per_category = _by_category(
@@ -215,17 +343,20 @@ def forgetting_summary(
         F.min("regression_idx").alias("regression_idx"),
         F.min("improvement_idx").alias("improvement_idx"),
     )
-    shown = _examples(counts, preds, first, second)
+    summed = judgements.sparkSession.range(1).select(counts.select(F.struct("*")).scalar().alias("_counts"))
+    summed = summed.select("_counts.*")
+    shown = _examples(summed, preds, first, second)
     content = F.struct(*(c for c in shown.columns if c != "kind"))
-
-    def example(kind: str) -> Column:
-        return shown.filter(F.col("kind") == kind).select(content).scalar()
-
-    deltas = metric_deltas(text_metrics, first, second)
-    changes = deltas.select(F.struct(*deltas.columns)).scalar()
-    record = _rates(counts).withColumns(
-        {"metrics": changes, "regression": example("regression"), "improvement": example("improvement")}
+    both = shown.agg(
+        *(F.max(F.when(F.col("kind") == k, content)).alias(k) for k in ("regression", "improvement"))
     )
+    deltas = metric_deltas(text_metrics, first, second)
+    record = _rates(summed).withColumns(
+        {
+            "metrics": deltas.select(F.struct("*")).scalar(),
+            "examples": both.select(F.struct("*")).scalar(),
+        }
+    ).select("*", "examples.regression", "examples.improvement")
     files = metric_files or {}
     return record.select(
         F.lit(first).alias("ckpt1"),

@@ -146,25 +146,50 @@ def rate(part: Column, whole: Column) -> Column:
     return F.coalesce(F.try_divide(part.cast("double"), whole.cast("double")), F.lit(0.0))
 
 
-def _metrics(scored: DataFrame) -> DataFrame:
-    """All rates and error counts of a checkpoint, from one pass over the rows."""
-    total, valid = F.count(F.lit(1)), F.count_if("valid")
+def metric_sums(scored: DataFrame, *by: str) -> DataFrame:
+    """What the metrics of a checkpoint are made of, as counts and sums that can be added up.
+
+    One row per checkpoint and value of the columns ``by``, from one pass over the rows.
+    """
+    counts = F.array(
+        *(F.count_if(F.array_contains("labels", label)) for label in ERROR_LABELS)
+    )
+    return scored.groupBy(*by, "checkpoint").agg(
+        F.count(F.lit(1)).alias("total"),
+        F.count_if("valid").alias("valid"),
+        F.count_if("compliant").alias("compliant"),
+        F.count_if("exact").alias("exact"),
+        F.sum("extraction_f1").alias("f1_sum"),
+        F.count("extraction_f1").alias("f1_rows"),
+        F.count_if("extraction").alias("extraction"),
+        counts.alias("label_counts"),
+    )
+
+
+def add_metric_sums(sums: DataFrame) -> DataFrame:
+    """``metric_sums`` of parts of the rows as those of all of them, per checkpoint."""
+    added = F.array(*(F.sum(F.col("label_counts")[i]) for i in range(len(ERROR_LABELS))))
+    numbers = ("total", "valid", "compliant", "exact", "f1_sum", "f1_rows", "extraction")
+    return sums.groupBy("checkpoint").agg(*(F.sum(c).alias(c) for c in numbers), added.alias("label_counts"))
+
+
+def metrics_of(sums: DataFrame) -> DataFrame:
+    """All rates and error counts of a checkpoint."""
     counts = F.array(
         *(
-            F.struct(
-                F.lit(label).alias("category"),
-                F.count_if(F.array_contains("labels", label)).alias("count"),
-            )
-            for label in ERROR_LABELS
+            F.struct(F.lit(label).alias("category"), F.col("label_counts")[i].alias("count"))
+            for i, label in enumerate(ERROR_LABELS)
         )
     )
-    return scored.groupBy("checkpoint").agg(
-        total.alias("total"),
+    total, valid = F.col("total"), F.col("valid")
+    return sums.select(
+        "checkpoint",
+        "total",
         rate(valid, total).alias("json_validity_rate"),
-        rate(F.count_if("compliant"), valid).alias("schema_compliance_rate"),
-        rate(F.count_if("exact"), total).alias("exact_match_rate"),
-        F.coalesce(F.avg("extraction_f1"), F.lit(0.0)).alias("extraction_field_level_f1_avg"),
-        F.count_if("extraction").alias("extraction_prompts"),
+        rate(F.col("compliant"), valid).alias("schema_compliance_rate"),
+        rate(F.col("exact"), total).alias("exact_match_rate"),
+        rate(F.col("f1_sum"), F.col("f1_rows")).alias("extraction_field_level_f1_avg"),
+        F.col("extraction").alias("extraction_prompts"),
         counts.alias("counts"),
     )
 
@@ -176,15 +201,17 @@ def json_metrics(scored: DataFrame, labels: Sequence[str] | None = None) -> Data
     and exact match, valid rows for schema compliance. With ``labels`` there is one record for
     each of them, of zeros where it has no row, and none for others.
     """
+    wanted = scored if labels is None else scored.filter(F.col("checkpoint").isin(*labels))
+    return metrics_table(metric_sums(wanted), labels)
+
+
+def metrics_table(sums: DataFrame, labels: Sequence[str] | None = None) -> DataFrame:
+    """The same from the sums of each checkpoint."""
     seen = F.filter("counts", lambda x: x["count"] > 0)
-    found = (
-        _metrics(scored if labels is None else scored.filter(F.col("checkpoint").isin(*labels)))
-        .withColumn("error_taxonomy_counts", F.map_from_entries(seen))
-        .drop("counts")
-    )
+    found = metrics_of(sums).withColumn("error_taxonomy_counts", F.map_from_entries(seen)).drop("counts")
     if labels is None:
         return found
-    asked = scored.sparkSession.range(1).select(
+    asked = sums.sparkSession.range(1).select(
         F.explode(F.array(*(F.lit(label) for label in labels))).alias("checkpoint")
     )
     # At most one row per label.
@@ -199,8 +226,9 @@ def json_metrics(scored: DataFrame, labels: Sequence[str] | None = None) -> Data
 
 def error_taxonomy(scored: DataFrame) -> DataFrame:
     """Rows per checkpoint and error label; labels that never occur are left out."""
-    return (
-        _metrics(scored)
-        .select("checkpoint", F.inline("counts"))
-        .filter(F.col("count") > 0)
-    )
+    return taxonomy_of(metric_sums(scored))
+
+
+def taxonomy_of(sums: DataFrame) -> DataFrame:
+    """The same from the sums of each checkpoint."""
+    return metrics_of(sums).select("checkpoint", F.inline("counts")).filter(F.col("count") > 0)

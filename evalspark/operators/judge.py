@@ -188,39 +188,61 @@ def judge_stats(
     known letters adds to the comparisons only. Averages divide by all
     comparisons of a checkpoint, with absent scores as 0.
     """
+    sums = pair_sums(for_labels(judgements, labels), dimensions)
+    return stats_of(sums, labels, dimensions)
+
+
+def pair_sums(
+    judgements: DataFrame, dimensions: Sequence[str] = DIMENSIONS, by: Sequence[str] = ()
+) -> DataFrame:
+    """What the statistics are made of, per ordered pair of checkpoints and the columns ``by``.
+
+    Counts of wins of either side, ties and judgements, and sums of scores: they can be added up.
+    """
     winner = winner_letter()
+    return judgements.groupBy(*by, "checkpoint_a", "checkpoint_b").agg(
+        F.count_if(winner == FIRST).alias("won_a"),
+        F.count_if(winner == SECOND).alias("won_b"),
+        F.count_if(winner.isin(*TIES)).alias("tied"),
+        F.count(F.lit(1)).alias("n"),
+        *(
+            F.coalesce(F.sum(F.col(f"response_{side}_scores")[d]), F.lit(0.0)).alias(f"{side}_{d}")
+            for side in ("a", "b")
+            for d in dimensions
+        ),
+    )
+
+
+def stats_of(
+    sums: DataFrame, labels: Sequence[str], dimensions: Sequence[str] = DIMENSIONS
+) -> DataFrame:
+    """``judge_stats`` of the labels, from ``pair_sums`` of any parts of their judgements."""
 
-    def side(label: str, scores: str, letter: str, other: str) -> Column:
+    def side(this: str, that: str) -> Column:
         return F.struct(
-            F.col(label).alias("checkpoint"),
-            F.col(scores).alias("scores"),
-            (winner == letter).alias("won"),
-            (winner == other).alias("lost"),
-            winner.isin(*TIES).alias("tied"),
+            F.col(f"checkpoint_{this}").alias("checkpoint"),
+            F.col(f"won_{this}").alias("won"),
+            F.col(f"won_{that}").alias("lost"),
+            "tied",
+            "n",
+            *(F.col(f"{this}_{d}").alias(d) for d in dimensions),
         )
 
-    both = F.array(
-        side("checkpoint_a", "response_a_scores", FIRST, SECOND),
-        side("checkpoint_b", "response_b_scores", SECOND, FIRST),
-    )
-    total = F.count(F.lit(1))
+    total = F.sum("n")
     tallied = (
-        for_labels(judgements, labels)
-        .select(F.inline(both))
+        for_labels(sums, labels)
+        .select(F.inline(F.array(side("a", "b"), side("b", "a"))))
         .groupBy("checkpoint")
         .agg(
-            F.count_if("won").alias("wins"),
-            F.count_if("lost").alias("losses"),
-            F.count_if("tied").alias("ties"),
+            F.sum("won").alias("wins"),
+            F.sum("lost").alias("losses"),
+            F.sum("tied").alias("ties"),
             total.alias("total_compares"),
-            *(
-                rate(F.coalesce(F.sum(F.col("scores")[d]), F.lit(0.0)), total).alias(f"avg_{d}")
-                for d in dimensions
-            ),
+            *(rate(F.sum(d), total).alias(f"avg_{d}") for d in dimensions),
         )
     )
     counts = ("wins", "losses", "ties", "total_compares")
-    complete = label_frame(judgements.sparkSession, labels).join(
+    complete = label_frame(sums.sparkSession, labels).join(
         F.broadcast(tallied), "checkpoint", "left"  # at most one row per label
     )
     filled = complete.select(

@@ -226,23 +226,52 @@ def text_metrics(
 
     Rows are scored where they are and only per-checkpoint sums are shuffled.
     """
+    table = text_metrics_of(text_sums(preds, pattern, min_chars, use_stemmer))
+    if token_embeddings is None:
+        return table.withColumn("bertscore_f1_avg", F.lit(None).cast("double"))
+    return table.join(embedding_f1_means(embedding_f1(token_embeddings)), "checkpoint", "left")
+
+
+_TEXT_SCORES = ("rouge1_f1", "rouge2_f1", "rougeL_f1")
+
+
+def text_sums(
+    preds: DataFrame,
+    pattern: str = r"\S+",
+    min_chars: int = 20,
+    use_stemmer: bool = True,
+    by: tuple[str, ...] = (),
+) -> DataFrame:
+    """What the text metrics are made of, per checkpoint and the columns ``by``, as sums to be added up."""
     prediction = F.col("prediction")
     measured = rouge(preds, use_stemmer).select(
+        *by,
         "checkpoint",
         F.size(text.tokens(prediction, pattern)).alias("n_tokens"),
         text.task_completed(prediction, min_chars).alias("completed"),
-        "rouge1_f1",
-        "rouge2_f1",
-        "rougeL_f1",
+        *_TEXT_SCORES,
     )
-    table = measured.groupBy("checkpoint").agg(
+    return measured.groupBy(*by, "checkpoint").agg(
         F.count(F.lit(1)).alias("samples"),
-        F.avg("n_tokens").alias("avg_output_tokens"),
-        F.avg(F.col("completed").cast("double")).alias("task_completion_rate"),
-        F.avg("rouge1_f1").alias("rouge1_f1"),
-        F.avg("rouge2_f1").alias("rouge2_f1"),
-        F.avg("rougeL_f1").alias("rougeL_f1"),
+        F.sum("n_tokens").alias("n_tokens"),
+        F.count_if("completed").alias("completed"),
+        *(F.sum(c).alias(c) for c in _TEXT_SCORES),
+    )
+
+
+def add_text_sums(sums: DataFrame) -> DataFrame:
+    """``text_sums`` of parts of the rows as those of all of them, per checkpoint."""
+    numbers = ("samples", "n_tokens", "completed", *_TEXT_SCORES)
+    return sums.groupBy("checkpoint").agg(*(F.sum(c).alias(c) for c in numbers))
+
+
+def text_metrics_of(sums: DataFrame) -> DataFrame:
+    """Means per checkpoint, from its sums; without embedding F1."""
+    samples = F.col("samples")
+    return sums.select(
+        "checkpoint",
+        "samples",
+        rate(F.col("n_tokens"), samples).alias("avg_output_tokens"),
+        rate(F.col("completed"), samples).alias("task_completion_rate"),
+        *(rate(F.col(c), samples).alias(c) for c in _TEXT_SCORES),
     )
-    if token_embeddings is None:
-        return table.withColumn("bertscore_f1_avg", F.lit(None).cast("double"))
-    return table.join(embedding_f1_means(embedding_f1(token_embeddings)), "checkpoint", "left")

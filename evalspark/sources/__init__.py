@@ -2,6 +2,9 @@
 
 from evalspark.sources.files import (
     find_judgements,
+    list_files,
+    literal,
+    read_found_parquet,
     read_instructions,
     read_judgements,
     read_jsonl,
@@ -10,14 +13,22 @@ from evalspark.sources.files import (
     write_key_value,
     write_report,
 )
+from evalspark.sources.tables import read_runs, write_bucketed, write_run, write_runs
 
 __all__ = [
     "find_judgements",
+    "list_files",
+    "literal",
+    "read_found_parquet",
     "read_instructions",
     "read_judgements",
     "read_jsonl",
+    "read_runs",
     "tagged",
+    "write_bucketed",
     "write_jsonl",
     "write_key_value",
     "write_report",
+    "write_run",
+    "write_runs",
 ]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from functools import reduce
 
@@ -36,6 +37,39 @@ def _read_found(spark: SparkSession, paths: Sequence[str], schema: str) -> DataF
     return reduce(DataFrame.union, parts) if parts else None
 
 
+def list_files(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """The files under paths or patterns: file, path, modified, length; none where none exists.
+
+    Spark lists them, empty ones excepted, and no content is read. ``file`` is what ``_metadata.file_path`` says of their rows,
+    ``path`` is what a reader takes.
+    """
+    schema = "file STRING, path STRING, modified TIMESTAMP, length BIGINT"
+    parts = []
+    for one in [path] if isinstance(path, str) else path:
+        try:
+            parts.append(spark.read.format("binaryFile").load(one).select("_metadata.file_path", "path", "modificationTime", "length"))
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+    found = reduce(DataFrame.union, parts) if parts else spark.createDataFrame([], schema)
+    return found.toDF("file", "path", "modified", "length").distinct()
+
+
+def literal(path: str) -> str:
+    """A path that readers don't take for a pattern."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
+
+
+def read_found_parquet(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Parquet files under an explicit schema; an empty table where the folder does not exist."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+    return spark.createDataFrame([], schema)
+
+
 def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """JSON Lines with every field of every row, nulls included."""
     df.write.mode(mode).option("ignoreNullFields", "false").json(path)

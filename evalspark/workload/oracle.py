@@ -1080,3 +1080,67 @@ h2h AS (SELECT count(*) AS total_pairs, count(*) FILTER (w = 'a') AS ckpt1_wins,
         ),
     ),
 }
+
+# --- the same results by other ways -------------------------------------------
+
+for _name, _twin in {
+    "streamed_attempts": "accepted_attempts",
+    "streamed_judge_attempts": "accepted_judge_attempts",
+    "streamed_pending": "pending_prompts",
+    "incremental_json_metrics": "json_metrics",
+    "incremental_error_taxonomy": "json_error_taxonomy",
+    "incremental_judge_stats": "win_tally",
+    "bucketed_pair_plan": "pair_plan",
+    "bucketed_category_breakdown": "category_breakdown",
+}.items():
+    ORACLE[_name] = ORACLE[_twin]
+
+ORACLE["incremental_text_metrics"] = "SELECT * EXCLUDE (bertscore_f1_avg) FROM (" + ORACLE["text_metrics"] + ")"
+
+_RUN_STATS = ("win_rate", "tie_rate", "avg_clarity")
+
+
+def _run(name: str, condition: str) -> str:
+    """Statistics of the judgements that meet a condition, as CTEs of a run."""
+    chosen = STATS[len(JUDGED):].replace("FROM judged WHERE", f"FROM judged WHERE {condition} AND")
+    return chosen.replace("sides", f"sides_{name}").replace("stats AS", f"stats_{name} AS")
+
+
+ORACLE["run_deltas"] = _with(
+    JUDGED + _run("base", "true") + _run("ablation", "idx % 2 = 1"),
+    "SELECT checkpoint, "
+    + ", ".join(
+        f"{r(f'coalesce(a.{c}, 0)')} AS {c}_run1, {r(f'coalesce(b.{c}, 0)')} AS {c}_run2, "
+        f"{r(f'coalesce(b.{c}, 0) - coalesce(a.{c}, 0)')} AS delta_{c}"
+        for c in _RUN_STATS
+    )
+    + " FROM stats_base a FULL JOIN stats_ablation b USING (checkpoint)",
+)
+
+_LEVELS = {
+    "total": "()", "pair": "(first, second)", "category": "(category)", "swapped": "(swapped)",
+    "pair, category": "(first, second, category)", "pair, swapped": "(first, second, swapped)",
+}
+ORACLE["outcome_report"] = _with(
+    H2H
+    + """,
+everyone AS (
+  SELECT j.*, category, ca IS NOT NULL AND cb IS NOT NULL AS named,
+    coalesce(CASE w WHEN 'a' THEN ca WHEN 'b' THEN cb END, '') AS winner
+  FROM judged j JOIN prompts USING (idx)),
+grouped AS (
+  SELECT first, second, category, swapped,
+    grouping(first, second, category, swapped) AS gid, count(*) AS total,
+    count(*) FILTER (named AND winner = first) AS wins_first,
+    count(*) FILTER (named AND winner = second) AS wins_second,
+    count(*) FILTER (named AND w = 'tie') AS ties,
+    count(*) FILTER (winner NOT IN (first, second)) AS undecided,
+    min(idx) FILTER (winner = first) AS regression_idx, min(idx) FILTER (winner = second) AS improvement_idx
+  FROM everyone GROUP BY GROUPING SETS (""" + ", ".join(_LEVELS.values()) + "))",
+    f"""SELECT CASE gid WHEN 15 THEN 'total' WHEN 3 THEN 'pair' WHEN 13 THEN 'category' WHEN 14 THEN 'swapped'
+      WHEN 1 THEN 'pair, category' WHEN 2 THEN 'pair, swapped' END AS level,
+      first, second, category, swapped, total, wins_first, wins_second, ties, undecided,
+      {r('wins_first / total')} AS wins_first_rate, {r('wins_second / total')} AS wins_second_rate,
+      {r('ties / total')} AS ties_rate, regression_idx, improvement_idx FROM grouped""",
+)
+ORACLE["bucketed_outcome_report"] = ORACLE["outcome_report"]

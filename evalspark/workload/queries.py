@@ -17,6 +17,7 @@ from evalspark.operators import (
     attempts,
     compare,
     forgetting,
+    incremental,
     jsoneval,
     judge,
     prep,
@@ -29,9 +30,13 @@ from evalspark.sources import (
     read_instructions,
     read_judgements,
     read_jsonl,
+    read_runs,
+    write_bucketed,
     write_jsonl,
     write_report,
+    write_run,
 )
+from evalspark.streaming import attempt_stream
 from evalspark.workload import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -688,15 +693,7 @@ def pair_plan(spark, sf_dir):
 
 
 def completed(spark: SparkSession, sf_dir: str, trust: bool) -> DataFrame:
-    judged = fx.pair_judgements(spark, sf_dir)
-    ends = {f"{a}v{b}": (fx.CHECKPOINTS[a], fx.CHECKPOINTS[b]) for a, b in fx.PAIRS}
-    sides = [
-        F.create_map(*(F.lit(x) for pair, side in ends.items() for x in (pair, side[i])))
-        for i in (0, 1)
-    ]
-    asked = judged.withColumns(
-        {"first": sides[0][F.col("pair")], "second": sides[1][F.col("pair")]}
-    )
+    asked = planned(fx.pair_judgements(spark, sf_dir))
     plan = asked.select("idx", "first", "second", "swapped")
     # Every fifth answer claims a swap of its own.
     claimed = F.when(F.col("idx") % 5 == 0, ~F.col("swapped"))
@@ -902,6 +899,188 @@ def pending_prompts(spark, sf_dir):
     return attempts.pending(prompts.distinct(), attempts.accept_attempts(log))
 
 
+# --- attempt logs as streams ---------------------------------------------------------------
+
+
+def streamed(spark: SparkSession, sf_dir: str, follow: Callable[..., DataFrame]) -> DataFrame:
+    """Outcomes of the log read as a stream: rows dealt over files at random, a restart in between.
+
+    Prompts are announced, and a last call hours later moves the watermark past all that came before.
+    """
+    start = F.lit(1_700_000_000)
+    log = fx.attempt_log(spark, sf_dir).withColumn("at", F.timestamp_seconds(start + F.col("attempt") * 60 + F.col("idx") % 60))
+    prompts = fx.table(spark, sf_dir, "events").select(F.floor(F.col("event_id") / 5).alias("idx")).distinct()
+    none = {c: F.lit(None).cast(t) for c, t in (("attempt", "int"), ("status", "string"), ("text", "string"))}
+    rows = log.unionByName(prompts.withColumns(none).withColumn("at", F.timestamp_seconds(start)))
+    last = spark.range(1).select(
+        F.lit(-1).cast("bigint").alias("idx"), F.lit(0).alias("attempt"), F.lit("api_error").alias("status"),
+        F.lit(None).cast("string").alias("text"), F.timestamp_seconds(start + 36_000).alias("at"),
+    )
+    side = text.hash32(F.concat_ws("|", "idx", "attempt")) % 2
+    root = scratch(spark, "attempt-stream")
+    for part in (rows.filter(side == 0), rows.filter(side == 1), last):
+        write_jsonl(part, f"{root}/log", mode="append")
+        outcomes = follow(attempt_stream.read_log(spark, f"{root}/log"))
+        attempt_stream.start(outcomes, f"{root}/outcomes", f"{root}/checkpoint").awaitTermination()
+    return attempt_stream.settled(spark, f"{root}/outcomes")
+
+
+@query
+def streamed_attempts(spark, sf_dir):
+    """Accepted answers of a log that is read as a stream."""
+    found = streamed(spark, sf_dir, attempt_stream.follow_attempts)
+    return found.filter(F.col("outcome") == attempt_stream.ACCEPTED).drop("outcome")
+
+
+@query
+def streamed_judge_attempts(spark, sf_dir):
+    found = streamed(spark, sf_dir, attempt_stream.follow_judge_attempts)
+    return found.filter(F.col("outcome") == attempt_stream.ACCEPTED).drop("outcome")
+
+
+@query
+def streamed_pending(spark, sf_dir):
+    """Prompts that a stream of calls has failed or given up."""
+    return attempt_stream.pending(streamed(spark, sf_dir, attempt_stream.follow_attempts)).select("idx")
+
+
+# --- metrics kept up to date ------------------------------------------------------------------
+
+
+def kept_up_to_date(spark: SparkSession, rows: DataFrame, kind: incremental.Kind, key: str) -> str:
+    """A store after two updates: of three files, then of one more, one replaced and one gone.
+
+    What is there in the end are ``rows``, dealt over three files; until then one file holds other
+    rows, and another should not be there at all.
+    """
+    root = scratch(spark, "incremental")
+    folder, store = f"{root}/files", f"{root}/store"
+
+    def put(name: int, part: DataFrame) -> None:
+        part.coalesce(1).write.mode("overwrite").option("ignoreNullFields", "false").json(f"{folder}/part={name}")
+
+    def third(k: int) -> DataFrame:
+        return rows.filter(F.pmod(F.col(key), F.lit(3)) == k)
+
+    for name, part in ((0, third(0)), (1, third(0)), (3, third(2))):
+        put(name, part)
+    incremental.update(spark, kind, f"{folder}/*", store)
+    put(1, third(1))
+    put(2, third(2))
+    put(3, rows.limit(0))
+    incremental.update(spark, kind, f"{folder}/*", store)
+    return store
+
+
+@query
+def incremental_json_metrics(spark, sf_dir):
+    """JSON metrics of prediction files that came, changed and went."""
+    store = kept_up_to_date(spark, fx.json_predictions(spark, sf_dir), incremental.JSON, "id")
+    return rounded(incremental.json_metrics(spark, store).drop("error_taxonomy_counts"))
+
+
+@query
+def incremental_error_taxonomy(spark, sf_dir):
+    store = kept_up_to_date(spark, fx.json_predictions(spark, sf_dir), incremental.JSON, "id")
+    return incremental.error_taxonomy(spark, store)
+
+
+@query
+def incremental_text_metrics(spark, sf_dir):
+    """ROUGE, length and completion of prediction files that came, changed and went."""
+    preds = fx.text_predictions(spark, sf_dir)
+    store = kept_up_to_date(spark, preds, incremental.TEXT, "id")
+    return rounded(incremental.text_metrics(spark, store).drop("bertscore_f1_avg"))
+
+
+@query
+def incremental_judge_stats(spark, sf_dir):
+    """Judge statistics of judgement files that came, changed and went."""
+    judged = fx.pair_judgements(spark, sf_dir).withColumn("justification", F.lit(""))
+    rows = judged.withColumn("prompt_id", F.format_string(judge.PAIR_PROMPT_ID, "idx"))
+    store = kept_up_to_date(spark, rows, incremental.JUDGEMENTS, "idx")
+    found = incremental.judge_stats(spark, store, fx.CHECKPOINTS)
+    return rounded(found.select("checkpoint", "wins", "losses", "ties", "total_compares", "win_rate", "tie_rate", "loss_rate"))
+
+
+# --- tables by run and by prompt ----------------------------------------------------------------
+
+
+@query
+def run_deltas(spark, sf_dir):
+    """Changes of the judge statistics between two runs; one of them was written twice."""
+    path, columns = scratch(spark, "runs"), ("win_rate", "tie_rate", "avg_clarity")
+    judged = fx.pair_judgements(spark, sf_dir)
+
+    def stats_where(condition: Column) -> DataFrame:
+        return judge.judge_stats(judged.filter(condition), fx.CHECKPOINTS).select("checkpoint", *columns)
+
+    odd = F.col("idx") % 2
+    write_run(stats_where(F.lit(True)), path, "base")
+    write_run(stats_where(odd == 0), path, "ablation")
+    write_run(stats_where(odd == 0), path, "other")
+    write_run(stats_where(odd == 1), path, "ablation")
+    schema = "checkpoint STRING, win_rate DOUBLE, tie_rate DOUBLE, avg_clarity DOUBLE"
+    table = read_runs(spark, path, schema, ("base", "ablation"))
+    return rounded(forgetting.run_deltas(table, "base", "ablation", columns))
+
+
+def bucketed(spark: SparkSession, df: DataFrame, key: str) -> DataFrame:
+    name = f"evalspark_{uuid.uuid4().hex}"
+    return write_bucketed(df, name, key, 8, f"{scratch(spark, 'tables')}/{name}")
+
+
+@query
+def bucketed_pair_plan(spark, sf_dir):
+    """The comparison plan over predictions bucketed by prompt."""
+    preds = bucketed(spark, fx.text_predictions(spark, sf_dir), "id")
+    plan = judge.comparison_plan(preds, fx.CHECKPOINTS)
+    drawn = prep.assign_swap(plan, key=("checkpoint_a", "checkpoint_b", "idx"))
+    return judge.apply_swap(drawn).select(
+        "idx", "checkpoint_a", "checkpoint_b", "swapped", "response_a", "response_b"
+    )
+
+
+@query
+def bucketed_category_breakdown(spark, sf_dir):
+    """Wins per category over judgements and predictions bucketed by prompt."""
+    return forgetting.category_breakdown(
+        bucketed(spark, contested(spark, sf_dir), "idx"),
+        bucketed(spark, fx.judged_predictions(spark, sf_dir), "id"),
+        FIRST,
+        SECOND,
+    )
+
+
+def planned(judged: DataFrame) -> DataFrame:
+    """Judgements with the labels of their pair in the plan's order."""
+    ends = {f"{a}v{b}": (fx.CHECKPOINTS[a], fx.CHECKPOINTS[b]) for a, b in fx.PAIRS}
+    sides = [
+        F.create_map(*(F.lit(x) for pair, side in ends.items() for x in (pair, side[i])))
+        for i in (0, 1)
+    ]
+    return judged.withColumns({"first": sides[0][F.col("pair")], "second": sides[1][F.col("pair")]})
+
+
+def reported(judged: DataFrame, preds: DataFrame) -> DataFrame:
+    return rounded(forgetting.outcome_report(planned(judged), preds, fx.CHECKPOINTS))
+
+
+@query
+def outcome_report(spark, sf_dir):
+    """Wins and ties by pair, category, order and in all, from one aggregation."""
+    return reported(fx.pair_judgements(spark, sf_dir), fx.judged_predictions(spark, sf_dir))
+
+
+@query
+def bucketed_outcome_report(spark, sf_dir):
+    """The same over bucketed tables."""
+    return reported(
+        bucketed(spark, fx.pair_judgements(spark, sf_dir), "idx"),
+        bucketed(spark, fx.judged_predictions(spark, sf_dir), "id"),
+    )
+
+
 # --- sources and sinks --------------------------------------------------------------------
 
 
