@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, functions as F
 
@@ -105,15 +105,23 @@ def fill(template: str, mapping: Mapping[str, Column]) -> Column:
     return text
 
 
-def tokens(c: Column, pattern: str = r"\S+") -> Column:
-    """All matches of ``pattern``; the pattern stands for a tokenizer."""
-    return F.regexp_extract_all(or_empty(c), F.lit(pattern), F.lit(0))
+def tokens(c: Column, tokenizer: str | Callable[[Column], Column] = r"\S+") -> Column:
+    """Tokens of a text: the matches of a pattern, or what a function of the text makes of it."""
+    if callable(tokenizer):
+        return tokenizer(c)
+    return F.regexp_extract_all(or_empty(c), F.lit(tokenizer), F.lit(0))
 
 
-def token_budget(c: Column, max_tokens: int, pattern: str = r"\S+") -> Column:
-    """Keep the first ``max_tokens`` tokens; returns tokens, n_tokens, truncated."""
+def token_budget(
+    c: Column, max_tokens: int, tokenizer: str | Callable[[Column], Column] = r"\S+"
+) -> Column:
+    """Keep the first ``max_tokens`` tokens; returns tokens, n_tokens, truncated.
+
+    ``tokenizer`` is a pattern or a function from a text to its list of tokens, such as
+    ``segment.longest_match`` of a vocabulary.
+    """
     found = F.transform(
-        F.array(tokens(c, pattern)),
+        F.array(tokens(c, tokenizer)),
         lambda t: F.struct(
             F.slice(t, 1, max_tokens).alias("tokens"),
             F.least(F.size(t), F.lit(max_tokens)).alias("n_tokens"),

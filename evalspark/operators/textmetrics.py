@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -79,10 +81,14 @@ def rouge(preds: DataFrame, use_stemmer: bool = True) -> DataFrame:
     )
 
 
-def output_length(preds: DataFrame, pattern: str = r"\S+") -> DataFrame:
+# A pattern whose matches are tokens, or a function from a text to its list of tokens.
+Tokenizer = str | Callable[[Column], Column]
+
+
+def output_length(preds: DataFrame, tokenizer: Tokenizer = r"\S+") -> DataFrame:
     """Mean number of tokens per output and checkpoint."""
     return preds.groupBy("checkpoint").agg(
-        F.avg(F.size(text.tokens(F.col("prediction"), pattern))).alias("avg_output_tokens")
+        F.avg(F.size(text.tokens(F.col("prediction"), tokenizer))).alias("avg_output_tokens")
     )
 
 
@@ -218,7 +224,7 @@ def embedding_f1_means(scored: DataFrame) -> DataFrame:
 def text_metrics(
     preds: DataFrame,
     token_embeddings: DataFrame | None = None,
-    pattern: str = r"\S+",
+    tokenizer: Tokenizer = r"\S+",
     min_chars: int = 20,
     use_stemmer: bool = True,
 ) -> DataFrame:
@@ -226,7 +232,7 @@ def text_metrics(
 
     Rows are scored where they are and only per-checkpoint sums are shuffled.
     """
-    table = text_metrics_of(text_sums(preds, pattern, min_chars, use_stemmer))
+    table = text_metrics_of(text_sums(preds, tokenizer, min_chars, use_stemmer))
     if token_embeddings is None:
         return table.withColumn("bertscore_f1_avg", F.lit(None).cast("double"))
     return table.join(embedding_f1_means(embedding_f1(token_embeddings)), "checkpoint", "left")
@@ -237,7 +243,7 @@ _TEXT_SCORES = ("rouge1_f1", "rouge2_f1", "rougeL_f1")
 
 def text_sums(
     preds: DataFrame,
-    pattern: str = r"\S+",
+    tokenizer: Tokenizer = r"\S+",
     min_chars: int = 20,
     use_stemmer: bool = True,
     by: tuple[str, ...] = (),
@@ -247,7 +253,7 @@ def text_sums(
     measured = rouge(preds, use_stemmer).select(
         *by,
         "checkpoint",
-        F.size(text.tokens(prediction, pattern)).alias("n_tokens"),
+        F.size(text.tokens(prediction, tokenizer)).alias("n_tokens"),
         text.task_completed(prediction, min_chars).alias("completed"),
         *_TEXT_SCORES,
     )

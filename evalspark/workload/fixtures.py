@@ -17,6 +17,14 @@ PAIRS = ((0, 1), (1, 2), (0, 2))
 TASK_TYPES = tuple(POOL_INSTRUCTIONS)
 
 
+# Pieces of words, some of which begin others, and one with a space.
+VOCABULARY = (
+    "a", "an", "and", "ar", "are", "be", "ca", "can", "de", "den", "e", "en", "er", "ers", "es", "est",
+    "ha", "have", "i", "in", "ing", "ingen", "is", "l", "la", "le", "les", "o", "on", "or", "ou", "que",
+    "re", "s", "st", "t", "te", "ter", "th", "the", "ther", "this", "to", "un", "und", "us", ". ", ", ",
+)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -6,11 +6,13 @@ so they are independent of the code they check.
 
 from __future__ import annotations
 
-from evalspark.workload.fixtures import CHECKPOINTS, PAIRS
+from evalspark.workload.fixtures import CHECKPOINTS, PAIRS, VOCABULARY
 
 # --- fixed values, stated here again so that a wrong list in the library shows ---
-WHITESPACE = "".join(chr(c) for c in (*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680))
-WHITESPACE += "".join(chr(c) for c in (*range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))
+WHITESPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007"
+    "\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 FAILURE_MARKERS = (
     "i can't", "i cannot", "unable to", "as an ai", "i'm an ai", "sorry", "{}", "null", "[]"
 )
@@ -18,7 +20,7 @@ CATEGORY_KEYWORDS = (
     ("summarization", ("summar",)),
     ("rewriting", ("rewrite", "rephrase", "reword")),
     ("brainstorming", ("brainstorm", "ideas")),
-    ("qa", ("question", "answer", *(f" {w} " for w in "who what when where why how".split()))),
+    ("qa", ("question", "answer", " who ", " what ", " when ", " where ", " why ", " how ")),
 )
 POOL_INSTRUCTIONS = {
     "json_extraction": "Extract entities and dates into JSON.",
@@ -1144,3 +1146,10 @@ grouped AS (
       {r('ties / total')} AS ties_rate, regression_idx, improvement_idx FROM grouped""",
 )
 ORACLE["bucketed_outcome_report"] = ORACLE["outcome_report"]
+
+# Alternatives are tried in their order: longer pieces come first.
+_SEGMENTS = "(?s)" + "|".join(p.replace(".", "[.]") for p in sorted(VOCABULARY, key=len, reverse=True)) + "|."
+ORACLE["token_budget_segmented"] = (
+    ORACLE["token_budget"].replace("'\\S+'", q(_SEGMENTS)).replace("array_to_string(t[1:64], ' ')", "array_to_string(t[1:64], '|')")
+)
+ORACLE["output_length_segmented"] = ORACLE["output_length"].replace("'\\S+'", q(_SEGMENTS))

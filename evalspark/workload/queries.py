@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from evalspark import schemas
-from evalspark.functions import jsonx, text
+from evalspark.functions import jsonx, segment, text
 from evalspark.operators import (
     attempts,
     compare,
@@ -480,6 +480,20 @@ def token_budget(spark, sf_dir):
     )
 
 
+@query
+def token_budget_segmented(spark, sf_dir):
+    """The same with the longest pieces of a vocabulary as tokens."""
+    budget = text.token_budget(F.col("prediction"), 64, segment.longest_match(fx.VOCABULARY))
+    rows = fx.text_predictions(spark, sf_dir).select("id", "checkpoint", budget.alias("budget"))
+    return rows.select(
+        "id",
+        "checkpoint",
+        F.array_join("budget.tokens", "|").alias("kept"),
+        "budget.n_tokens",
+        "budget.truncated",
+    )
+
+
 @query
 def task_completion(spark, sf_dir):
     """Completion of each answer, with refusals and short answers among them."""
@@ -643,6 +657,13 @@ def output_length(spark, sf_dir):
     return rounded(textmetrics.output_length(fx.text_predictions(spark, sf_dir)))
 
 
+@query
+def output_length_segmented(spark, sf_dir):
+    """Lengths in pieces of a vocabulary."""
+    tokenizer = segment.longest_match(fx.VOCABULARY)
+    return rounded(textmetrics.output_length(fx.text_predictions(spark, sf_dir), tokenizer))
+
+
 @query
 def completion_rate(spark, sf_dir):
     return rounded(textmetrics.completion_rate(fx.text_predictions(spark, sf_dir)))
