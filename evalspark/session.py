@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -31,3 +33,11 @@ def shared_dir(spark: SparkSession) -> str:
     if current:
         return current
     return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+
+
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: its lineage ends there, and every use sees the same rows."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/evalspark/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

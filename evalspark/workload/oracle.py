@@ -1153,3 +1153,51 @@ ORACLE["token_budget_segmented"] = (
     ORACLE["token_budget"].replace("'\\S+'", q(_SEGMENTS)).replace("array_to_string(t[1:64], ' ')", "array_to_string(t[1:64], '|')")
 )
 ORACLE["output_length_segmented"] = ORACLE["output_length"].replace("'\\S+'", q(_SEGMENTS))
+
+_NEAR = LEAKY + r""",
+texts AS (SELECT ck, any_value(text) AS text FROM leaky GROUP BY ck),
+worded AS (SELECT ck, regexp_extract_all(lower(coalesce(text, '')), '[^\x20\x09-\x0D]+') AS w FROM texts),
+sets AS (
+  SELECT ck, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s
+  FROM worded),
+elements AS (SELECT ck, len(s) AS size, unnest(s) AS e FROM sets),
+near AS (
+  SELECT a.ck AS x, b.ck AS y FROM elements a JOIN elements b ON a.e = b.e AND a.ck <> b.ck
+  GROUP BY a.ck, b.ck HAVING 9 * count(*) >= 4 * (any_value(a.size) + any_value(b.size))
+  UNION ALL
+  SELECT a.ck, b.ck FROM sets a JOIN sets b ON len(a.s) = 0 AND len(b.s) = 0 AND a.ck <> b.ck),
+reach(ck, other) AS (
+  SELECT x, x FROM near
+  UNION
+  SELECT reach.ck, near.y FROM reach JOIN near ON near.x = reach.other),
+grouped AS (SELECT ck, min(other) AS grp, count(*) AS size FROM reach GROUP BY ck),
+numbers AS (SELECT count(*) AS n, least(100, count(*) - 1) AS target, (SELECT count(*) FROM grouped) AS m FROM texts),
+ordered AS (
+  SELECT grp, sum(size) OVER (ORDER BY md5('42|' || grp) || '|' || grp) AS stop
+  FROM (SELECT DISTINCT grp, size FROM grouped)),
+taken AS (
+  SELECT ck FROM grouped JOIN ordered USING (grp) CROSS JOIN numbers WHERE stop <= target * m // n),
+singles AS (
+  SELECT ck, row_number() OVER (ORDER BY md5('42|' || ck) || '|' || ck) AS pos
+  FROM texts WHERE ck NOT IN (SELECT ck FROM grouped)),
+evals AS (
+  SELECT ck FROM taken UNION ALL
+  SELECT ck FROM singles CROSS JOIN numbers WHERE pos <= target - (SELECT count(*) FROM taken)),
+split_n AS (
+  SELECT doc_id, copy_no, ck, CASE WHEN ck IN (SELECT ck FROM evals) THEN 'eval' ELSE 'train' END AS split FROM leaky)"""
+
+
+def _near_overlap(table: str) -> str:
+    return f"""(SELECT count(DISTINCT e.ck) FROM {table} e JOIN (
+        SELECT x, y FROM near UNION ALL SELECT ck, ck FROM texts) ON e.ck = x
+      JOIN {table} t ON t.ck = y AND t.split = 'train' WHERE e.split = 'eval')"""
+
+
+ORACLE["split_near_copies"] = _with(_NEAR, "SELECT doc_id, copy_no, split FROM split_n", recursive=True)
+ORACLE["near_copy_overlap"] = _with(
+    _NEAR,
+    f"""SELECT 'position' AS by, {_near_overlap('split_p')} AS n_near_overlap
+    UNION ALL SELECT 'content', {_near_overlap('split_c')} UNION ALL SELECT 'near copies', 0""",
+    recursive=True,
+)

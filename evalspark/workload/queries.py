@@ -20,6 +20,7 @@ from evalspark.operators import (
     incremental,
     jsoneval,
     judge,
+    nearsplit,
     prep,
     textmetrics,
 )
@@ -621,6 +622,28 @@ def split_overlap(spark, sf_dir):
     return found
 
 
+@query
+def split_near_copies(spark, sf_dir):
+    """Split by groups of near copies: no prompt has one on the other side."""
+    return nearsplit.split_near(fx.leaky_pool(spark, sf_dir), 100).select("doc_id", "copy_no", "split")
+
+
+@query
+def near_copy_overlap(spark, sf_dir):
+    """Eval prompts with a near copy among train, for three ways of splitting."""
+    pool = fx.leaky_pool(spark, sf_dir)
+    ways = {
+        "position": split_pool(spark, sf_dir, "position"),
+        "content": split_pool(spark, sf_dir, "content"),
+        "near copies": nearsplit.split_near(pool, 100),
+    }
+    found = None
+    for by, rows in ways.items():
+        one = nearsplit.near_overlap(rows, "instruction", "input").select(F.lit(by).alias("by"), "n_near_overlap")
+        found = one if found is None else found.unionByName(one)
+    return found
+
+
 # --- text metrics ---------------------------------------------------------------------
 
 
