@@ -488,7 +488,8 @@ def cut_texts(batches):
 def repeated_windows(docs: DataFrame) -> DataFrame:
     """(row, start, n): windows start..start+n-1 of a row that an earlier place repeats.
 
-    ``docs`` has doc, row and text. It is read twice and must give the same rows both times.
+    ``docs`` has doc, row and text. It is read twice and must give the same rows both times, as
+    files do.
     """
     found = docs.mapInArrow(find_blocks, BLOCK_SCHEMA)
     alone = F.col("kind").isin(MARK, HOT_PROBE)
@@ -512,18 +513,19 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
 def dedup_substrings(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row.
 
-    Input: doc_id (integer), text, as a table that gives the same rows in the same order whenever
-    it is read; other columns are not read. A byte goes if a LENGTH-byte string over it also
-    starts earlier: under a smaller doc_id, or further ahead in the same text. Rows that repeat a
-    doc_id are ordered as they are read; rows without doc_id come last. A null text is empty;
-    texts shorter than LENGTH stay whole. An empty table gives no rows.
+    Input: doc_id (integer), text; other columns are not read. A byte goes if a LENGTH-byte string
+    over it also starts earlier: under a smaller doc_id, or further ahead in the same text. Rows that
+    repeat a doc_id are ordered as they are read; rows without doc_id come last. A null text is empty;
+    texts shorter than LENGTH stay whole. An empty table gives no rows. The rows are numbered and
+    written once, since a number given anew at a later reading would depend on how the table is split then.
     """
-    rows = docs.select(
+    numbered = docs.select(
         F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST)).alias("doc"),
         F.monotonically_increasing_id().alias("row"),
         text_or_empty().alias("text"),
         "doc_id",
     )
+    rows = materialise(numbered, "numbered-texts")
     marks = (
         repeated_windows(rows.drop("doc_id"))
         .groupBy(F.col("row").alias("_row"))

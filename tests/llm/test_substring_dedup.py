@@ -61,3 +61,19 @@ def test_merge_sort_orders_suffixes():
     order = sd.merge_sort(sd.Suffixes(data), spots, run)
     key = lambda k: (run[k], data[spots[k] : spots[k] + sd.LENGTH].tobytes())
     assert order.tolist() == sorted(range(500), key=key)
+
+
+def test_another_split_at_the_second_reading_changes_nothing(spark, tmp_path):
+    rows = cases()
+    llm_data.documents(spark, rows, 1).write.parquet(str(tmp_path / "one.parquet"))
+    names = ["spark.sql.leafNodeDefaultParallelism", "spark.sql.files.openCostInBytes", "spark.sql.files.maxPartitionBytes"]
+    before = {n: spark.conf.get(n, None) for n in names}
+    try:
+        spark.conf.set(names[1], 1)
+        result = sd.dedup_substrings(spark.read.parquet(str(tmp_path / "one.parquet")))
+        spark.conf.set(names[0], 17)
+        spark.conf.set(names[2], 4096)
+        assert {r[0]: tuple(r)[1:] for r in result.collect()} == brute(rows)
+    finally:
+        for n, value in before.items():
+            spark.conf.unset(n) if value is None else spark.conf.set(n, value)
