@@ -205,6 +205,7 @@ def with_idx(df: DataFrame, *order_by: str, name: str = "idx") -> DataFrame:
     """
     placed = df.withColumn("_bounds", _ranges(df, order_by))
     placed = placed.withColumn("_range", _range_of(F.struct(*order_by), F.col("_bounds"))).drop("_bounds")
+    placed = placed.repartition("_range")  # counts and ranks read this one shuffle
     sizes = placed.groupBy("_range").agg(F.count(F.lit(1)).alias("_size"))
     before = W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
     offsets = sizes.select("_range", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,7 +25,8 @@ def shared_dir(spark: SparkSession) -> str:
     """The scratch folder that every executor reaches.
 
     That is ``spark.checkpoint.dir``; where it is unset, the session's checkpoint folder, and
-    else a folder beside the warehouse's tables, which executors share as well.
+    else a folder beside the warehouse's tables. On a cluster a warehouse on a local disk is an error: every
+    executor would write to its own.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -32,7 +34,11 @@ def shared_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
-    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    local = warehouse.startswith("file:") or "://" not in warehouse
+    if local and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{warehouse}/_scratch"
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:

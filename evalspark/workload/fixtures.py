@@ -6,7 +6,7 @@ in ``oracle`` build the same rows without sharing code.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from evalspark.functions.text import hash32
 from evalspark.operators.prep import POOL_INSTRUCTIONS
@@ -55,14 +55,19 @@ def _text(*parts) -> Column:
 def turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """User turns with the assistant turn that answers them: idx, instruction, reference."""
     c = spread_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
-    asked = c.filter(F.col("role") == "user").select(
-        "conv_id", "turn", F.col("text").alias("instruction")
+    following = Window.partitionBy("conv_id").orderBy("turn")
+    answer = F.lead(F.struct("turn", "role", "text")).over(following)
+    pairs = c.withColumn("_next", answer).filter(
+        (F.col("role") == "user")
+        & (F.col("_next.role") == "assistant")
+        & (F.col("_next.turn") == F.col("turn") + 1)
     )
-    answered = c.filter(F.col("role") == "assistant").select(
-        "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("reference")
-    )
-    return asked.join(answered, ["conv_id", "turn"]).withColumn(
-        "idx", F.col("conv_id") * 1000 + F.col("turn")
+    return pairs.select(
+        "conv_id",
+        "turn",
+        F.col("text").alias("instruction"),
+        F.col("_next.text").alias("reference"),
+        (F.col("conv_id") * 1000 + F.col("turn")).alias("idx"),
     )
 
 

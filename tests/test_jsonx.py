@@ -252,3 +252,19 @@ def test_response_text(column):
         "not json",
     ]
     assert column(texts, jsonx.response_text) == ["hi", "a b", "why", "no", "no", "", "", ""]
+
+
+def test_many_objects_cost_as_much_each_as_few(spark):
+    import time
+
+    def seconds(n):
+        df = spark.range(1).select(F.expr(f"repeat(' {{\"a\":1}}', {n})").alias("t"))
+        start = time.perf_counter()
+        row = df.select(jsonx.object_spans(F.col("t")).alias("s"), jsonx.json_text(F.col("t")).alias("j")).select(
+            F.size("s").alias("n"), F.element_at("s", -1).alias("last"), "j"
+        ).first()
+        assert tuple(row) == (n, '{"a":1}', '{"a":1}')
+        return time.perf_counter() - start
+
+    seconds(1000)
+    assert seconds(100_000) / 100_000 < 2 * seconds(1000) / 1000

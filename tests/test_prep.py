@@ -149,3 +149,11 @@ def test_row_numbers_run_no_job_before_they_are_asked_for(spark):
     rows = sorted((r["k"], r["idx"]) for r in numbered.collect())
     assert [i for _, i in rows] == list(range(5000))
     assert prep.with_idx(df.filter("k < 0"), "k").collect() == []
+
+
+def test_answers_nested_beyond_the_reader_stay_as_they_are(spark):
+    deep = "[" * 200_000 + "]" * 200_000
+    rows = [(0, "p", None, deep, "t"), (1, "p", None, '{"a":1,"a":{"b":"caf\\u00e9"}}', None)]
+    df = spark.createDataFrame(rows, "idx int, instruction string, input string, text string, task_type string")
+    found = {r["idx"]: r["output"] for r in prep.teacher_records(df).collect()}
+    assert found == {0: deep, 1: '{"a": {"b": "café"}}'}

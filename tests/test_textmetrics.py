@@ -1,3 +1,6 @@
+import bisect
+import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -162,3 +165,32 @@ def test_long_rows_are_matched_in_several_tasks(spark):
     assert abs(found[1]["precision"] - cosines.max(axis=1).mean()) < 1e-6
     assert abs(found[1]["recall"] - cosines.max(axis=0).mean()) < 1e-6
     assert (found[2]["precision"], found[2]["f1"]) == (0.0, 0.0)
+
+
+def test_lcs_blocks_do_not_change_the_length():
+    rng = random.Random(6)
+    for _ in range(300):
+        letters = range(rng.choice([2, 5, 30]))
+        a, b = (rng.choices(letters, k=rng.randrange(60)) for _ in range(2))
+        row = [0] * (len(b) + 1)
+        for x in a:
+            left = 0
+            for j, y in enumerate(b, 1):
+                left, row[j] = row[j], left + 1 if x == y else max(row[j], row[j - 1])
+        assert {tok._lcs(a, b, block) for block in (1, 7, 4096)} == {row[-1]}
+
+
+def test_lcs_of_long_texts_in_little_memory():
+    rng = random.Random(7)
+    a = list(range(30_000))
+    b = rng.sample(a, len(a))
+    tracemalloc.start()
+    found = tok._lcs(a, b)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 15e6
+    piles = []  # patience: the longest increasing run
+    for x in b:
+        k = bisect.bisect_left(piles, x)
+        piles[k : k + 1] = [x]
+    assert found == len(piles)
