@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame
 
 from evalspark.operators import compare, forgetting, jsoneval, judge, textmetrics
 from evalspark.prompts import DIMENSIONS
-from evalspark.sources import write_jsonl, write_key_value, write_report
+from evalspark.sources import write_jsonl, write_key_value, write_report, write_run
+
+UNTAGGED = "untagged"
 
 
 def json_evaluation(preds: DataFrame, labels: Sequence[str] | None = None) -> dict[str, DataFrame]:
@@ -54,26 +56,25 @@ def write_evaluation(
     the labels ``first`` and ``second``, with the ``idx`` of their prompt.
 
     Metrics are written first and read back for the tables that combine them, so
-    predictions are scored once.
+    predictions are scored once. They are partitions of tables by run: the tag of this one is
+    replaced, all others stay for ``forgetting.run_deltas``. Without a tag the run is UNTAGGED.
     """
     spark = contested.sparkSession
     metrics, tables = f"{out_dir}/metrics", f"{out_dir}/tables"
+    run = run_tag.strip() or UNTAGGED
 
-    json_path, text_path = f"{metrics}/json_metrics", f"{metrics}/text_metrics"
-    scored = jsoneval.score_json(json_preds)
-    jsoneval.json_metrics(scored, labels).write.mode("overwrite").parquet(json_path)
-    textmetrics.text_metrics(text_preds, token_embeddings).write.mode("overwrite").parquet(
-        text_path
-    )
-    stats_path = f"{metrics}/judge_stats"
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        write_run(df, f"{metrics}/{name}", run)
+        return spark.read.schema(df.schema).parquet(f"{metrics}/{name}/run={run}")
+
+    json_table = kept(jsoneval.json_metrics(jsoneval.score_json(json_preds), labels), "json_metrics")
+    text_table = kept(textmetrics.text_metrics(text_preds, token_embeddings), "text_metrics")
     stats = (
         judge.absent_stats(spark, labels)
         if judgements is None
         else judge.judge_stats(judgements, labels)
     )
-    stats.write.mode("overwrite").parquet(stats_path)
-    json_table, text_table = spark.read.parquet(json_path), spark.read.parquet(text_path)
-    stats_table = spark.read.parquet(stats_path)
+    stats_table = kept(stats, "judge_stats")
 
     write_report(
         json_table,
@@ -108,7 +109,7 @@ def write_evaluation(
         text_table,
         first,
         second,
-        {"json_metrics": json_path, "text_metrics": text_path},
+        {name: f"{metrics}/{name}/run={run}" for name in ("json_metrics", "text_metrics")},
     )
     summary_path = f"{metrics}/forgetting_{first}_vs_{second}"
     write_jsonl(summary, summary_path)

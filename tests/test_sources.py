@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from evalspark import schemas, sources
-from evalspark.operators import compare
+from evalspark.operators import compare, forgetting
 from evalspark.plans import datasets, reports
 
 
@@ -96,6 +96,12 @@ def test_evaluation_end_to_end(spark, tmp_path):
     summary = spark.read.option("header", True).option("escape", '"').csv(f"{out}/tables/forgetting_summary_r.csv")
     rows = {r["key"]: r["value"] for r in summary.collect()}
     assert rows["ckpt1_wins"] == "4" and json.loads(rows["category_breakdown"])["open_ended"]["total"] == 4
+    # Another run is kept beside the first, and the two can be held against each other.
+    turned = judged.withColumn("winner", F.lit("b"))
+    reports.write_evaluation(out, labels, text, jsons, turned, turned, "c1", "c2", run_tag="q")
+    runs = sources.read_runs(spark, f"{out}/metrics/judge_stats", "checkpoint STRING, win_rate DOUBLE", ("r", "q"))
+    deltas = forgetting.run_deltas(runs, "r", "q", ["win_rate"]).collect()
+    assert {r.checkpoint: r.delta_win_rate for r in deltas} == {"c0": 0.0, "c1": -1.0, "c2": 1.0}
 
 
 def test_evaluation_without_judge_files(spark, tmp_path):
