@@ -25,9 +25,9 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of linked near-duplicates the document with the smallest id stays."""
+    """Of documents linked by their fingerprints the one with the smallest id stays."""
     ready(spark)
-    return simhash.drop_similar(docs)
+    return simhash.drop_near(docs)
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
