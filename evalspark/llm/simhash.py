@@ -7,13 +7,6 @@ in that segment's table; a hit is verified over all 64 bits within the join itse
 Only one row per distinct fingerprint is indexed, and of a pair that differs in a bit
 only the side whose bit is clear probes, so a fingerprint has about 34 probes and no
 pair is built but the links themselves. Components of the links are found by contraction.
-
-The pipeline's stage (``drop_similar``) searches WIDE bits instead and links two texts if
-their sets of WORDS-word shingles have a Jaccard similarity of SIMILAR or more. Fingerprints at
-most 11 bits apart differ in at most two bits of one of four 16-bit segments, so their balls
-of radius one around that segment meet. The radius grows in rounds; what earlier rounds have
-connected is not paired again. A pair's similarity is bounded from above by parity bits first,
-and what that leaves is decided on the whole sets.
 """
 
 from __future__ import annotations
@@ -29,11 +22,6 @@ from evalspark.llm.common import materialise, text_or_empty
 from evalspark.llm.graph import components
 
 SHINGLE, SEED, RADIUS, SEGMENT = 3, 42, 3, 32
-#: Of the pipeline's stage: words per shingle, bits searched round by round, 16-bit segments.
-WORDS, WIDE, SEGMENTS = 5, (7, 11), 4
-SIMILAR = (4, 5)  # a Jaccard similarity of 4/5, compared in whole numbers
-PARITY = 16  # 64-bit numbers of a text's parity bits
-HOT = 4096  # entries of one segment value that one task pairs with as many others
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
@@ -58,16 +46,17 @@ def fingerprint(text: bytes) -> int:
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """(doc_id, _fp) of every row; _fp is the fingerprint as a signed number."""
+    """(doc_id, _text, _fp) of every row: a hash of the text, and the fingerprint as a signed number."""
 
     def scan(batches):
         for batch in batches:
-            values = [fingerprint(v.as_buffer().to_pybytes() if v.is_valid else b"") for v in batch.column(1).cast(pa.binary())]
+            values = [fingerprint(v.as_buffer().to_pybytes() if v.is_valid else b"") for v in batch.column(2).cast(pa.binary())]
             fps = pa.array(np.array(values, np.uint64).view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), fps], ["doc_id", "_fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), fps], ["doc_id", "_text", "_fp"])
 
     kind = dict(docs.dtypes)["doc_id"]
-    return docs.select("doc_id", text_or_empty().alias("text")).mapInArrow(scan, f"doc_id {kind}, _fp bigint")
+    rows = docs.select("doc_id", F.xxhash64(text_or_empty()).alias("_text"), text_or_empty().alias("text"))
+    return rows.mapInArrow(scan, f"doc_id {kind}, _text bigint, _fp bigint")
 
 
 def links(prints: DataFrame) -> DataFrame:
@@ -101,6 +90,11 @@ def near_groups(docs: DataFrame) -> DataFrame:
     fingerprints within RADIUS bits. A component without any doc_id has component_id
     null. An empty table gives no rows.
     """
+    return _grouped(docs).drop("_text", "_root")
+
+
+def _grouped(docs: DataFrame) -> DataFrame:
+    """``near_groups`` with _text, a hash of the row's text, and _root, which names its component."""
     rows = materialise(fingerprints(docs), "fingerprints")
     prints = rows.groupBy("_fp").agg(F.min("doc_id").alias("_first"))
     found = materialise(links(prints), "near-links")
@@ -110,169 +104,25 @@ def near_groups(docs: DataFrame) -> DataFrame:
     member = member.withColumn("_root", F.coalesce("_root", "_fp"))
     smallest = member.groupBy("_root").agg(F.min("_first").alias("component_id"))
     named = member.join(smallest, "_root").select(
-        "_fp", "component_id", F.coalesce("count", F.lit(0)).cast("long").alias("n_links")
+        "_fp", "_root", "component_id", F.coalesce("count", F.lit(0)).cast("long").alias("n_links")
     )
     return rows.join(named, "_fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("_fp"), 16, "0")).alias("fingerprint"), "component_id", "n_links"
+        "doc_id", F.lower(F.lpad(F.hex("_fp"), 16, "0")).alias("fingerprint"), "component_id", "n_links", "_text", "_root"
     )
 
 
 def drop_near(docs: DataFrame) -> DataFrame:
-    """One document of each component stays: the one with the smallest id.
-
-    Documents without an id stay.
-    """
-    others = near_groups(docs).filter("doc_id <> component_id").select("doc_id")
-    return docs.join(others.distinct(), "doc_id", "left_anti").select(*(f"`{c}`" for c in docs.columns))
-
-
-def shingle_set(text: bytes) -> np.ndarray:
-    """Sorted hashes of a text's distinct WORDS-word shingles; a shorter text is one shingle."""
-    words = WORD.findall(text.lower())
-    if not words:
-        return np.zeros(0, np.uint64)
-    last = max(1, len(words) - WORDS + 1)
-    return np.unique(np.array([xxh64_intdigest(b" ".join(words[i : i + WORDS]), SEED) for i in range(last)], np.uint64))
-
-
-def parity(shingles: np.ndarray) -> np.ndarray:
-    """For each of 64 * PARITY classes of shingles, whether the set has an odd number of them.
-
-    Two sets differ in at least as many shingles as their parities differ in bits.
-    """
-    odd = np.bincount((shingles % np.uint64(64 * PARITY)).astype(np.int64), minlength=64 * PARITY) & 1
-    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
-
-
-def _bytes(column: pa.Array) -> list[bytes]:
-    return [v.as_buffer().to_pybytes() if v.is_valid else b"" for v in column.cast(pa.binary())]
-
-
-def profiles(docs: DataFrame) -> DataFrame:
-    """(doc_id, _node, _fp, _size, _parity) of every row; _node is a hash of the text."""
-    names = ["doc_id", "_node", "_fp", "_size", "_parity"]
-
-    def scan(batches):
-        for batch in batches:
-            texts = _bytes(batch.column(2))
-            fps = np.array([fingerprint(t) for t in texts], np.uint64).view(np.int64)
-            sets = [shingle_set(t) for t in texts]
-            bits = np.concatenate([np.zeros(0, np.int64), *(parity(s) for s in sets)])
-            lists = pa.ListArray.from_arrays(np.arange(0, len(bits) + 1, PARITY, dtype=np.int32), pa.array(bits))
-            sizes = pa.array(np.array([len(s) for s in sets], np.int32))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fps), sizes, lists], names)
-
-    kind = dict(docs.dtypes)["doc_id"]
-    text = text_or_empty()
-    schema = f"doc_id {kind}, _node bigint, _fp bigint, _size int, _parity array<bigint>"
-    return docs.select("doc_id", F.xxhash64(text).alias("_node"), text.alias("text")).mapInArrow(scan, schema)
-
-
-def wide_pairs(nodes: DataFrame, low: int, high: int) -> DataFrame:
-    """(a, b), a < b: pairs of ``nodes`` (_node, _fp, _size, _root) to be compared.
-
-    Their fingerprints are more than ``low`` and at most ``high`` bits apart (11 at most), their
-    roots differ, and their sizes do not rule a similarity of SIMILAR out. Each pair comes once.
-    A segment value with over HOT entries is dealt over several tasks.
-    """
-    reach = high // SEGMENTS  # bits in which some segment differs at most
-
-    def side(name: str, ball: int) -> DataFrame:
-        flips = [0, *(1 << j for j in range(16))] if ball else [0]
-        part = lambda s: F.shiftrightunsigned("_fp", 16 * s).bitwiseAND(F.lit(0xFFFF)).cast("int")
-        keys = [part(s).bitwiseXOR(F.lit(f + (s << 16))) for s in range(SEGMENTS) for f in flips]
-        own = (F.col(c).alias(f"{name}{c}") for c in ("_node", "_fp", "_size", "_root"))
-        return nodes.select(*own, F.explode(F.array(*keys)).alias("_key"))
-
-    left, right = side("a", (reach + 1) // 2), side("b", reach // 2)
-    hot = right.groupBy("_key").count().filter(F.col("count") > HOT)
-    hot = F.broadcast(hot.select("_key", F.ceil(F.col("count") / HOT).cast("int").alias("_salts")))  # 2^18 rows at most
-    salts = F.coalesce("_salts", F.lit(1))
-    left = left.join(hot, "_key", "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("_salts")
-    right = right.join(hot, "_key", "left").withColumn("_salt", F.pmod(F.xxhash64("b_node"), salts).cast("int")).drop("_salts")
-    differs = "(a_fp ^ b_fp)"
-    segment = lambda x, s: f"(shiftrightunsigned({x}, 16 * {s}) & 65535)"
-    tests = [
-        "a_node < b_node",
-        "a_root <> b_root",
-        f"bit_count({differs}) > {low}",
-        f"bit_count({differs}) <= {high}",
-        f"least(a_size, b_size) * {SIMILAR[1]}L >= greatest(a_size, b_size) * {SIMILAR[0]}L",
-        # The first segment that is close enough has the pair.
-        *(f"(shiftright(_key, 16) <= {s} OR bit_count({segment(differs, s)}) > {reach})" for s in range(SEGMENTS - 1)),
-    ]
-    if reach == 2:  # Balls meet in several values: the smaller neighbour by the lowest differing bit has the pair.
-        mine, theirs = (segment(x, "shiftright(_key, 16)") for x in ("a_fp", "b_fp"))
-        lowest = f"(({mine} ^ {theirs}) & -({mine} ^ {theirs}))"
-        tests.append(f"(_key & 65535) = least({mine} ^ {lowest}, {theirs} ^ {lowest})")
-    right = right.withColumnsRenamed({"_key": "_bkey", "_salt": "_bsalt"})
-    same = (F.col("_key") == F.col("_bkey")) & (F.col("_salt") == F.col("_bsalt"))
-    found = left.hint("merge").join(right, same & F.expr(" AND ".join(tests)))
-    return found.select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
-
-
-def similar(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """The ``pairs`` whose shingle sets have a Jaccard similarity of SIMILAR or more."""
-    part, whole = SIMILAR
-
-    def with_both(pairs: DataFrame, table: DataFrame, columns: list[str]) -> DataFrame:
-        for end in ("a", "b"):
-            named = table.select(F.col("_node").alias(end), *(F.col(c).alias(f"{c}_{end}") for c in columns))
-            pairs = pairs.join(named, end)
-        return pairs
-
-    # |A ^ B| is at least the parities' distance; at most (|A| + |B|) / 9 allows 4/5.
-    bits = "aggregate(zip_with(_parity_a, _parity_b, (x, y) -> bit_count(x ^ y)), 0, (n, x) -> n + x)"
-    possible = f"{bits} * {whole + part} <= (_size_a + _size_b) * {whole - part}"
-    left = materialise(with_both(pairs, nodes, ["_size", "_parity"]).filter(possible).select("a", "b"), "possible")
-    ends = left.select(F.explode(F.array("a", "b")).alias("_node")).distinct()
-
-    def sets(batches):
-        for batch in batches:
-            found = [shingle_set(t).view(np.int64) for t in _bytes(batch.column(1))]
-            stops = np.cumsum([0, *(len(s) for s in found)]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(stops, pa.array(np.concatenate([np.zeros(0, np.int64), *found])))
-            yield pa.RecordBatch.from_arrays([batch.column(0), lists], ["_node", "_set"])
-
-    def compare(batches):
-        for batch in batches:
-            a, b = (batch.column(i) for i in (2, 3))
-            good = []
-            for x, y in zip(a, b):
-                x, y = x.values.to_numpy(), y.values.to_numpy()
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                good.append(whole * common >= part * (len(x) + len(y) - common))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(good, pa.bool_()))
-
-    texts = docs.select(F.xxhash64(text_or_empty()).alias("_node"), text_or_empty().alias("text"))
-    chosen = texts.join(ends, "_node", "left_semi").mapInArrow(sets, "_node bigint, _set array<bigint>")
-    chosen = materialise(chosen.dropDuplicates(["_node"]), "shingle-sets")
-    both = with_both(left, chosen, ["_set"]).select("a", "b", "_set_a", "_set_b")
-    return both.mapInArrow(compare, "a bigint, b bigint")
-
-
-def drop_similar(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay: of linked texts the row with the smallest id.
+    """The rows of ``docs`` that stay, with its own columns: of each component the row with the smallest id.
 
-    Rows without an id come after all others, and one of them stays in a component that has
-    no id. Rows are told apart by id and text: rows that repeat both stay together. Texts
-    without words are linked.
+    Null and empty texts are linked like others. Rows without an id come after all others, and one of them
+    stays in a component that has no id. Of rows that share the smallest id the one with the smallest hash of
+    its text stays. Rows are told apart by id and text: rows that repeat both stay or go together. An
+    empty table gives no rows.
     """
-    rows = materialise(profiles(docs), "profiles")
-    nodes = materialise(rows.drop("doc_id").dropDuplicates(["_node"]), "nodes")
-    links, roots, low = None, None, -1
-    for high in WIDE:
-        table = nodes.withColumn("_root", F.col("_node")) if roots is None else nodes.join(roots, "_node", "left")
-        table = table.withColumn("_root", F.coalesce("_root", "_node")).drop("_parity")
-        pairs = materialise(wide_pairs(table, low, high), "wide-pairs")
-        found = materialise(similar(pairs, nodes, docs), "similar")
-        links = found if links is None else links.union(found)
-        roots = components(links).select(F.col("node").alias("_node"), F.col("root").alias("_root"))
-        low = high
-    members = rows.select("doc_id", "_node").join(roots, "_node")
-    order = F.struct(F.isnull("doc_id").alias("last"), "doc_id", "_node")
-    keepers = members.groupBy("_root").agg(F.min(order).alias("_keeper"))
-    goes = members.join(keepers, "_root").filter(~order.eqNullSafe(F.col("_keeper")))
-    goes = goes.select(F.col("doc_id").alias("_id"), F.col("_node").alias("_text")).distinct()
-    mine = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64(text_or_empty()) == F.col("_text"))
+    rows = _grouped(docs).select("doc_id", "_text", "_root")
+    order = F.struct(F.isnull("doc_id").alias("last"), "doc_id", "_text")
+    keepers = rows.groupBy("_root").agg(F.min(order).alias("_keeper"))
+    goes = rows.join(keepers, "_root").filter(~order.eqNullSafe(F.col("_keeper")))
+    goes = goes.select(F.col("doc_id").alias("_id"), F.col("_text").alias("_hash")).distinct()
+    mine = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64(text_or_empty()) == F.col("_hash"))
     return docs.join(goes, mine, "left_anti").select(*(f"`{c}`" for c in docs.columns))
