@@ -6,14 +6,23 @@ Seeds of benchmark items and of documents are joined on their hash. Around a hit
 words of both sides are compared position by position: the hit counts if at least
 MIN_SHARE of them agree in one window that holds the seed.
 
+Items below SHORT words have masks of their own length. They may differ in so few words that
+dealing the positions over one mask more than that leaves one mask whole: nothing that the comparison
+would accept is missed. From SHORT words on the fixed masks leave none out either. Documents unroll the
+short masks only of lengths that the benchmark has.
+
 Documents are never shuffled for this: positions are unrolled within the scan and meet
 the benchmark's seeds there while these number at most BROADCAST_SEEDS (counted first). A
-larger benchmark is joined by hash of the seeds, and the few documents hit are
-joined back to be verified; both ways give the same rows.
+larger benchmark goes through a filter of FILTER_BITS bits first, within the scan: what passes it is
+joined by hash of the seeds, and the few documents hit are joined back to be verified; both ways give
+the same rows.
 """
 
 from __future__ import annotations
 
+import math
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from evalspark.llm.common import text_or_empty
@@ -24,6 +33,8 @@ MASKS = ((0, 1, 3, 5, 7, 8), (0, 1, 2, 5, 6, 8), (0, 2, 3, 4, 7, 8), (0, 3, 4, 6
 WINDOW = 13
 MIN_SHARE = 0.8
 BROADCAST_SEEDS = 200_000
+SHORT = 12
+FILTER_BITS = 1 << 26
 _WIDE = 2 * WINDOW - SPAN  # words from the first to the last window that holds a seed
 
 
@@ -40,16 +51,72 @@ def _around(words: Column, at: Column) -> Column:
     )
 
 
-def _seeds(df: DataFrame, key: str) -> DataFrame:
-    """(key, _words, _at, _seed): each position's seeds, one per mask."""
-    # The outer form keeps Spark from adding a filter that would hash all words twice.
-    spots = F.when(F.size("_words") >= SPAN, F.sequence(F.lit(0), F.size("_words") - SPAN))
-    each = df.select(key, "_words", F.explode_outer(spots).alias("_at")).filter("_at IS NOT NULL")
-    hashed = [
-        F.xxhash64(F.lit(i), *(F.col("_words")[F.col("_at") + o] for o in mask))
-        for i, mask in enumerate(MASKS)
-    ]
-    return each.select(key, "_words", "_at", F.explode(F.array(*hashed)).alias("_seed"))
+def short_masks(length: int) -> list[tuple[int, ...]]:
+    """Positions dealt over one mask more than an item of ``length`` words may have substitutions."""
+    spare = length - math.ceil(length * MIN_SHARE)
+    return [tuple(range(k, length, spare + 1)) for k in range(spare + 1)]
+
+
+def _spot_seeds(words: Column, at: Column, masks, family: int) -> Column:
+    """The seeds of one place; null where a mask looks beyond the text."""
+
+    def seed(i: int, mask: tuple[int, ...]) -> Column:
+        hashed = F.xxhash64(F.lit(family), F.lit(i), *(F.get(words, at + o) for o in mask))
+        return F.when((at + mask[0] >= 0) & (at + mask[-1] < F.size(words)), hashed)
+
+    return F.array(*(seed(i, mask) for i, mask in enumerate(masks)))
+
+
+def _seeds(df: DataFrame, key: str, lengths: Sequence[int] = (), whole: bool = True, may: Column | None = None) -> DataFrame:
+    """(key, _words, _at, _seed): each position's seeds, one per mask.
+
+    ``whole``: the seeds of MASKS; ``lengths``: of short items, whose places may reach beyond the text by
+    as many words as may differ. ``may`` tells of a seed in ``_seed`` whether to keep it.
+    """
+    places, n = [], F.size("_words")
+    if whole:
+        # The outer form keeps Spark from adding a filter that would hash all words twice.
+        places.append((F.when(n >= SPAN, F.sequence(F.lit(0), n - SPAN)), MASKS, 0))
+    for length in lengths:
+        masks = short_masks(length)
+        spare = len(masks) - 1
+        reach = F.when((n > 0) & (n >= length - spare), F.sequence(F.lit(-spare), n - length + spare))
+        places.append((reach, masks, length))
+    out = None
+    for spots, masks, family in places:
+        carried = [] if may is None else [may]
+        each = df.select(key, "_words", *carried, F.explode_outer(spots).alias("_at")).filter("_at IS NOT NULL")
+        if family:
+            seeds = F.array_compact(_spot_seeds(F.col("_words"), F.col("_at"), masks, family))
+        else:
+            hashed = [
+                F.xxhash64(F.lit(i), *(F.col("_words")[F.col("_at") + o] for o in mask))
+                for i, mask in enumerate(masks)
+            ]
+            seeds = F.array(*hashed)
+        if may is not None:
+            seeds = F.filter(seeds, lambda x: may_hold(may, x))
+        part = each.select(key, "_words", "_at", F.explode(seeds).alias("_seed"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def seed_filter(seeds: DataFrame, bits: int = FILTER_BITS) -> Column:
+    """A bit for each value that some seed has modulo ``bits``, as one array of numbers."""
+    value = F.pmod(F.col("_seed"), F.lit(bits))
+    word, bit = F.floor(value / 64).cast("int"), F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(value, F.lit(64)).cast("int"))
+    words = seeds.groupBy(word.alias("_word")).agg(F.bit_or(bit).alias("_bits"))
+    every = seeds.sparkSession.range(bits // 64).select(F.col("id").cast("int").alias("_word"))
+    full = every.join(words, "_word", "left").select(F.struct("_word", F.coalesce("_bits", F.lit(0)).alias("_bits")).alias("_w"))
+    # A fixed number of words, whatever the benchmark.
+    return full.agg(F.transform(F.sort_array(F.collect_list("_w")), lambda w: w["_bits"]).alias("_filter")).scalar()
+
+
+def may_hold(bits: Column, seed: Column) -> Column:
+    """Whether a filter has a seed's bit."""
+    value = F.pmod(seed, F.size(bits).cast("bigint") * 64)
+    word = F.get(bits, F.floor(value / 64).cast("int"))
+    return F.call_function("shiftright", word, F.pmod(value, F.lit(64)).cast("int")).bitwiseAND(F.lit(1).cast("bigint")) == 1
 
 
 def _agreeing(a: Column, b: Column, need: Column, width: Column) -> Column:
@@ -66,9 +133,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, item_id, n_items, hits): documents that hold a benchmark passage.
 
     Items of equal words count as one: item_id is the smallest of them, n_items their
-    number. ``hits`` counts verified seed positions. A null text has no words. Texts and
-    items of fewer than SPAN words have no seed and never match; an item of fewer than
-    WINDOW words must agree in MIN_SHARE of its own length. Rows that repeat a doc_id add up
+    number. ``hits`` counts verified seed positions. A null text has no words, and an item without
+    words matches nothing; an item of fewer than WINDOW words must agree in MIN_SHARE of its own length,
+    so one of a few words matches wherever these stand. Rows that repeat a doc_id add up
     their hits. Empty tables give no rows; other columns are not read.
     """
     items = (
@@ -77,17 +144,25 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         .agg(F.min("item_id").alias("item_id"), F.count("*").alias("n_items"))
         .withColumn("_length", F.size("_words"))
     )
-    sides = _seeds(items.select(F.struct("item_id", "n_items", "_length").alias("_item"), "_words"), "_item")
+    short = items.filter(F.col("_length").between(1, SHORT - 1))
+    lengths = sorted(r[0] for r in short.select("_length").distinct().collect())  # SHORT - 1 numbers at most
+    named = F.struct("item_id", "n_items", "_length").alias("_item")
+    sides = _seeds(items.filter(F.col("_length") >= SHORT).select(named, "_words"), "_item")
+    for length in lengths:
+        own = short.filter(F.col("_length") == length).select(named, "_words", F.lit(0).alias("_at"))
+        masks = _spot_seeds(F.col("_words"), F.col("_at"), short_masks(length), length)
+        sides = sides.unionByName(own.withColumn("_seed", F.explode(masks)))
     theirs = _around(F.col("_words"), F.col("_at")).alias("_theirs")
     seeds = sides.select("_seed", "_item", F.col("_at").alias("_from"), theirs)
-    mine = _seeds(docs.select("doc_id", word_hashes(text_or_empty()).alias("_words")), "doc_id")
     if seeds.count() <= BROADCAST_SEEDS:
+        mine = _seeds(docs.select("doc_id", word_hashes(text_or_empty()).alias("_words")), "doc_id", lengths)
         hits = mine.join(F.broadcast(seeds), "_seed")
     else:
         # Hits of rows that are alike are found for each of them: keep one set, then join all.
         row = F.struct("doc_id", F.xxhash64("text").alias("text")).alias("_row")
         words = docs.select(row, word_hashes(text_or_empty()).alias("_words"))
-        found = _seeds(words, "_row").drop("_words").join(seeds, "_seed")
+        words_and_filter = words.withColumn("_filter", seed_filter(seeds))
+        found = _seeds(words_and_filter, "_row", lengths, may=F.col("_filter")).drop("_words").join(seeds, "_seed")
         found = found.dropDuplicates(["_row", "_at", "_seed", "_item", "_from"]).withColumnRenamed("_row", "_hit")
         same = F.col("_hit").eqNullSafe(F.col("_row"))
         hits = found.join(words, same).select(F.col("_row.doc_id").alias("doc_id"), "_words", "_at", "_item", "_theirs")

@@ -15,7 +15,7 @@ def tables(spark):
         words = [("zzz" if k % 7 == 3 else w) for k, w in enumerate(t.split())]
         rows.append((200 + i, f"{CLEAN[i + 20]} {' '.join(words)}"))
     rows += [(300, None), (301, ""), (302, ITEMS[0]), (302, ITEMS[0]), (None, ITEMS[1])]
-    bench = [(i, t) for i, t in enumerate(ITEMS)] + [(50, ITEMS[2].upper()), (51, None), (52, ""), (53, "a few words")]
+    bench = [(i, t) for i, t in enumerate(ITEMS)] + [(50, ITEMS[2].upper()), (51, None), (52, ""), (53, "a few uncommon words")]
     return llm_data.documents(spark, rows), spark.createDataFrame(bench, "item_id bigint, text string")
 
 
@@ -31,7 +31,7 @@ def brute(docs, bench):
     for d in docs.collect():
         mine = words(d.text)
         for theirs, ids in items.items():
-            if len(theirs) < decontaminate.SPAN:
+            if not theirs:
                 continue
             width = min(decontaminate.WINDOW, len(theirs))
             for shift in range(-len(theirs), len(mine)):
@@ -48,7 +48,28 @@ def test_finds_planted_passages_and_nothing_else(spark, monkeypatch, limit):
     found = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs, bench).collect()}
     planted = {(100 + i, i) for i in range(12)} | {(200 + i, i) for i in range(12)} | {(302, 0), (None, 1)}
     assert planted <= found
-    assert found <= brute(docs, bench)
+    assert found == brute(docs, bench)
+
+
+@pytest.mark.parametrize("limit", [decontaminate.BROADCAST_SEEDS, 0])
+def test_items_of_every_length_equal_brute_force(spark, monkeypatch, limit):
+    import random
+
+    monkeypatch.setattr(decontaminate, "BROADCAST_SEEDS", limit)
+    monkeypatch.setattr(decontaminate, "FILTER_BITS", 1 << 16)
+    rng, items, rows = random.Random(9), [], []
+    for n in range(1, 17):
+        item = [f"i{n}w{k}" for k in range(n)]
+        items.append((n, " ".join(item)))
+        for wrong in range(4):  # so many words replaced, anywhere, and texts that begin or end within an item
+            for k in range(6):
+                words = [f"x{wrong}" if j in rng.sample(range(n), min(wrong, n)) else w for j, w in enumerate(item)]
+                around = [f"c{rng.randrange(99)}" for _ in range(rng.randrange(4))]
+                words = around + words + around[:1] if k < 4 else words[wrong:] + around if k < 5 else around + words[: max(0, n - wrong)]
+                rows.append((len(rows), " ".join(words)))
+    docs, bench = llm_data.documents(spark, rows), spark.createDataFrame(items, "item_id bigint, text string")
+    found = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs, bench).collect()}
+    assert found == brute(docs, bench) and {i for _, i in found} == set(range(1, 17))
 
 
 def test_drop_and_empty_tables(spark):
