@@ -1,9 +1,10 @@
 """Attempt logs as streams: each prompt's outcome as soon as its calls settle it.
 
-State is kept by prompt: one letter per attempt, the text of the earliest usable answer and the time of
-the latest row. It is bounded by the retry budgets, whatever the order and number of the rows. A prompt is
-settled when the attempts up to the deciding one are all there, so rows may come in any order;
-repeated rows change nothing. A prompt that hears nothing more is given up by an event-time timer.
+State is kept by blocks of up to 64 prompts, ids in a row, since a call of Python costs more than a prompt's
+rows do; ids far apart have a block each. Of each prompt there is one letter per attempt, the text of the
+earliest usable answer and the time of the latest row. It is bounded by the retry budgets, whatever the order
+and number of the rows. A prompt is settled when the attempts up to the deciding one are all there, so rows may
+come in any order; repeated rows change nothing. A prompt that hears nothing more is given up by an event-time timer.
 """
 
 from __future__ import annotations
@@ -26,7 +27,13 @@ ACCEPTED, FAILED, TIMED_OUT = "accepted", "failed", "timeout"
 
 LOG = f"{schemas.ATTEMPT_LOG}, at TIMESTAMP"
 OUTCOMES = "idx BIGINT, outcome STRING, attempt INT, text STRING"
-_STATE = "codes STRING, best INT, text STRING, latest BIGINT, settled BOOLEAN"
+# A block's prompts: what was seen of each, the time of its latest row and when it is given up.
+_STATE = (
+    "idx ARRAY<BIGINT>, codes ARRAY<STRING>, best ARRAY<INT>, text ARRAY<STRING>, latest ARRAY<BIGINT>,"
+    " deadline ARRAY<BIGINT>, settled ARRAY<BOOLEAN>"
+)
+#: Bits of an id within a block: 64 ids in a row share one call of Python and one timer.
+TOGETHER = 6
 
 
 def read_log(spark: SparkSession, path: str, files_at_once: int = 100) -> DataFrame:
@@ -91,42 +98,51 @@ def _coded(log: DataFrame, usable: Column, most: int) -> DataFrame:
 
 
 def _stateful(log: DataFrame, late: str, wait_ms: int, decide: dict[str, Any]) -> DataFrame:
-    teacher, budgets = decide["teacher"], decide["budgets"]
+    budgets = decide["budgets"]
+    decided = teacher_outcome if decide["teacher"] else judge_outcome
 
     def follow(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        columns = ["idx", "outcome", "attempt", "text"]
-        if state.hasTimedOut:
-            settled = state.get[4]
-            state.remove()
-            if not settled:
-                yield pd.DataFrame([(key[0], TIMED_OUT, None, None)], columns=columns)
-            return
-        codes, best, text, latest, settled = state.get if state.exists else ("", None, None, 0, False)
-        for frame in frames:
-            for attempt, code, answer, millis in zip(frame["attempt"], frame["code"], frame["text"], frame["millis"]):
-                latest = max(latest, int(millis))
-                if settled or code is None:
+        watermark = state.getCurrentWatermarkMs()
+        held = {p[0]: list(p[1:]) for p in zip(*state.get)} if state.exists else {}
+        heard, found = set(), []
+        for frame in () if state.hasTimedOut else frames:
+            names = [None] * len(frame) if key[0] is None else frame["idx"].tolist()
+            columns = (frame[c].tolist() for c in ("attempt", "code", "text", "millis"))
+            for idx, attempt, code, answer, millis in zip(names, *columns):
+                prompt = held.setdefault(idx, ["", None, None, 0, 0, False])
+                heard.add(idx)
+                prompt[3] = max(prompt[3], int(millis))
+                if prompt[5] or code is None:
                     continue
-                at = int(attempt)
-                codes = codes.ljust(at + 1, UNSEEN)
+                at, codes = int(attempt), prompt[0].ljust(int(attempt) + 1, UNSEEN)
                 if codes[at] != UNSEEN:
                     continue  # a row that came before
-                codes = codes[:at] + code + codes[at + 1 :]
-                if code == USABLE and (best is None or at < best):
-                    best, text = at, answer
-        found = None if settled else (teacher_outcome if teacher else judge_outcome)(codes, *budgets)
-        if found is not None:
-            outcome, attempt = found
-            answer = text if outcome == ACCEPTED else None
-            yield pd.DataFrame([(key[0], outcome, attempt, answer)], columns=columns)
-            # What is left only tells later copies of the rows that they come too late.
-            codes, best, text, settled = "", None, None, True
-        state.update((codes, best, text, latest, settled))
-        state.setTimeoutTimestamp(max(latest + wait_ms, state.getCurrentWatermarkMs() + 1))
+                prompt[0] = codes[:at] + code + codes[at + 1 :]
+                if code == USABLE and (prompt[1] is None or at < prompt[1]):
+                    prompt[1:3] = at, answer
+        for idx in heard:
+            codes, _, text, latest, _, settled = held[idx]
+            outcome = None if settled else decided(codes, *budgets)
+            if outcome is not None:
+                found.append((idx, *outcome, text if outcome[0] == ACCEPTED else None))
+                # What is left only tells later copies of the rows that they come too late.
+                held[idx] = ["", None, None, latest, 0, True]
+            held[idx][4] = max(latest + wait_ms, watermark + 1)
+        for idx in [i for i, prompt in held.items() if i not in heard and prompt[4] < watermark]:
+            if not held.pop(idx)[5]:
+                found.append((idx, TIMED_OUT, None, None))
+        if held:
+            state.update(tuple(map(list, zip(*((i, *prompt) for i, prompt in held.items())))))
+            state.setTimeoutTimestamp(max(min(prompt[4] for prompt in held.values()), watermark + 1))
+        elif state.exists:
+            state.remove()
+        if found:
+            yield pd.DataFrame(found, columns=["idx", "outcome", "attempt", "text"])
 
     return (
         log.withWatermark("at", late)
-        .groupBy("idx")
+        .withColumn("block", F.shiftright("idx", TOGETHER))
+        .groupBy("block")
         .applyInPandasWithState(follow, OUTCOMES, _STATE, "append", GroupStateTimeout.EventTimeTimeout)
     )
 

@@ -95,3 +95,27 @@ def test_outcomes_need_no_gap_free_prefix_beyond_the_deciding_attempt():
 
 def test_nothing_written_yet(spark, tmp_path):
     assert st.settled(spark, str(tmp_path / "none")).collect() == []
+
+
+def test_prompts_with_ids_in_a_row_share_their_state(spark, tmp_path):
+    """A call of Python and a state row for each prompt took most of the time of a long log."""
+    ids = [*range(300), 10**15, -5, 2**62]
+    rows = [(i, 0, "api_error", None, f"2024-01-01T00:00:{abs(i) % 60:02d}Z") for i in ids]
+    write(tmp_path / "log", "a", [*rows, (None, 0, "api_error", None, "2024-01-01T00:00:00Z")])
+    outcomes = st.follow_attempts(st.read_log(spark, str(tmp_path / "log")))
+    query = st.start(outcomes, str(tmp_path / "out"), str(tmp_path / "checkpoint"))
+    query.awaitTermination()
+    kept = max(s.numRowsTotal for p in query.recentProgress for s in p.stateOperators)
+    assert kept <= 300 // 2**6 + 1 + 4
+    # A third answers; of the others some are heard later than their block's neighbours and so given up later.
+    more = [(i, 1, "ok", OK, "2024-01-01T00:50:00Z") for i in ids if i % 3 == 0]
+    more += [(i, 1, "api_error", None, "2024-01-01T00:50:00Z") for i in ids if i % 3 == 1]
+    write(tmp_path / "log", "b", more)
+    found = run(spark, tmp_path)
+    assert found == {i: (st.ACCEPTED, 1, OK) for i in ids if i % 3 == 0}
+    write(tmp_path / "log", "c", [(7_000_000, 0, "api_error", None, "2024-01-01T02:30:00Z")])
+    found = run(spark, tmp_path)
+    assert {i for i, r in found.items() if r[0] == st.TIMED_OUT} == {i for i in ids if i % 3 == 2} | {None}
+    write(tmp_path / "log", "d", [(7_000_001, 0, "api_error", None, "2024-01-01T03:30:00Z")])
+    found = run(spark, tmp_path)
+    assert {i for i, r in found.items() if r[0] == st.TIMED_OUT} == {i for i in ids if i % 3} | {None}
