@@ -17,7 +17,9 @@ def prepare(spark: SparkSession) -> SparkSession:
     # so small shuffles keep their cores busy instead of merging into one task.
     spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
     # Texts and vectors differ in size by orders of magnitude: bound batches by bytes.
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "64m")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "16m")
+    # Rows go to their partition's open file; sorting them by partition first would hold a task's whole share.
+    spark.conf.set("spark.sql.maxConcurrentOutputFileWriters", "32")
     return spark
 
 
