@@ -115,6 +115,15 @@ def _matrix(vectors: pa.ListScalar) -> np.ndarray:
     return rows.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(rows), -1)
 
 
+def _lists(sizes: list[int], values: pa.Array) -> pa.ListArray:
+    return pa.ListArray.from_arrays(np.concatenate(([0], np.cumsum(sizes))).astype(np.int32), values)
+
+
+def _numbers(arrays: list[np.ndarray]) -> pa.Array:
+    """All numbers one behind the other, without making objects of them."""
+    return pa.array(np.concatenate([np.zeros(0), *(a.ravel() for a in arrays)]))
+
+
 @F.arrow_udf(T.ArrayType(T.ArrayType(T.DoubleType())))
 def _unit(vectors: pa.Array) -> pa.Array:
     """Blocks of vectors of length one; zero vectors stay."""
@@ -122,21 +131,21 @@ def _unit(vectors: pa.Array) -> pa.Array:
     for block in vectors:
         m = _matrix(block)
         norm = np.linalg.norm(m, axis=1, keepdims=True)
-        blocks.append((m / np.where(norm == 0.0, 1.0, norm)).tolist())
-    return pa.array(blocks, pa.list_(pa.list_(pa.float64())))
+        blocks.append(m / np.where(norm == 0.0, 1.0, norm))
+    rows = _lists([n for m in blocks for n in [m.shape[1]] * len(m)], _numbers(blocks))
+    return _lists([len(m) for m in blocks], rows)
 
 
 @F.arrow_udf(_BEST)
 def _best_matches(candidate: pa.Array, reference: pa.Array) -> pa.Array:
     """Per token, the best cosine with any token of the other block of unit vectors."""
-    cand_best, ref_best = [], []
+    best = ([], [])
     for c, r in zip(candidate, reference):
         cosines = _matrix(c) @ _matrix(r).T
-        cand_best.append(cosines.max(axis=1).tolist())
-        ref_best.append(cosines.max(axis=0).tolist())
-    lists = pa.list_(pa.float64())
+        best[0].append(cosines.max(axis=1))
+        best[1].append(cosines.max(axis=0))
     return pa.StructArray.from_arrays(
-        [pa.array(cand_best, lists), pa.array(ref_best, lists)], ["cand_best", "ref_best"]
+        [_lists([len(x) for x in side], _numbers(side)) for side in best], ["cand_best", "ref_best"]
     )
 
 
