@@ -13,7 +13,7 @@ from evalspark.sources.files import (
     write_key_value,
     write_report,
 )
-from evalspark.sources.tables import read_runs, write_bucketed, write_run, write_runs
+from evalspark.sources.tables import bucket_count, read_runs, write_bucketed, write_run, write_runs
 
 __all__ = [
     "find_judgements",

@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 RUN = "run"
+#: Prompts of one bucket; a task sorts some rows of each.
+BUCKET_PROMPTS = 80_000
 
 
 def _tag(run: str) -> str:
@@ -46,6 +48,14 @@ def read_runs(
     return table if runs is None else table.filter(F.col(RUN).isin(*runs))
 
 
+def bucket_count(prompts: int, least: int = 8) -> int:
+    """Buckets for tables of so many prompts, a bounded number of them in each.
+
+    Tables that meet get theirs from the same number.
+    """
+    return max(least, -(-prompts // BUCKET_PROMPTS))
+
+
 def write_bucketed(df: DataFrame, name: str, key: str, buckets: int, path: str | None = None) -> DataFrame:
     """Save ``df`` as a table of ``buckets`` files, each with its share of the keys in order.
 

@@ -27,6 +27,7 @@ from evalspark.operators import (
 from evalspark.plans import datasets, reports
 from evalspark.session import prepare, shared_dir
 from evalspark.sources import (
+    bucket_count,
     find_judgements,
     read_instructions,
     read_judgements,
@@ -992,16 +993,16 @@ def streamed_pending(spark, sf_dir):
 
 
 def kept_up_to_date(spark: SparkSession, rows: DataFrame, kind: incremental.Kind, key: str) -> str:
-    """A store after two updates: of three files, then of one more, one replaced and one gone.
+    """A store after two updates: of three sets of files, then of one more, one replaced and one gone.
 
-    What is there in the end are ``rows``, dealt over three files; until then one file holds other
-    rows, and another should not be there at all.
+    What is there in the end are ``rows``, dealt over three sets; until then one set holds other
+    rows, and another should not be there at all. Each task writes a file of a set.
     """
     root = scratch(spark, "incremental")
     folder, store = f"{root}/files", f"{root}/store"
 
     def put(name: int, part: DataFrame) -> None:
-        part.coalesce(1).write.mode("overwrite").option("ignoreNullFields", "false").json(f"{folder}/part={name}")
+        part.write.mode("overwrite").option("ignoreNullFields", "false").json(f"{folder}/part={name}")
 
     def third(k: int) -> DataFrame:
         return rows.filter(F.pmod(F.col(key), F.lit(3)) == k)
@@ -1069,15 +1070,16 @@ def run_deltas(spark, sf_dir):
     return rounded(forgetting.run_deltas(table, "base", "ablation", columns))
 
 
-def bucketed(spark: SparkSession, df: DataFrame, key: str) -> DataFrame:
+def bucketed(spark: SparkSession, df: DataFrame, key: str, prompts: DataFrame) -> DataFrame:
+    """``df`` in buckets, as many as the number of rows of ``prompts`` asks for."""
     name = f"evalspark_{uuid.uuid4().hex}"
-    return write_bucketed(df, name, key, 8, f"{scratch(spark, 'tables')}/{name}")
+    return write_bucketed(df, name, key, bucket_count(prompts.count()), f"{scratch(spark, 'tables')}/{name}")
 
 
 @query
 def bucketed_pair_plan(spark, sf_dir):
     """The comparison plan over predictions bucketed by prompt."""
-    preds = bucketed(spark, fx.text_predictions(spark, sf_dir), "id")
+    preds = bucketed(spark, fx.text_predictions(spark, sf_dir), "id", fx.table(spark, sf_dir, "conversations"))
     plan = judge.comparison_plan(preds, fx.CHECKPOINTS)
     drawn = prep.assign_swap(plan, key=("checkpoint_a", "checkpoint_b", "idx"))
     return judge.apply_swap(drawn).select(
@@ -1088,9 +1090,10 @@ def bucketed_pair_plan(spark, sf_dir):
 @query
 def bucketed_category_breakdown(spark, sf_dir):
     """Wins per category over judgements and predictions bucketed by prompt."""
+    events = fx.table(spark, sf_dir, "events")
     return forgetting.category_breakdown(
-        bucketed(spark, contested(spark, sf_dir), "idx"),
-        bucketed(spark, fx.judged_predictions(spark, sf_dir), "id"),
+        bucketed(spark, contested(spark, sf_dir), "idx", events),
+        bucketed(spark, fx.judged_predictions(spark, sf_dir), "id", events),
         FIRST,
         SECOND,
     )
@@ -1119,9 +1122,10 @@ def outcome_report(spark, sf_dir):
 @query
 def bucketed_outcome_report(spark, sf_dir):
     """The same over bucketed tables."""
+    events = fx.table(spark, sf_dir, "events")
     return reported(
-        bucketed(spark, fx.pair_judgements(spark, sf_dir), "idx"),
-        bucketed(spark, fx.judged_predictions(spark, sf_dir), "id"),
+        bucketed(spark, fx.pair_judgements(spark, sf_dir), "idx", events),
+        bucketed(spark, fx.judged_predictions(spark, sf_dir), "id", events),
     )
 
 
