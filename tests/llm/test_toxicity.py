@@ -72,3 +72,23 @@ def test_drop_and_tables_without_labels(spark):
     scores = {r.score for r in toxicity.toxicity(docs, labels.limit(0)).collect()}
     assert len(scores) == 1
     assert toxicity.toxicity(docs.limit(0), labels).collect() == []
+
+
+def test_all_labelled_documents_are_learned_from_in_shards(spark, monkeypatch):
+    """Every text beyond the first hashes counts: one that marks a word toxic is enough in any shard."""
+    rows = corpus(1500)
+    docs = llm_data.documents(spark, [(i, t) for i, t, _ in rows])
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id bigint, toxic int")
+    seen = []
+    started = toxicity.started
+    monkeypatch.setattr(toxicity, "started", lambda *a: seen.append(a) or started(*a))
+    monkeypatch.setattr(toxicity, "SHARD_BYTES", 1 << 16)
+    monkeypatch.setattr(toxicity, "SAMPLE", 100, raising=False)  # no cut any more
+    a, b = ({r.doc_id: r for r in toxicity.toxicity(docs.repartition(n), labels).collect()} for n in (2, 5))
+    n_texts, n_toxic, _, prior = seen[0]
+    used = [y for i, _, y in rows if zlib.crc32(str(i).encode()) % 4 != 2]
+    assert prior == (len(used), sum(used)) and n_texts > 0.7 * len(used)
+    assert {i: r.score for i, r in a.items()} == {i: r.score for i, r in b.items()}
+    held = [(r.score, rows[i][2]) for i, r in a.items() if r.held_out]
+    yes, no = ([s for s, y in held if y == k] for k in (1, 0))
+    assert np.mean([x > y for x in yes for y in no]) > 0.95
