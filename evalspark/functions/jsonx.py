@@ -86,6 +86,8 @@ _EXACT_NUMBERS = r"\d[.eE]|\d{19}|NaN|Infinity"
 
 # Sign, whole digits, fraction and exponent of a number token.
 _NUMBER = r"^(-?)(\d+)(?:\.(\d+))?(?:[eE]([+-]?\d+))?$"
+# Most numbers: their digits are the token itself, so nothing has to be extracted.
+_WHOLE_NUMBER = r"^-?[1-9]\d*$"
 
 
 def _plain_text(python_equality: bool) -> str:
@@ -111,6 +113,9 @@ def _tagged_text(python_equality: bool) -> str:
     booleans = """WHEN t = 'true' THEN '"n1e0"' WHEN t = 'false' THEN '"n0"'""" if python_equality else ""
     return rf"""j -> array_join(transform(regexp_extract_all(j, r'{_TOKEN}', 0),
         t -> CASE WHEN startswith(t, '"') THEN concat('"s', substr(t, 2))
+            WHEN t IN ('{{', '}}', '[', ']', ',', ':') THEN t
+            WHEN t RLIKE r'{_WHOLE_NUMBER}' THEN
+                concat('"n', rtrim('0', t), 'e', length(t) - length(rtrim('0', t)), '"')
             WHEN t RLIKE r'{_NUMBER}' THEN CASE WHEN {trimmed} = '' THEN '"n0"'
                 ELSE concat('"n', regexp_extract(t, r'{_NUMBER}', 1), ltrim('0', {trimmed}),
                             'e', {exponent}, '"') END
@@ -414,15 +419,14 @@ def json_equal(a: Column, b: Column, python_equality: bool = True) -> Column:
     return F.to_json(left) == F.to_json(right)
 
 
+def _classes_compatible(x: Column, y: Column) -> Column:
+    numeric = ("int", "float")
+    return (x == y) | (x.isin(*numeric) & y.isin(*numeric))
+
+
 def type_compatible(a: Column, b: Column) -> Column:
     """Same class, where int and float pass for each other and bool only for bool."""
-    numeric = ("int", "float")
-    return let(
-        value_class(a),
-        lambda x: let(
-            value_class(b), lambda y: (x == y) | (x.isin(*numeric) & y.isin(*numeric))
-        ),
-    )
+    return let(value_class(a), lambda x: let(value_class(b), lambda y: _classes_compatible(x, y)))
 
 
 def _list_compatible(candidate: Column, reference: Column) -> Column:
@@ -470,19 +474,22 @@ def schema_compliance(a: Column, b: Column) -> Column:
     def wrong_keys(cand: Column, ref: Column) -> Column:
         def fails(key: Column) -> Column:
             cv, rv = F.try_element_at(cand, key), F.try_element_at(ref, key)
-            ok = F.when(
-                value_class(rv) == "list",
-                (value_class(cv) == "list") & _list_compatible(as_list(cv), as_list(rv)),
-            ).otherwise(type_compatible(cv, rv))
-            return ~ok
+
+            def agree(x: Column, y: Column) -> Column:
+                lists = (x == "list") & _list_compatible(as_list(cv), as_list(rv))
+                return F.when(y == "list", lists).otherwise(_classes_compatible(x, y))
+
+            return ~let(value_class(cv), lambda x: let(value_class(rv), lambda y: agree(x, y)))
 
         return F.array_sort(F.filter(F.map_keys(ref), fails))
 
     def details(cand: Column, ref: Column) -> Column:
         objects = cand.isNotNull() & ref.isNotNull()
         none = F.array().cast("array<string>")
-        missing = F.array_sort(F.array_except(F.map_keys(ref), F.map_keys(cand)))
-        extra = F.array_sort(F.array_except(F.map_keys(cand), F.map_keys(ref)))
+        # Keys mostly come out alike and in one order, which costs no sets.
+        alike = F.map_keys(cand) == F.map_keys(ref)
+        missing = F.when(~alike, F.array_sort(F.array_except(F.map_keys(ref), F.map_keys(cand))))
+        extra = F.when(~alike, F.array_sort(F.array_except(F.map_keys(cand), F.map_keys(ref))))
 
         def verdict(keys: Column) -> Column:
             same_keys = (F.size(keys["missing"]) == 0) & (F.size(keys["extra"]) == 0)

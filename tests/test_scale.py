@@ -5,7 +5,9 @@ import tracemalloc
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
+from evalspark.functions import jsonx
 from evalspark.operators import incremental, textmetrics
 from evalspark.session import prepare
 from evalspark.sources import bucket_count
@@ -49,3 +51,20 @@ def test_vectors_become_no_python_numbers():
     assert np.allclose(unit.flatten().flatten().to_numpy().reshape(-1, 64), vectors / np.where(norm == 0, 1, norm))
     best = textmetrics._best_matches.func(unit.slice(0, 2), unit.slice(2, 2))
     assert [len(x) for x in best.field("cand_best")] == [5, 5] and len(textmetrics._unit.func(blocks.slice(0, 0))) == 0
+
+
+def test_whole_numbers_are_tagged_without_extracting_their_parts(spark):
+    cases = ["0", "-0", "7", "-120", "100", "1.0", "1e2", "10e1", "1234567890123456789000", "-5.50", "0.0"]
+    rows = spark.createDataFrame([(f'{{"a":[{x},"{x}"]}}',) for x in cases], "t string")
+    found = [r[0] for r in rows.select(F.to_json(jsonx.comparable(F.col("t")))).collect()]
+    wanted = ["n0", "n0", "n7e0", "n-12e1", "n1e2", "n1e0", "n1e2", "n1e2", "n123456789012345678" + "9e3", "n-55e-1", "n0"]
+    assert found == [f'{{"sa":["{w}","s{x}"]}}' for w, x in zip(wanted, cases)]
+    assert "WHEN t RLIKE r'^-?[1-9]" in jsonx._tagged_text(True)
+
+
+def test_classes_are_taken_once_for_each_key(spark):
+    rows = spark.range(1).select(F.parse_json(F.lit('{"a":[1],"b":2}')).alias("a"), F.parse_json(F.lit('{"a":["x"],"b":"2"}')).alias("b"))
+    checked = rows.select(jsonx.schema_compliance(F.col("a"), F.col("b")).alias("s"))
+    # Two for the values of a key, and two for the elements of lists.
+    assert checked._jdf.queryExecution().analyzed().toString().lower().count("schema_of_variant") <= 4
+    assert checked.first()["s"]["wrong"] == ["a", "b"]
