@@ -92,3 +92,32 @@ def test_all_labelled_documents_are_learned_from_in_shards(spark, monkeypatch):
     held = [(r.score, rows[i][2]) for i, r in a.items() if r.held_out]
     yes, no = ([s for s, y in held if y == k] for k in (1, 0))
     assert np.mean([x > y for x in yes for y in no]) > 0.95
+
+
+def test_only_labelled_texts_move_and_only_once(spark, monkeypatch):
+    """Rounds read the shards where they are written; texts without a label stay out of them."""
+    rows = corpus(900)
+    docs = llm_data.documents(spark, [(i, t) for i, t, _ in rows] + [(None, "x"), (1, None)])
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows if i % 3 == 0] + [(9999, 1)], "doc_id int, toxic int")
+    written, plans = {}, []
+    materialise = toxicity.materialise
+
+    def kept(df, name):
+        plans.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        written[name] = materialise(df, name)
+        return written[name]
+
+    monkeypatch.setattr(toxicity, "materialise", kept)
+    monkeypatch.setattr(toxicity, "SHARD_BYTES", 1 << 14)
+    model = toxicity.train(docs, labels)
+    assert model.scale != (1.0, 0.0)
+    shards = [toxicity._unpacked(r.asDict()) for r in written["toxicity-shards"].collect()]
+    used = [y for i, _, y in rows if i % 3 == 0 and zlib.crc32(str(i).encode()) % 4 != 2]
+    assert sum(map(len, shards)) == len(used) and sum(x.label for s in shards for x in s) == sum(used)
+    assert len({r.shard for r in written["toxicity-shards"].select("shard").collect()}) > 1
+    plan = dict(plans)["toxicity-shards"]
+    assert plan.count("Exchange hashpartitioning(shard") == 2 and "SortMergeJoin" not in plan
+    found = docs.filter(toxicity._maybe_known(written["toxicity-labels"]))
+    ids = [r.doc_id for r in found.collect()]
+    assert {i for i, _, y in rows if i % 3 == 0 and zlib.crc32(str(i).encode()) % 4 != 2} <= set(ids)
+    assert len(ids) < 1.1 * len(used)
