@@ -10,10 +10,14 @@ hashes, and the sets of the contents that are compared.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pandas.util import hash_array
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from evalspark.functions import text
 from evalspark.operators.graph import components
@@ -23,19 +27,32 @@ from evalspark.session import materialise
 WORDS, BANDS, ROWS = 5, 24, 4
 #: Contents of one band that are compared with each other.
 BUCKET = 64
-WORD = r"[^\x20\x09-\x0D]+"
-
-
-def shingles(c: Column) -> Column:
-    """Hashes of the distinct runs of WORDS words of a text, lower-cased; a shorter text is one run."""
-    words = F.regexp_extract_all(F.lower(text.or_empty(c)), F.lit(WORD), F.lit(0))
-
-    def runs(w: Column) -> Column:
-        starts = F.sequence(F.lit(1), F.greatest(F.size(w) - (WORDS - 1), F.lit(1)))
-        hashed = F.transform(starts, lambda i: F.xxhash64(F.array_join(F.slice(w, i, WORDS), " ")))
-        return F.when(F.size(w) > 0, F.array_distinct(hashed)).otherwise(F.array().cast("array<bigint>"))
-
-    return F.get(F.transform(F.array(words), runs), F.lit(0))
+MULTIPLIER = np.uint64(0xD1B54A32D192ED03)
+#: Hashes that are sketched at once.
+CACHED = 1 << 14
+
+
+def run_hashes(texts: pa.Array) -> pa.Array:
+    """Hashes of all runs of WORDS words of each text; a shorter text is one run, one without words has none."""
+    parts = pc.ascii_split_whitespace(texts.cast(pa.large_string()))
+    words = parts.flatten()
+    full = pc.not_equal(words, "").to_numpy(zero_copy_only=False)
+    before = np.concatenate(([0], np.cumsum(full)))
+    bounds = before[parts.offsets.to_numpy() - parts.offsets[0].as_py()]
+    code = words.filter(pa.array(full)).dictionary_encode()
+    known = hash_array(code.dictionary.to_numpy(zero_copy_only=False).astype(object)).astype(np.uint64)
+    hashes = known[code.indices.to_numpy()]
+    sizes = np.diff(bounds)
+    runs = np.where(sizes > 0, np.maximum(sizes - (WORDS - 1), 1), 0)
+    stops = np.cumsum(runs)
+    at = np.arange(runs.sum()) + np.repeat(bounds[:-1] - (stops - runs), runs)
+    ends = np.repeat(bounds[1:], runs)
+    found = np.zeros(len(at), np.uint64)
+    for k in range(WORDS):  # past a short text's end there are no words
+        word = hashes[np.minimum(at + k, max(len(hashes) - 1, 0))]
+        found = _mixed(found * MULTIPLIER + np.where(at + k < ends, word, np.uint64(0)) + np.uint64(k + 1))
+    offsets = np.concatenate(([0], stops)).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(found.view(np.int64)))
 
 
 def _functions() -> tuple[np.ndarray, np.ndarray]:
@@ -50,39 +67,51 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 
 def band_sketches(sets: pa.Array) -> pa.Array:
-    """BANDS hashes of each list of 64-bit numbers; empty lists have those of the number 0."""
+    """BANDS hashes of each list of 64-bit hashes, however often it repeats them; empty lists have those of the number 0."""
     lengths = pc.list_value_length(sets).to_numpy()
     values = sets.flatten().to_numpy().view(np.uint64)
     filled = np.maximum(lengths, 1)
-    starts = np.cumsum(filled) - filled
+    stops = np.cumsum(filled, dtype=np.int64)
     every = np.zeros(int(filled.sum()), np.uint64)
     every[np.repeat(lengths > 0, filled)] = values
     out = np.zeros((len(lengths), BANDS), np.uint64)
     factors, shifts = _functions()
-    for k in range(BANDS * ROWS if len(lengths) else 0):
-        least = np.minimum.reduceat(_mixed(every * factors[k] + shifts[k]), starts)
-        band = out[:, k // ROWS]
-        out[:, k // ROWS] = _mixed(band + least + np.uint64(k // ROWS + 1))
+    at = 0
+    while at < len(lengths):  # so few lists at once that their numbers stay in the processor's cache
+        begin = int(stops[at] - filled[at])
+        to = max(at + 1, int(np.searchsorted(stops, begin + CACHED, "right")))
+        part, starts = every[begin : int(stops[to - 1])], stops[at:to] - filled[at:to] - begin
+        moved = np.empty_like(part)
+        for k in range(BANDS * ROWS):
+            np.multiply(part, factors[k], out=moved)
+            np.add(moved, shifts[k], out=moved)
+            band = out[at:to, k // ROWS]
+            out[at:to, k // ROWS] = _mixed(band + np.minimum.reduceat(moved, starts) + np.uint64(k // ROWS + 1))
+        at = to
     offsets = np.arange(0, out.size + 1, BANDS, dtype=np.int32)
     return pa.ListArray.from_arrays(offsets, pa.array(out.reshape(-1).view(np.int64)))
 
 
-def _contents(df: DataFrame, columns: tuple[str, ...], *more: Column) -> DataFrame:
-    """One row per row of ``df``: content, node (its hash), shingles, bands, and ``more``; written once."""
+def contents(df: DataFrame, *columns: str) -> DataFrame:
+    """The contents of ``df``: content, node (its hash), shingles, bands; written once.
+
+    Copies of a content are sketched once where they come in one batch of rows, and can else have a row each. Shingles
+    may repeat. Splits and audits of the same rows can share this table.
+    """
     joined = F.concat_ws(" ", *(text.or_empty(F.col(c)) for c in columns))
     key = content_key(*columns)
-    rows = df.select(
-        key.alias("content"), F.xxhash64(key).alias("node"), shingles(joined).alias("shingles"), *more
-    )
-    at = rows.columns.index("shingles")
+    rows = df.select(key.alias("content"), F.xxhash64(key).alias("node"), F.lower(joined).alias("text"))
 
     def sketch(batches):
         for batch in batches:
-            bands = band_sketches(batch.column(at))
-            yield pa.RecordBatch.from_arrays([*batch.columns, bands], [*batch.schema.names, "bands"])
+            code = batch.column(0).dictionary_encode().indices.to_numpy()
+            once = batch.take(pa.array(np.sort(np.unique(code, return_index=True)[1])))
+            sets = run_hashes(once.column(2))
+            columns = [once.column(0), once.column(1), sets, band_sketches(sets)]
+            yield pa.RecordBatch.from_arrays(columns, ["content", "node", "shingles", "bands"])
 
-    kinds = ", ".join(f"`{c}` {t}" for c, t in rows.dtypes)
-    return materialise(rows.mapInArrow(sketch, f"{kinds}, bands array<bigint>"), "contents")
+    kinds = "content string, node bigint, shingles array<bigint>, bands array<bigint>"
+    return materialise(rows.mapInArrow(sketch, kinds), "contents")
 
 
 def _alike(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -94,7 +123,8 @@ def _alike(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     wanted = sets.select("node", "shingles").join(ends, "node", "left_semi")
     # Copies of a content have one set: any of them will do, and arrays are not aggregated.
     rank = F.row_number().over(W.partitionBy("node").orderBy(F.lit(0)))
-    once = materialise(wanted.withColumn("_rank", rank).filter("_rank = 1").drop("_rank"), "sets")
+    once = wanted.withColumn("_rank", rank).filter("_rank = 1").select("node", F.array_distinct("shingles").alias("shingles"))
+    once = materialise(once, "sets")
     met = pairs
     for end in ("a", "b"):
         met = met.join(once.select(F.col("node").alias(end), F.col("shingles").alias(f"set_{end}")), end)
@@ -106,9 +136,11 @@ def _alike(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def _links(rows: DataFrame) -> DataFrame:
     """(a, b) of nodes that belong together."""
-    keys = rows.select("node", F.explode("bands").alias("band")).distinct()
-    buckets = keys.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("first"))
-    members = materialise(keys.join(buckets.filter("n > 1"), "band"), "band-members")
+    # Rows move once: copies of a node meet in its bands' partitions.
+    keys = rows.select("node", F.explode("bands").alias("band")).repartition("band").distinct()
+    bucket = W.partitionBy("band")
+    buckets = keys.withColumn("n", F.count(F.lit(1)).over(bucket)).withColumn("first", F.min("node").over(bucket))
+    members = materialise(buckets.filter("n > 1"), "band-members")
     large = members.filter(F.col("n") > BUCKET).select(F.col("first").alias("a"), F.col("node").alias("b"))
     small = members.filter(F.col("n") <= BUCKET)
     other = small.select("band", F.col("node").alias("b"))
@@ -123,42 +155,49 @@ def near_groups(df: DataFrame, *columns: str) -> DataFrame:
     Content is that of the columns, null as empty. Contents without words are near copies of each other.
     Groups are closed: a near copy of a near copy is in the group. Contents without near copies have no row.
     """
-    return _grouped(_contents(df, columns))
+    return _grouped(contents(df, *columns))
 
 
 def _grouped(rows: DataFrame) -> DataFrame:
     roots = components(materialise(_links(rows), "near-links"))
-    named = rows.select("content", "node").distinct().join(roots, "node")
+    named = rows.select("content", "node").join(roots, "node").distinct()
     groups = named.groupBy("root").agg(F.min("content").alias("group"), F.count(F.lit(1)).alias("size"))
     return materialise(named.join(groups, "root").select("content", "group", "size"), "near-groups")
 
 
 def split_near(
-    df: DataFrame, eval_size: int, seed: int = 42, content: tuple[str, ...] = ("instruction", "input")
+    df: DataFrame,
+    eval_size: int,
+    seed: int = 42,
+    content: tuple[str, ...] = ("instruction", "input"),
+    rows: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``split``: eval for ``min(eval_size, n - 1)`` of the n contents, train for all others.
 
     Near copies, and all copies of a content, share a side. Groups of near copies come in seeded
     order, as many whole ones as their share of the eval side holds, and contents without near copies fill it
     up to its size; it stays smaller only where they run out. One content alone is an error; an empty
-    table gives none. Jobs run at the call: the groups have to be known.
+    table gives none. Jobs run at the call: the groups have to be known. ``rows``: the ``contents`` of ``df``,
+    if they have been made.
     """
-    rows = _contents(df, content)
+    rows = contents(df, *content) if rows is None else rows
     grouped = _grouped(rows)
-    contents = rows.select("content").distinct()
-    n = contents.count()
+    alone = materialise(rows.select("content").join(grouped, "content", "left_anti").distinct(), "singles")
+    n_grouped = grouped.count()
+    n = n_grouped + alone.count()
     if n == 1:
         raise ValueError("a split needs at least two contents")
     target = max(0, min(eval_size, n - 1))
     groups = grouped.select("group", "size").distinct().withColumn("_rank_key", _rank_key(F.col("group"), seed))
-    share = target * grouped.count() // n if n else 0
+    share = target * n_grouped // n if n else 0
     chosen = _up_to(groups, share)
     taken = materialise(grouped.join(chosen.select("group"), "group", "left_semi"), "eval-groups")
     left = target - taken.count()
-    singles = contents.join(grouped, "content", "left_anti").withColumn("_rank_key", _rank_key(F.col("content"), seed))
+    singles = alone.withColumn("_rank_key", _rank_key(F.col("content"), seed))
     keys = singles.select("_rank_key")
     fill = _with_bounds(singles, keys, {"_eval": lambda total: F.least(F.lit(left).cast("bigint"), total)})
-    evals = taken.select("content").union(fill.filter("_eval").select("content")).withColumn("_eval", F.lit(True))
+    evals = materialise(taken.select("content").union(fill.filter("_eval").select("content")), "evals")
+    evals = evals.withColumn("_eval", F.lit(True))
     marked = df.withColumn("_content", content_key(*content)).join(
         evals.withColumnRenamed("content", "_content"), "_content", "left"
     )
@@ -188,15 +227,35 @@ def near_overlap(df: DataFrame, *columns: str) -> DataFrame:
     ``df`` has a split. Every eval content meets all train contents that share a band with it, in whatever
     number, and is compared with each on the whole sets.
     """
-    rows = _contents(df, columns, F.col("split"))
-    sides = rows.groupBy("node").agg(
+    return near_overlaps({"": df}, *columns).select("n_near_overlap")
+
+
+def near_overlaps(splits: Mapping[str, DataFrame], *columns: str, rows: DataFrame | None = None) -> DataFrame:
+    """``near_overlap`` of each of several splits: by (its name), n_near_overlap.
+
+    ``rows``: ``contents`` that have all those of the splits, if they have been made. Contents are
+    compared once for all splits.
+    """
+    if rows is None:
+        rows = contents(reduce(DataFrame.unionByName, (df.select(*columns) for df in splits.values())), *columns)
+    node = F.xxhash64(content_key(*columns)).alias("node")
+    named = (df.select(F.lit(by).alias("by"), node, "split") for by, df in splits.items())
+    sides = reduce(DataFrame.unionByName, named).groupBy("by", "node").agg(
         F.bool_or(F.col("split") == "eval").alias("in_eval"), F.bool_or(F.col("split") == "train").alias("in_train")
     )
     sides = materialise(sides, "sides")
-    keys = rows.select("node", F.explode("bands").alias("band")).distinct().join(sides, "node")
-    a = keys.filter("in_eval AND NOT in_train").select("band", F.col("node").alias("a"))
-    b = keys.filter("in_train").select("band", F.col("node").alias("b"))
-    pairs = materialise(a.join(b, "band").select("a", "b").distinct(), "side-pairs")
-    found = _alike(pairs, rows).select(F.col("a").alias("node"))
-    found = found.union(sides.filter("in_eval AND in_train").select("node")).distinct()
-    return found.agg(F.count(F.lit(1)).alias("n_near_overlap"))
+    evals = materialise(sides.filter("in_eval AND NOT in_train").select("by", F.col("node").alias("a")), "eval-nodes")
+    some = rows.select(F.col("node").alias("a"), "bands").join(evals.select("a").distinct(), "a", "left_semi")
+    some = materialise(some.select("a", F.explode("bands").alias("band")).distinct(), "eval-bands")
+    every = rows.select(F.col("node").alias("b"), F.explode("bands").alias("band"))
+    met = materialise(some.join(every, "band").select("a", "b").distinct(), "side-pairs")
+    trains = sides.filter("in_train").select("by", F.col("node").alias("b"))
+    pairs = materialise(met.join(evals, "a").join(trains, ["by", "b"]).select("by", "a", "b"), "side-pairs")
+    alike = _alike(pairs.select("a", "b").distinct(), rows)
+    found = pairs.join(alike, ["a", "b"]).select("by", F.col("a").alias("node"))
+    found = found.union(sides.filter("in_eval AND in_train").select("by", "node")).distinct()
+    found = materialise(found, "near-overlap")
+    # A split without any has a row too.
+    counts = (found.filter(F.col("by") == by).agg(F.count(F.lit(1)).alias("n_near_overlap")) for by in splits)
+    named = (n.select(F.lit(by).alias("by"), "n_near_overlap") for by, n in zip(splits, counts))
+    return reduce(DataFrame.unionByName, named)
