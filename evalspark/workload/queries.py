@@ -633,16 +633,13 @@ def split_near_copies(spark, sf_dir):
 def near_copy_overlap(spark, sf_dir):
     """Eval prompts with a near copy among train, for three ways of splitting."""
     pool = fx.leaky_pool(spark, sf_dir)
+    rows = nearsplit.contents(pool, "instruction", "input")  # of all three, which split the same pool
     ways = {
         "position": split_pool(spark, sf_dir, "position"),
         "content": split_pool(spark, sf_dir, "content"),
-        "near copies": nearsplit.split_near(pool, 100),
+        "near copies": nearsplit.split_near(pool, 100, rows=rows),
     }
-    found = None
-    for by, rows in ways.items():
-        one = nearsplit.near_overlap(rows, "instruction", "input").select(F.lit(by).alias("by"), "n_near_overlap")
-        found = one if found is None else found.unionByName(one)
-    return found
+    return nearsplit.near_overlaps(ways, "instruction", "input", rows=rows)
 
 
 # --- text metrics ---------------------------------------------------------------------

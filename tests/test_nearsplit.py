@@ -130,3 +130,39 @@ def test_similar_sets_share_a_band_and_order_does_not_matter():
         assert none == ns.band_sketches(pa.array([[0]], pa.list_(pa.int64()))).to_pylist()[0]
         assert a == ns.band_sketches(sets.slice(0, 1)).to_pylist()[0]
     assert missed == 0
+
+
+def test_copies_in_a_batch_are_sketched_once(spark):
+    texts = [t for t in prompts(20, 5) for _ in range(3)]
+    rows = ns.contents(table(spark, texts).coalesce(1), "instruction", "input").collect()
+    assert len(rows) == len({r.content for r in rows}) == len({t or "" for t in texts})
+
+
+def test_runs_are_those_of_the_words():
+    texts = ["a b c d e f", "A  B", "a b", "", " \t", "a b c d e", "b c d e f a b", "a", "a b c d e f"]
+    found = ns.run_hashes(pa.array([t.lower() for t in texts])).to_pylist()
+    names = {}
+    for t, hashes in zip(texts, found):
+        w = words(t)
+        wanted = [tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))] if w else []
+        assert len(hashes) == len(wanted)
+        assert all(names.setdefault(r, h) == h for r, h in zip(wanted, hashes))
+    assert len(set(names.values())) == len(names)
+    assert ns.run_hashes(pa.array(texts).slice(5, 2)).to_pylist() == found[5:7]
+
+
+def test_several_splits_are_audited_on_one_table_of_contents(spark, monkeypatch):
+    texts = prompts(20, 6)
+    rng = random.Random(7)
+    schema = "instruction string, input string, split string"
+    sides = [[(t, "", rng.choice(["eval", "train"])) for t in texts] for _ in range(2)]
+    splits = {name: spark.createDataFrame(rows, schema) for name, rows in zip(("one", "two"), sides)}
+    splits["none"] = spark.createDataFrame([(t, "", "train") for t in texts], schema)
+    made, kept = [], ns.materialise
+    monkeypatch.setattr(ns, "materialise", lambda df, name: made.append(name) or kept(df, name))
+    found = {r["by"]: r["n_near_overlap"] for r in ns.near_overlaps(splits, "instruction", "input").collect()}
+    assert made.count("contents") == 1
+    for name, rows in zip(("one", "two"), sides):
+        both = {(t or "", s) for t, _, s in rows}
+        assert found[name] == len({a for a, s in both if s == "eval" and any(x == "train" and (a == b or alike(a, b)) for b, x in both)})
+    assert found["none"] == 0
