@@ -49,12 +49,14 @@ def patterns(counts: np.ndarray, window: int) -> list[tuple[int, ...]]:
     """Pairs and triples of present lengths that sum to the window."""
     present = np.flatnonzero(counts)
     found = [(int(a), int(window - a)) for a in present if a <= window - a and counts[window - a]]
-    a, b = np.meshgrid(present, present, indexing="ij")
-    c = window - a - b
-    ok = (a <= b) & (b <= c) & (c > 0)
-    a, b, c = a[ok], b[ok], c[ok]
-    keep = counts[c] > 0
-    a, b, c = a[keep], b[keep], c[keep]
+    triples = [np.zeros((3, 0), np.int64)]
+    for a in present[present * 3 <= window]:  # one at a time, as the driver has no room for all pairs
+        b = present[present >= a]
+        c = window - a - b
+        b, c = b[(b <= c) & (c > 0)], c[(b <= c) & (c > 0)]
+        b, c = b[counts[c] > 0], c[counts[c] > 0]
+        triples.append(np.stack((np.full(len(b), a), b, c)))
+    a, b, c = np.concatenate(triples, axis=1)
     order = np.argsort(-np.minimum(np.minimum(counts[a], counts[b]), counts[c]), kind="stable")[:TRIPLES]
     return found + [tuple(map(int, t)) for t in zip(a[order], b[order], c[order])]
 

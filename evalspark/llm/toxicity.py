@@ -398,23 +398,38 @@ def _dense(model: Model, power: dict[str, np.ndarray]) -> np.ndarray:
     return np.concatenate(own + [np.ravel(power[k]).astype(np.float64) for k in DENSE])
 
 
-def _moved(model: Model, power: dict[str, np.ndarray], dense: np.ndarray, rows: dict) -> tuple[Model, dict]:
-    """A model and its powers after an average of shards: ``dense`` as ``_dense``, and embeddings by their place."""
+def _moved(model: Model, power: dict[str, np.ndarray], mean: pa.Table) -> Model:
+    """The model after an average of shards; its embeddings and ``power`` are changed in place, a block at a time."""
+    changed = {}
+    for batch in mean.to_batches():
+        for block, at, values in zip(*(batch.column(c) for c in ("block", "at", "values"))):
+            if block.as_py() < 0:
+                changed = _dense_parts(model, power, np.frombuffer(values.as_buffer(), "<f8"))
+                continue
+            places = np.frombuffer(at.as_buffer(), "<i4")
+            rows = np.frombuffer(values.as_buffer(), "<f4").reshape(-1, 2 * SIZE)
+            name, first = ("stems", WORDS) if places[0] >= WORDS else ("words", 0)
+            getattr(model, name)[places - first] = rows[:, :SIZE]
+            power[name][places - first] = rows[:, SIZE:]
+    return model._replace(**changed)
+
+
+def _dense_parts(model: Model, power: dict[str, np.ndarray], dense: np.ndarray) -> dict:
+    """The parameters that ``dense`` has, as ``_dense`` puts them; those of ``power`` are replaced."""
     at, parts = 0, []
     for source in (model._asdict(), power):
         for k in DENSE:
             size, shape = np.size(source[k]), np.shape(source[k])
             parts.append(dense[at : at + size].reshape(shape))
             at += size
-    changed = {k: v.astype(np.float32) for k, v in zip(DENSE[:3], parts)}
-    power = power | dict(zip(DENSE, [*(v.astype(np.float32) for v in parts[4:7]), parts[7].astype(np.float64)]))
-    for k, size, first in (("words", WORDS, 0), ("stems", STEMS, WORDS)):
-        at, values = rows["at"], rows["values"]
-        mine = (at >= first) & (at < first + size)
-        changed[k], power[k] = getattr(model, k).copy(), power[k].copy()
-        changed[k][at[mine] - first] = values[mine, :SIZE]
-        power[k][at[mine] - first] = values[mine, SIZE:]
-    return model._replace(**changed, last=float(parts[3])), power
+    power.update(zip(DENSE, [*(v.astype(np.float32) for v in parts[4:7]), parts[7].astype(np.float64)]))
+    return dict(zip(DENSE, [*(v.astype(np.float32) for v in parts[:3]), float(parts[3])]))
+
+
+def _seen(found: pa.Table) -> dict[str, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """``seen_rows`` of all shards, from their sums by embedding row."""
+    at, n, yes = (found[c].to_numpy() for c in ("at", "n", "yes"))
+    return {k: (at[m] - first, n[m], yes[m]) for k, m, first in (("whole", at < WORDS, 0), ("stem", at >= WORDS, WORDS))}
 
 
 def _average(group: pa.Table) -> pa.Table:
@@ -433,8 +448,8 @@ def _average(group: pa.Table) -> pa.Table:
     return pa.table([pa.array(x, t) for x, t in zip(out, kinds)], ["block", "at", "values"])
 
 
-def _maybe_known(known: DataFrame) -> Column:
-    """Whether a row's doc_id may be in ``known``: always true if it is. A bitmap of FILTER_BITS is broadcast."""
+def _maybe_known(known: DataFrame, sent: list | None = None) -> Column:
+    """Whether a row's doc_id may be in ``known``: always true if it is. A bitmap of FILTER_BITS is broadcast and put into ``sent``."""
     place = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
     size = FILTER_BITS // FILTER_BLOCKS
 
@@ -446,9 +461,12 @@ def _maybe_known(known: DataFrame) -> Column:
 
     at = known.select(F.floor(place / size).cast("int").alias("block"), (place % size).alias("at"))
     bits = np.zeros((FILTER_BLOCKS, size // 8), np.uint8)
-    for row in at.groupBy("block").applyInArrow(block, "block int, bits binary").toArrow().to_pylist():
-        bits[row["block"]] = np.frombuffer(row["bits"], np.uint8)
+    for batch in at.groupBy("block").applyInArrow(block, "block int, bits binary").toArrow().to_batches():
+        for number, mine in zip(batch.column(0), batch.column(1)):
+            bits[number.as_py()] = np.frombuffer(mine.as_buffer(), np.uint8)
     given = known.sparkSession.sparkContext.broadcast(bits.ravel())
+    if sent is not None:
+        sent.append(given)
 
     @F.pandas_udf("boolean")
     def marked(places: pd.Series) -> pd.Series:
@@ -487,10 +505,21 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     """Fit on all labelled documents that are not held out.
 
     Tasks turn each shard's texts into embedding rows, which are written once; log-odds are summed up by Spark, and training
-    and calibration go over the shards in tasks. The driver has the model and what replaces it after a round, of fixed size.
+    and calibration go over the shards in tasks. The driver has the model and what replaces it after a round, of fixed size,
+    and no broadcast for longer than the tasks that read it.
     Every fifth text, by a hash of the id, is for calibration. Null labels are no labels; of repeated labels of one
     id the largest counts.
     """
+    sent: list = []
+    try:
+        return _train_shards(docs, labels, sent)
+    finally:
+        for given in sent:
+            given.destroy()
+
+
+def _train_shards(docs: DataFrame, labels: DataFrame, sent: list) -> Model:
+    """``train``; what it broadcasts for the whole time is put into ``sent``."""
     spark = docs.sparkSession
     known = labels.filter(F.col("toxic").isNotNull() & ~F.coalesce(held_out(), F.lit(True)))
     # Both ids as one type, so that equal ones have equal hashes.
@@ -500,7 +529,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     known = materialise(known.groupBy(key.alias("doc_id")).agg(label), "toxicity-labels")
     lang = F.col("lang") if "lang" in docs.columns else F.lit(None)
     texts = docs.select(key.alias("doc_id"), text_or_empty().alias("text"), lang.cast("string").alias("lang"))
-    texts = texts.filter(F.col("doc_id").isNotNull()).filter(_maybe_known(known))
+    texts = texts.filter(F.col("doc_id").isNotNull()).filter(_maybe_known(known, sent))
     place = F.xxhash64("doc_id")
     of_held = F.pmod(place, F.lit(5)) == 4
 
@@ -545,10 +574,8 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
 
     # At most one row per embedding row.
     counted = learned.mapInArrow(count, "at bigint, n bigint, yes double")
-    found = counted.groupBy("at").agg(F.sum("n").alias("n"), F.sum("yes").alias("yes")).toArrow()
-    at, n, yes = (found[c].to_numpy() for c in ("at", "n", "yes"))
-    seen = {k: (at[m] - first, n[m], yes[m]) for k, m, first in (("whole", at < WORDS, 0), ("stem", at >= WORDS, WORDS))}
-    model = started(n_texts, n_toxic, seen, prior)
+    summed = counted.groupBy("at").agg(F.sum("n").alias("n"), F.sum("yes").alias("yes"))
+    model = started(n_texts, n_toxic, _seen(summed.toArrow()), prior)
 
     rounds = 1 if shards == 1 else EPOCHS
     passes = -(-epochs(n_texts) // rounds)
@@ -580,17 +607,12 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
             out = [pa.array([key] * len(blocks), pa.int32()), pa.array(blocks, pa.int32()), pa.array(ats, pa.binary())]
             return pa.RecordBatch.from_arrays([*out, pa.array(values, pa.binary())], ["shard", "block", "at", "values"])
 
-        sent = learned.mapInArrow(learn, "shard int, block int, at binary, values binary")
+        made = learned.mapInArrow(learn, "shard int, block int, at binary, values binary")
         # At most one row per block of parameters, each parameter once.
-        mean = sent.groupBy("block").applyInArrow(_average, "block int, at binary, values binary").toArrow()
-        rows, dense = [r for r in mean.to_pylist() if r["block"] >= 0], None
-        dense = next(np.frombuffer(r["values"], "<f8") for r in mean.to_pylist() if r["block"] < 0)
-        moved = {
-            "at": np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(r["at"], "<i4") for r in rows)]).astype(np.int64),
-            "values": np.concatenate([np.zeros(0, np.float32), *(np.frombuffer(r["values"], "<f4") for r in rows)]).reshape(-1, 2 * SIZE),
-        }
-        model, power = _moved(model, power, dense, moved)
-        given.unpersist()
+        mean = made.groupBy("block").applyInArrow(_average, "block int, at binary, values binary")
+        model = _moved(model, power, mean.toArrow())
+        pa.default_memory_pool().release_unused()
+        given.destroy()
     return calibrated(spark, model, held)
 
 
@@ -609,6 +631,7 @@ def calibrated(spark, model: Model, held: DataFrame) -> Model:
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(z)], ["lang", "label", "z"])
 
     rows = materialise(held.mapInArrow(raw, "lang string, label double, z double"), "toxicity-held")
+    given.destroy()
     near = F.greatest(F.lit(float(-SPAN)), F.least(F.lit(float(SPAN)), "z"))
     # At most 2 * SPAN * BINS + 1 rows.
     bins = rows.groupBy(F.rint(near * BINS).cast("bigint").alias("bin")).agg(F.count("*").alias("n"), F.sum("label").alias("yes"))
