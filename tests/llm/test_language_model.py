@@ -103,3 +103,60 @@ def test_empty_table(spark):
     assert lm.score_documents(empty).collect() == []
     alone = lm.score_documents(llm_data.documents(spark, [(i, "held") for i in range(100) if held(i)])).collect()
     assert alone and all(r.train_tokens == 0 and r.n_known == 0 and math.isfinite(r.score) for r in alone)
+
+
+def test_the_chain_of_pairs_goes_on_from_the_seating_before():
+    rng = np.random.default_rng(1)
+    contexts = 16
+    counts = rng.integers(0, 40, (500, contexts))
+    word, before = counts.nonzero()
+    keys = lm._keys([f"w{k}" for k in range(500)])
+    pair_keys = lm._pair_keys(keys[before], keys[word])
+
+    def sweep(first, tables, served, roots, number):
+        state = lm.State(None, None, None, float(served.sum()), float(roots.sum()), 500, 0.5, 0.5)
+        found = np.zeros(counts.shape)
+        found[word, before] = state.seat_pairs(counts[word, before], tables[before], served[word], roots[word], pair_keys, number)
+        return found, state.seat_root(found.sum(axis=1).astype(int), keys, number)
+
+    first = np.minimum(counts, 1).astype(float)
+    one, root = sweep(first, first.sum(axis=0), first.sum(axis=1), np.ones(500), 0)
+    assert ((one >= first) & (one <= counts)).all() and ((root >= 1) & (root <= one.sum(axis=1))).all()
+    again, _ = sweep(one, one.sum(axis=0), one.sum(axis=1), root, 1)
+    restarted, _ = sweep(first, first.sum(axis=0), first.sum(axis=1), np.ones(500), 1)
+    assert (again != restarted).any()
+
+
+@pytest.mark.parametrize("frequent, bucket", [(lm.FREQUENT, lm.BUCKET), (20, 300)])
+def test_restaurants_are_those_of_words(spark, monkeypatch, frequent, bucket):
+    """Each word before has a restaurant, whose probabilities sum to one; its customers are the pairs of the training texts."""
+    monkeypatch.setattr(lm, "FREQUENT", frequent)
+    monkeypatch.setattr(lm, "BUCKET", bucket)
+    trained = lm.train(llm_data.documents(spark, ROWS))
+    known = {r.key: r for r in trained.words.collect()}
+    after = collections.defaultdict(dict)
+    for r in trained.pairs.collect():
+        if r.n_train:
+            after[r.before][r.word] = r
+    want = collections.Counter()
+    for i, t in ROWS:
+        if not held(i):
+            text = [w or "" for w in words(t)]
+            want.update(zip(["", *text[:-1]], text, strict=True))
+    key = dict(zip(names := sorted({w for pair in want for w in pair}), lm._keys(names).view(np.int64).tolist(), strict=True))
+    assert {(a, w): r.n_train for a, row in after.items() for w, r in row.items()} == {(key[a], key[w]): n for (a, w), n in want.items()}
+    assert len(known) == trained.types == len(names) == len(after)
+    for before, row in after.items():
+        others = 1 - sum(np.array(known[w].root) for w in row)
+        total = sum(10**r.logp for r in row.values()) + np.mean(np.array(known[before].handed_on) * others)
+        assert abs(total - 1) < 1e-9
+
+
+def test_the_word_before_counts_whatever_its_last_letters(spark):
+    import random
+
+    rng = random.Random(5)
+    # What follows is known from the word before, not from its last two letters.
+    rows = [(i, " ".join(f"a{k}zz b{k}zz" for k in rng.choices(range(40), k=15))) for i in range(400)]
+    found = [r for r in lm.score_documents(llm_data.documents(spark, rows)).collect() if r.held_out]
+    assert sum(r.score for r in found) > sum(r.base_score for r in found) + 0.6 * sum(r.n_tokens for r in found)
