@@ -12,7 +12,8 @@ the unseen one, and so does their mean over the last sweeps.
 
 Counting, sampling and scoring cover all tokens. Tokens go once, packed, to buckets: those of a word outside the
 FREQUENT commonest to the bucket of that word (its home), common words after a rare one to the rare one's home, and pairs of two
-common words to a bucket of their own hash, so that no word can be hot. A home knows all of its words' root
+common words to a bucket of their own hash, so that no word can be hot. All tokens of one pair meet in one
+bucket, which therefore holds the share of all tokens that its commonest pair has, at least. A home knows all of its words' root
 totals; tables of a rare word's restaurant that stand in other buckets are sent to its home in each sweep, which
 answers with their sum. Totals of the commonest words are summed up and broadcast (a table of fixed size). Buckets then
 score their tokens, and the parts are summed up by document.
