@@ -13,15 +13,15 @@ short masks only of lengths that the benchmark has.
 
 Documents are never shuffled for this: positions are unrolled within the scan and meet
 the benchmark's seeds there while these number at most BROADCAST_SEEDS (counted first). A
-larger benchmark goes through a filter of FILTER_BITS bits first, within the scan: what passes it is
-joined by hash of the seeds, and the few documents hit are joined back to be verified; both ways give
-the same rows.
+larger benchmark makes a filter of SEED_BITS bits for each seed, FILTER_BITS at most, that the scan looks
+seeds up in: the few that pass are joined by hash of the seeds, along with the words around them; both
+ways give the same rows.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -34,8 +34,10 @@ WINDOW = 13
 MIN_SHARE = 0.8
 BROADCAST_SEEDS = 200_000
 SHORT = 12
-FILTER_BITS = 1 << 26
-_WIDE = 2 * WINDOW - SPAN  # words from the first to the last window that holds a seed
+#: Bits of the filter for each seed, all of them at most, and numbers of the filter put together at once.
+SEED_BITS, FILTER_BITS, FILTER_BLOCK = 16, 1 << 27, 4096
+_LEAD = WINDOW - SPAN  # words of the first window before the seed
+_WIDE = _LEAD + WINDOW  # words from the first to the last window that holds a seed
 
 
 def word_hashes(text: Column) -> Column:
@@ -45,10 +47,13 @@ def word_hashes(text: Column) -> Column:
 
 
 def _around(words: Column, at: Column) -> Column:
-    """The words at..at+_WIDE-1 from WINDOW-SPAN before ``at``; null outside the text."""
-    return F.transform(
-        F.sequence(F.lit(SPAN - WINDOW), F.lit(WINDOW - 1)), lambda o: F.get(words, at + o)
-    )
+    """The words from WINDOW-SPAN before ``at`` on, _WIDE of them, without those outside the text."""
+    return F.slice(words, F.greatest(at - _LEAD, F.lit(0)) + 1, F.least(at, F.lit(_LEAD)) + WINDOW)
+
+
+def _nth(around: Column, at: Column, k: int) -> Column:
+    """Word ``k`` of the _WIDE ones around ``at``; null outside the text."""
+    return F.get(around, F.least(at - _LEAD, F.lit(0)) + k)
 
 
 def short_masks(length: int) -> list[tuple[int, ...]]:
@@ -67,11 +72,14 @@ def _spot_seeds(words: Column, at: Column, masks, family: int) -> Column:
     return F.array(*(seed(i, mask) for i, mask in enumerate(masks)))
 
 
-def _seeds(df: DataFrame, key: str, lengths: Sequence[int] = (), whole: bool = True, may: Column | None = None) -> DataFrame:
+def _seeds(df: DataFrame, key: str, lengths: Sequence[int] = (), whole: bool = True, may: Callable[[Column], Column] | None = None) -> DataFrame:
     """(key, _words, _at, _seed): each position's seeds, one per mask.
 
     ``whole``: the seeds of MASKS; ``lengths``: of short items, whose places may reach beyond the text by
-    as many words as may differ. ``may`` tells of a seed in ``_seed`` whether to keep it.
+    as many words as may differ. ``may`` tells of a seed whether to keep it.
+
+    Places are unrolled in generated code, which keeps a text's rows until all of them are made. What is added
+    to a place must be generated code too: else each of its rows would be a copy of all the words.
     """
     places, n = [], F.size("_words")
     if whole:
@@ -84,49 +92,82 @@ def _seeds(df: DataFrame, key: str, lengths: Sequence[int] = (), whole: bool = T
         places.append((reach, masks, length))
     out = None
     for spots, masks, family in places:
-        carried = [] if may is None else [may]
-        each = df.select(key, "_words", *carried, F.explode_outer(spots).alias("_at")).filter("_at IS NOT NULL")
+        each = df.select(key, "_words", F.explode_outer(spots).alias("_at")).filter("_at IS NOT NULL")
         if family:
-            seeds = F.array_compact(_spot_seeds(F.col("_words"), F.col("_at"), masks, family))
+            seeds = _spot_seeds(F.col("_words"), F.col("_at"), masks, family)
         else:
             hashed = [
                 F.xxhash64(F.lit(i), *(F.col("_words")[F.col("_at") + o] for o in mask))
                 for i, mask in enumerate(masks)
             ]
             seeds = F.array(*hashed)
-        if may is not None:
-            seeds = F.filter(seeds, lambda x: may_hold(may, x))
         part = each.select(key, "_words", "_at", F.explode(seeds).alias("_seed"))
+        if family:
+            part = part.filter("_seed IS NOT NULL")
+        if may is not None:
+            part = part.filter(may(F.col("_seed")))
         out = part if out is None else out.unionByName(part)
     return out
 
 
-def seed_filter(seeds: DataFrame, bits: int = FILTER_BITS) -> Column:
-    """A bit for each value that some seed has modulo ``bits``, as one array of numbers."""
-    value = F.pmod(F.col("_seed"), F.lit(bits))
-    word, bit = F.floor(value / 64).cast("int"), F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(value, F.lit(64)).cast("int"))
-    words = seeds.groupBy(word.alias("_word")).agg(F.bit_or(bit).alias("_bits"))
-    every = seeds.sparkSession.range(bits // 64).select(F.col("id").cast("int").alias("_word"))
-    full = every.join(words, "_word", "left").select(F.struct("_word", F.coalesce("_bits", F.lit(0)).alias("_bits")).alias("_w"))
-    # A fixed number of words, whatever the benchmark.
-    return full.agg(F.transform(F.sort_array(F.collect_list("_w")), lambda w: w["_bits"]).alias("_filter")).scalar()
+def filter_bits(seeds: int) -> int:
+    """The bits of a filter for so many seeds: a power of two, FILTER_BITS at most."""
+    wanted = 1 << max(12, (max(1, seeds) * SEED_BITS - 1).bit_length())
+    return min(FILTER_BITS, wanted)
 
 
-def may_hold(bits: Column, seed: Column) -> Column:
-    """Whether a filter has a seed's bit."""
-    value = F.pmod(seed, F.size(bits).cast("bigint") * 64)
-    word = F.get(bits, F.floor(value / 64).cast("int"))
-    return F.call_function("shiftright", word, F.pmod(value, F.lit(64)).cast("int")).bitwiseAND(F.lit(1).cast("bigint")) == 1
+def _marks(seed: Column) -> Column:
+    """A number with the four bits that a seed has in its word of the filter."""
+    one, marks = F.lit(1).cast("bigint"), None
+    for k in range(4):
+        place = F.shiftrightunsigned(seed, 6 * k).bitwiseAND(F.lit(63)).cast("int")
+        bit = F.call_function("shiftleft", one, place)
+        marks = bit if marks is None else marks.bitwiseOR(bit)
+    return marks
 
 
-def _agreeing(a: Column, b: Column, need: Column, width: Column) -> Column:
-    """Whether some window of ``width`` words holding the seed has ``need`` equal words."""
-    same = F.zip_with(a, b, lambda x, y: F.coalesce((x == y).cast("int"), F.lit(0)))
-    starts = F.sequence(F.lit(0), F.lit(WINDOW - SPAN))
-    return F.exists(
-        starts,
-        lambda s: F.aggregate(F.slice(same, s + 1, width), F.lit(0), lambda n, x: n + x) >= need,
-    )
+def _word(seed: Column, bits: int) -> Column:
+    """Which number of a filter of ``bits`` bits, a power of two, has a seed's bits."""
+    return F.shiftrightunsigned(seed, 32).bitwiseAND(F.lit(bits // 64 - 1).cast("bigint")).cast("int")
+
+
+def seed_filter(seeds: DataFrame, bits: int) -> Column:
+    """``bits`` bits as one array of numbers, with four bits set for each seed, all in one number."""
+    size = bits // 64
+    block = min(size, FILTER_BLOCK)
+    marked = seeds.select(_word(F.col("_seed"), bits).alias("_word"), _marks(F.col("_seed")).alias("_bits"))
+    every = seeds.sparkSession.range(size).select(F.col("id").cast("int").alias("_word"), F.lit(0).cast("bigint").alias("_bits"))
+    words = marked.unionByName(every).groupBy("_word").agg(F.bit_or("_bits").alias("_bits"))
+
+    def listed(df: DataFrame, number: str, value: str, *by: str) -> DataFrame:
+        rows = F.sort_array(F.collect_list(F.struct(number, value)))
+        return df.groupBy(*by).agg(F.transform(rows, lambda r: r[value]).alias("_bits"))
+
+    # A number of words that does not grow past FILTER_BITS / 64, put together block by block.
+    blocks = listed(words.withColumn("_block", F.floor(F.col("_word") / block)), "_word", "_bits", "_block")
+    return listed(blocks, "_block", "_bits").select(F.flatten("_bits")).scalar()
+
+
+def may_hold(words: Column, bits: int, seed: Column) -> Column:
+    """Whether a filter has all of a seed's bits. It is read in one place, as tasks are sent it once per place."""
+    return F.bitwise_not(F.get(words, _word(seed, bits))).bitwiseAND(_marks(seed)) == 0
+
+
+def _agreeing(equal: Sequence[Column], need: Column, width: Column) -> Column:
+    """Whether some window of ``width`` words holding the seed has ``need`` equal words.
+
+    ``equal``: of each of the _WIDE words whether it is. In bits of one number, as this stays in generated code.
+    """
+    same = None
+    for k, x in enumerate(equal):
+        bit = F.when(x, F.lit(1 << k)).otherwise(F.lit(0))
+        same = bit if same is None else same.bitwiseOR(bit)
+    wide = F.call_function("shiftleft", F.lit(1), width) - 1
+    found = None
+    for s in range(WINDOW - SPAN + 1):
+        enough = F.bit_count(F.shiftright(same, s).bitwiseAND(wide)) >= need
+        found = enough if found is None else found | enough
+    return found
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -145,7 +186,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         .withColumn("_length", F.size("_words"))
     )
     short = items.filter(F.col("_length").between(1, SHORT - 1))
-    lengths = sorted(r[0] for r in short.select("_length").distinct().collect())  # SHORT - 1 numbers at most
+    kinds = items.filter("_length > 0").groupBy(F.when(F.col("_length") < SHORT, F.col("_length")).alias("_short"))
+    # SHORT rows at most: how many items, and how many places of spans in them.
+    kinds = kinds.agg(F.count("*").alias("n"), F.sum(F.col("_length") - SPAN + 1).alias("places")).collect()
+    lengths = sorted(r["_short"] for r in kinds if r["_short"] is not None)
+    n_seeds = sum(r["n"] * len(short_masks(r["_short"])) if r["_short"] is not None else r["places"] * len(MASKS) for r in kinds)
     named = F.struct("item_id", "n_items", "_length").alias("_item")
     sides = _seeds(items.filter(F.col("_length") >= SHORT).select(named, "_words"), "_item")
     for length in lengths:
@@ -154,21 +199,22 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         sides = sides.unionByName(own.withColumn("_seed", F.explode(masks)))
     theirs = _around(F.col("_words"), F.col("_at")).alias("_theirs")
     seeds = sides.select("_seed", "_item", F.col("_at").alias("_from"), theirs)
-    if seeds.count() <= BROADCAST_SEEDS:
-        mine = _seeds(docs.select("doc_id", word_hashes(text_or_empty()).alias("_words")), "doc_id", lengths)
-        hits = mine.join(F.broadcast(seeds), "_seed")
+    mine, at = docs.select("doc_id", word_hashes(text_or_empty()).alias("_words")), F.col("_at")
+    if n_seeds <= BROADCAST_SEEDS:
+        hits = _seeds(mine, "doc_id", lengths).join(F.broadcast(seeds), "_seed")
+        own = [F.get("_words", at + (k - _LEAD)) for k in range(_WIDE)]
     else:
-        # Hits of rows that are alike are found for each of them: keep one set, then join all.
-        row = F.struct("doc_id", F.xxhash64("text").alias("text")).alias("_row")
-        words = docs.select(row, word_hashes(text_or_empty()).alias("_words"))
-        words_and_filter = words.withColumn("_filter", seed_filter(seeds))
-        found = _seeds(words_and_filter, "_row", lengths, may=F.col("_filter")).drop("_words").join(seeds, "_seed")
-        found = found.dropDuplicates(["_row", "_at", "_seed", "_item", "_from"]).withColumnRenamed("_row", "_hit")
-        same = F.col("_hit").eqNullSafe(F.col("_row"))
-        hits = found.join(words, same).select(F.col("_row.doc_id").alias("doc_id"), "_words", "_at", "_item", "_theirs")
+        bits = filter_bits(n_seeds)
+        words = seed_filter(sides, bits)
+        found = _seeds(mine, "doc_id", lengths, may=lambda seed: may_hold(words, bits, seed))
+        # What passes takes along the words it is compared by, so documents need not be met again.
+        found = found.select("doc_id", "_at", "_seed", _around(F.col("_words"), at).alias("_mine"))
+        hits = found.join(seeds, "_seed")
+        own = [_nth(F.col("_mine"), at, k) for k in range(_WIDE)]
+    equal = [x == _nth(F.col("_theirs"), F.col("_from"), k) for k, x in enumerate(own)]
     width = F.least(F.lit(WINDOW), F.col("_item._length"))
     need = F.ceil(width * F.lit(MIN_SHARE)).cast("int")
-    agrees = _agreeing(_around(F.col("_words"), F.col("_at")), F.col("_theirs"), need, width)
+    agrees = _agreeing(equal, need, width)
     # Verified in the aggregate, not by a filter: a filter would become part of the join's
     # condition, take the join out of generated code and build every unrolled row in full.
     return (

@@ -1,3 +1,5 @@
+import re
+
 import llm_data
 import pytest
 
@@ -105,3 +107,31 @@ def test_stage_decides_by_id_and_text(spark, tmp_path):
     spark.createDataFrame([(0, ITEMS[0]), (1, ITEMS[1])], "item_id bigint, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     left = corpus_pipeline.benchmark_stage(spark, llm_data.documents(spark, rows), str(tmp_path))
     assert sorted(((r.doc_id, r.text) for r in left.collect()), key=str) == sorted((rows[k] for k in (1, 2, 4, 5)), key=str)
+
+
+@pytest.mark.parametrize("limit", [decontaminate.BROADCAST_SEEDS, 0])
+def test_rows_of_unrolled_places_are_never_whole_texts(spark, monkeypatch, limit):
+    """All that has places is generated code: between its parts each row would be a copy of the words, or of the filter."""
+    monkeypatch.setattr(decontaminate, "BROADCAST_SEEDS", limit)
+    monkeypatch.setattr(decontaminate, "FILTER_BITS", 1 << 16)
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = decontaminate.contaminated(*tables(spark))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    places = [x for x in plan.split("\n") if "_at#" in x and re.search("(Generate|Project|Filter|Join|Aggregate) ", x)]
+    assert any("Generate" in x for x in places)
+    assert [x for x in places if "*(" not in x] == []
+
+
+def test_filter_holds_all_seeds_and_few_others(spark):
+    from pyspark.sql import functions as F
+
+    seeds = spark.range(2000).select(F.xxhash64("id").alias("_seed"))
+    bits = decontaminate.filter_bits(2000)
+    assert bits == 1 << 15 and decontaminate.filter_bits(10**9) == decontaminate.FILTER_BITS
+    words = decontaminate.seed_filter(seeds, bits)
+    other = spark.range(2000, 52000).select(F.xxhash64("id").alias("_seed"))
+    passed = [df.filter(decontaminate.may_hold(words, bits, F.col("_seed"))).count() for df in (seeds, other)]
+    assert passed[0] == 2000 and passed[1] < 1000
