@@ -1,5 +1,7 @@
+import gzip
 import json
 import os
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -116,3 +118,16 @@ def test_judgements_equal_a_full_run(spark, tmp_path):
 
 def test_missing_paths_list_nothing(spark, tmp_path):
     assert list_files(spark, [str(tmp_path / "no"), str(tmp_path / "none*")]).collect() == []
+
+
+def test_files_kept_up_to_date_are_packed_and_of_even_size(spark, monkeypatch):
+    from evalspark.workload import queries
+
+    monkeypatch.setattr(queries, "FILE_ROWS", 20, raising=False)
+    rows = spark.createDataFrame(preds(400) + preds(200, "c1", 400), schemas.PREDICTIONS)
+    store = queries.kept_up_to_date(spark, rows, inc.JSON, "id")
+    assert shown(inc.json_metrics(spark, store)) == shown(jsoneval.json_metrics(jsoneval.score_json(rows)))
+    files = [x for x in Path(store.removeprefix("file:")).parent.glob("files/part=*/part-*") if x.stat().st_size]
+    texts = [gzip.open(x).read() for x in files]
+    assert max(x.count(b"\n") for x in texts) <= 20 and sum(x.count(b"\n") for x in texts) == 600
+    assert sum(x.stat().st_size for x in files) < 0.5 * sum(map(len, texts))
